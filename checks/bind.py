@@ -178,6 +178,42 @@ def products(spark, d) -> DataFrame:
     return parts(spark, d).selectExpr(*PRODUCT)
 
 
+def _levels(name: str, source: str, condition: str) -> list[str]:
+    return [f"case when {condition} then substr({source}, 1, {2 * n}) end as {name}_{level}"
+            for n, level in enumerate(LEVELS, start=1)]
+
+
+_ANSWERED = "P_KEY % 5 = 0 and VENDOR_CODE is not null"
+
+#: The item table half-way through its enrichment.
+ITEM_TABLE = (
+    "ID", "PO_ITEM_ID", "DESCRIPTION", "lower(DESCRIPTION) as PROCESSED_DESCRIPTION",
+    "MANUFACTURER_PART", "MANUFACTURER_NAME", "SUPPLIER_PART", "ITEM_TYPE", "IS_ADHOC",
+    "SUPPLIER_ORG", "BUYER_ORG", "DASHBOARD_STATUS",
+    "case when P_KEY % 3 = 0 then 'Poor' else 'Good' end as AN_DATA_QUALITY_LEVEL",
+    *(f"cast(null as string) as AN_UNSPSC_{level}" for level in LEVELS[:-1]),
+    "AN_UNSPSC_COMMODITY",
+    *("case when P_KEY % 4 = 0 then cast(null as string) when P_KEY % 4 = 1 then 'Poor' "
+      f"else 'Acceptable' end as AN_CLASSIFICATION_QUALITY_{level}" for level in LEVELS),
+    *_levels("EXTERNAL_PREDICATED_UNSPSC", "VENDOR_CODE", _ANSWERED),
+    "VENDOR_CONFIDENCE as EXTERNAL_PREDICATION_CONFIDENCE_COMMODITY",
+    f"case when {_ANSWERED} then DOCUMENT_DATE end as EXTERNAL_PREDICATION_LASTUPDATED_AT",
+    *_levels("SBN_PREDICATED_UNSPSC", "OWN_CODE", "P_KEY % 7 = 0"),
+    *(f"case when P_KEY % 7 = 0 then OWN_CONFIDENCE end as SBN_PREDICTION_CONFIDENCE_{level}"
+      for level in LEVELS),
+    "case when P_KEY % 7 = 0 then DOCUMENT_DATE end as SBN_PREDICTION_LASTUPDATED_AT",
+    "case when P_KEY % 7 = 0 then concat('M', cast(P_KEY % 2 as string)) end as MODEL_UUID",
+    *(f"cast(null as string) as FINAL_REPORT_UNSPSC_{level}" for level in LEVELS),
+    *(f"cast(null as decimal(6,5)) as FINAL_REPORT_CONFIDENCE_{level}" for level in LEVELS),
+    "case when P_KEY % 53 = 0 then 'by hand' end as FINAL_REPORT_UNSPSC_MANUAL_LABELED",
+    "cast(null as timestamp) as FINAL_REPORT_LASTUPDATED_AT", "'job' as FINAL_REPORT_SOURCE",
+    "_DELTA_CREATED_ON", "_DELTA_UPDATED_ON")
+
+
+def item_table(spark, d) -> DataFrame:
+    return items(spark, d).selectExpr(*ITEM_TABLE)
+
+
 # -- SQL ---------------------------------------------------------------------------------
 
 _PURCHASES = "lines join orders_b on PO_ID = O_KEY"
@@ -190,9 +226,10 @@ CTE = {
     "items": f"select {', '.join(ITEM)} from {_PURCHASES} join parts using (P_KEY)",
     "fact": f"select {', '.join(FACT)} from {_PURCHASES}",
     "products": f"select {', '.join(PRODUCT)} from parts",
+    "item_table": f"select {', '.join(ITEM_TABLE)} from items",
 }
 _NEEDS = {"items": ("lines", "orders_b", "parts"), "fact": ("lines", "orders_b"),
-          "products": ("parts",)}
+          "products": ("parts",), "item_table": ("lines", "orders_b", "parts", "items")}
 
 
 def with_tables(names: str, body: str, **more: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,8 +13,8 @@ from ..session import materialize
 
 #: A vocabulary up to this size is looked up inside each task; a larger one is
 #: joined.
-LOOKUP_WORDS = 200_000
-_BUCKETS = 4096
+LOOKUP_WORDS = 100_000
+_WORDS_PER_SLOT = 2
 
 
 def word_counts(df: DataFrame, column: str, row_key: Sequence[str]) -> DataFrame:
@@ -37,22 +38,20 @@ def vocabulary(df: DataFrame, column: str, row_key: str | Sequence[str],
     return top.select("word", "count", rank.alias("index"))
 
 
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(_BUCKETS)).cast("int")
+def _slot(word: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("int")
 
 
-def _lookup_table(words: DataFrame) -> Column:
-    """The vocabulary as one array of small maps, addressed by word hash."""
-    spark = words.sparkSession
-    filled = words.groupBy(_slot(F.col("word")).alias("slot")).agg(
-        F.collect_list(F.struct("word", "index")).alias("entries"))
-    slots = spark.range(_BUCKETS).select(F.col("id").cast("int").alias("slot"))
-    rows = slots.join(filled, "slot", "left").select(
-        F.struct("slot", F.coalesce("entries", F.array().cast("array<struct<word:string,index:int>>"))
-                 .alias("entries")).alias("row"))
-    table = rows.agg(F.sort_array(F.collect_list("row")).alias("rows")).select(
-        F.transform("rows", lambda row: F.map_from_entries(row["entries"])))
-    return table.scalar()
+def _lookup_table(words: DataFrame, slots: int) -> Column:
+    """A bounded vocabulary as one constant: small maps addressed by word hash.
+
+    A single map would be searched from end to end for every token.
+    """
+    table: list[dict[str, int]] = [{} for _ in range(slots)]
+    for row in words.select("word", "index", _slot(F.col("word"), slots).alias("slot")).collect():
+        table[row["slot"]][row["word"]] = row["index"]
+    # a constant expression: Catalyst evaluates it once, when it plans the query
+    return F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
 
 
 def token_ids(df: DataFrame, column: str, words: DataFrame, output: str = "ids",
@@ -65,10 +64,12 @@ def token_ids(df: DataFrame, column: str, words: DataFrame, output: str = "ids",
     word by word and the ids are collected per ``row_key``.
     """
     words = materialize(words.select("word", F.col("index").cast("int")), "vocabulary")
-    if words.count() <= lookup_words:
-        table = _lookup_table(words)
+    size = words.count()
+    if size <= lookup_words:
+        slots = size // _WORDS_PER_SLOT + 1
+        table = _lookup_table(words, slots)
         ids = F.transform(text.tokens(F.col(column)),
-                          lambda word: F.element_at(F.get(table, _slot(word)), word))
+                          lambda word: F.element_at(F.get(table, _slot(word, slots)), word))
         return df.withColumn(output, F.filter(ids, lambda i: i.isNotNull()))
     if row_key is None:
         raise ValueError("a vocabulary of this size needs row_key")

@@ -118,12 +118,13 @@ def export_csv(df: DataFrame, path: str, export_date: str, run_no: int = 0,
     """CSV with header under ``export_date=../run_no=..``.
 
     Every run has its own directory, so earlier exports stay where they are.
-    Quotes are doubled and line breaks kept inside quotes; the file size is
+    Quotes are doubled, line breaks and outer blanks kept; the file size is
     bounded, because such files are read whole by one task each.
     """
     (df.withColumn("export_date", F.lit(export_date)).withColumn("run_no", F.lit(run_no))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("header", True).option("escape", '"').option("maxRecordsPerFile", max_rows_per_file)
+     .options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
+              ignoreTrailingWhiteSpace=False, maxRecordsPerFile=max_rows_per_file)
      .partitionBy("export_date", "run_no").csv(path))
 
 
