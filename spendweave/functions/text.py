@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,19 +17,20 @@ POOR_BELOW = 3
 GOOD_ABOVE = 15
 
 
-def _blank_out(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, " " * len(characters))
+def _words(text: Column, punctuation: str = "") -> Column:
+    """Pieces between single blanks or punctuation marks, empty ones included."""
+    return F.split(text, f"[ {re.escape(punctuation)}]" if punctuation else " ")
 
 
 def distinct_words(text: Column) -> Column:
     """Words of ``text`` split at single blanks, each kept where it first occurs."""
-    return F.array_distinct(F.split(text, " "))
+    return F.array_distinct(_words(text))
 
 
 def clean_description(text: Column) -> Column:
     """Lower-cased text without punctuation and repeated words; NULL gives ``''``."""
-    return F.trim(F.concat_ws(" ", distinct_words(
-        F.lower(_blank_out(text, DESCRIPTION_PUNCTUATION)))))
+    words = F.array_distinct(_words(F.lower(text), DESCRIPTION_PUNCTUATION))
+    return F.trim(F.concat_ws(" ", words))
 
 
 def rate_description(cleaned: Column) -> Column:
@@ -49,8 +52,7 @@ def concat_features(*names: str) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-cased words of a feature text, in order, with repeats."""
-    words = F.split(F.lower(_blank_out(text, TOKEN_PUNCTUATION)), " ")
-    return F.filter(words, lambda word: word != "")
+    return F.array_remove(_words(F.lower(text), TOKEN_PUNCTUATION), "")
 
 
 def pad_ids(ids: Column, length: int) -> Column:

@@ -17,6 +17,7 @@ from ..columns import AUDIT, CREATED, UPDATED
 
 _HIT = "__hit"
 _OLD = "__old"
+_UPDATE = "__update"
 
 Keys = str | Sequence[str] | Mapping[str, str]
 
@@ -118,20 +119,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
         hit = hit & value(when)
 
     def merged(name: str) -> Column:
+        # the condition is decided once per row, not once per column
         old = F.col(f"target.{name}")
-        return F.when(hit, changes[name]).otherwise(old) if name in changes else old
+        return F.when(F.col(_UPDATE), changes[name]).otherwise(old) if name in changes else old
 
     marked = source.withColumn(_HIT, F.lit(1)).alias("source")
     if one_pass and insert:
         both = target.withColumn(_OLD, F.lit(1)).alias("target").join(marked, match, "full_outer")
         absent = F.col(f"target.{_OLD}").isNull()
-        return both.select(*[
+        return both.withColumn(_UPDATE, hit).select(*[
             typed(name, F.when(absent, inserted[name]).otherwise(merged(name)))
             for name in target.columns])
 
     updated = target
     if changes:
-        updated = (target.alias("target").join(marked, match, "left")
+        updated = (target.alias("target").join(marked, match, "left").withColumn(_UPDATE, hit)
                    .select(*[typed(name, merged(name)) for name in target.columns]))
     if not insert:
         return updated

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions import text
 from ..session import materialize
@@ -17,11 +18,22 @@ LOOKUP_WORDS = 100_000
 _WORDS_PER_SLOT = 2
 
 
+def _place(df: DataFrame, row_key: Sequence[str]) -> Column:
+    """Row and position of a word as one ordered value.
+
+    An integer key is packed into a decimal, which a hash aggregate can hold;
+    other keys form a struct, at the price of a sort aggregate.
+    """
+    if len(row_key) == 1 and isinstance(df.schema[row_key[0]].dataType, IntegralType):
+        return F.col(row_key[0]).cast("decimal(20,0)") * F.lit(2**31) + F.col("pos")
+    return F.struct(*row_key, "pos")
+
+
 def word_counts(df: DataFrame, column: str, row_key: Sequence[str]) -> DataFrame:
     """Occurrences of each word and the place of its first one."""
     words = df.select(*row_key, F.posexplode(text.tokens(F.col(column))).alias("pos", "word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"),
-                                     F.min(F.struct(*row_key, "pos")).alias("first"))
+                                     F.min(_place(df, row_key)).alias("first"))
 
 
 def vocabulary(df: DataFrame, column: str, row_key: str | Sequence[str],

@@ -18,6 +18,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the JVM does not compile methods over 8000 bytes; wide rows are faster
+    # operator by operator than in one method that stays interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
