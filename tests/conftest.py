@@ -7,7 +7,9 @@ from spendweave.session import build_session
 def spark():
     session = build_session("tests", "local[4]", {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g"})
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g",
+        # tiny inputs: compiling whole stages would take most of the time
+        "spark.sql.codegen.wholeStage": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
