@@ -61,10 +61,12 @@ def balance(df: DataFrame, column: str, how: str | None, threshold: int,
 def label_index(df: DataFrame, column: str, index: str = "label_index") -> DataFrame:
     """Distinct labels in ascending order, numbered from 0.
 
-    Numbering sees one row per class, which the code system bounds.
+    Numbering sees one row per class, which the code system bounds. The result
+    is written, so that its measured size decides how rows are joined to it.
     """
     order = F.row_number().over(Window.orderBy(column)) - 1
-    return df.where(F.col(column).isNotNull()).select(column).distinct().withColumn(index, order)
+    classes = df.where(F.col(column).isNotNull()).select(column).distinct()
+    return materialize(classes.withColumn(index, order), "label-index")
 
 
 def index_labels(df: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Exact-size samples and splits without a global sort."""
+"""Exact-size samples and splits without a global sort.
+
+Rows are ordered by a seeded hash. A histogram over the hash prefix locates the
+one bucket a cut falls into; rows of other buckets pass a filter, and only that
+bucket is ordered, after equal rows have been folded into one row with a count.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _HASH, _BUCKET, _TAKE = "__hash", "__bucket", "__take"
 _BUCKET_DIGITS = 5          # 16**5, about a million buckets
 
@@ -19,39 +26,37 @@ def _hashed(df: DataFrame, seed: int, columns: Sequence[str]) -> DataFrame:
         _BUCKET, F.substring(_HASH, 1, _BUCKET_DIGITS))
 
 
-def _cut(df: DataFrame, hashed: DataFrame, wanted: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows before and from the cut that leaves ``wanted`` rows before it.
-
-    A histogram over the hash prefix locates the one bucket the cut falls into.
-    Rows of other buckets pass a filter; only that bucket is ordered, after
-    equal rows have been folded into one row with a count.
-    """
+def _edge(hashed: DataFrame, wanted: Column) -> tuple[Column, Column]:
+    """Where the cut after ``wanted`` rows falls: the bucket it divides, and how
+    many rows of that bucket lie before it. One pass over the hashes; the result
+    is one row, written so that the passes that follow do not repeat it."""
     histogram = hashed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    running = F.sum("n").over(Window.orderBy(_BUCKET))
-    totals = histogram.withColumn("upto", running).withColumn(
-        "all", F.sum("n").over(Window.partitionBy()))
-    edge = totals.where(F.col("upto") > wanted).agg(
-        F.min(F.struct(_BUCKET, (F.col("upto") - F.col("n")).alias("before"),
-                       wanted.alias("wanted"))).alias("edge"))
-    # no edge: everything lies before the cut ('g' sorts after every hex digit)
-    bucket = F.coalesce(edge.select(f"edge.{_BUCKET}").scalar(), F.lit("g"))
-    missing = edge.select(F.col("edge.wanted") - F.col("edge.before")).scalar()
-
+    totals = histogram.withColumns({
+        "upto": F.sum("n").over(Window.orderBy(_BUCKET)),
+        "all": F.sum("n").over(Window.partitionBy())})
+    first = totals.where(F.col("upto") > wanted).agg(
+        F.min(F.struct(_BUCKET, (wanted - F.col("upto") + F.col("n")).alias("missing"))).alias("e"))
+    edge = materialize(first.select(
+        # no such bucket: all rows lie before the cut ('g' follows every hex digit)
+        F.coalesce(f"e.{_BUCKET}", F.lit("g")).alias("bucket"), F.col("e.missing")), "cut")
+    return edge.select("bucket").scalar(), edge.select("missing").scalar()
+
+
+def _divided(hashed: DataFrame, bucket: Column, missing: Column,
+             columns: Sequence[str]) -> DataFrame:
+    """The edge bucket's rows, equal ones folded into one with its count ``n``,
+    and how many of the ``n`` lie before the cut."""
     folded = (hashed.where(F.col(_BUCKET) == bucket)
               .groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("n")))
-    upto = F.sum("n").over(Window.orderBy(_HASH, *[F.col(c) for c in df.columns]))
+    upto = F.sum("n").over(Window.orderBy(_HASH, *columns))
     room = F.greatest(F.lit(0), missing - (upto - F.col("n")))
-    marked = folded.withColumn(_TAKE, F.least(F.col("n"), room).cast("int"))
+    return folded.withColumn(_TAKE, F.least(F.col("n"), room))
 
-    def unfolded(frame: DataFrame, copies: Column) -> DataFrame:
-        repeated = frame.withColumn("__copies", copies.cast("int")).where("__copies > 0")
-        return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
 
-    before = hashed.where(F.col(_BUCKET) < bucket).select(*df.columns).unionByName(
-        unfolded(marked, F.col(_TAKE)).select(*df.columns))
-    after = hashed.where(F.col(_BUCKET) > bucket).select(*df.columns).unionByName(
-        unfolded(marked, F.col("n") - F.col(_TAKE)).select(*df.columns))
-    return before, after
+def _unfolded(frame: DataFrame, copies: Column, columns: Sequence[str]) -> DataFrame:
+    counted = frame.withColumn("__copies", copies.cast("int")).where("__copies > 0")
+    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))
+                              ).select(*columns)
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42,
@@ -59,7 +64,12 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42,
     """Exactly ``n`` rows (all rows if there are fewer), the same for any
     partitioning. ``by`` names the columns that seed the order (default: all)."""
     hashed = _hashed(df, seed, by or df.columns)
-    return _cut(df, hashed, F.lit(n).cast("bigint"))[0]
+    bucket, missing = _edge(hashed, F.lit(n).cast("bigint"))
+    # little more than the sample: the edge bucket is a millionth of the rows
+    near = materialize(hashed.where(F.col(_BUCKET) <= bucket), "sample")
+    divided = _divided(near, bucket, missing, df.columns)
+    return near.where(F.col(_BUCKET) < bucket).select(*df.columns).unionByName(
+        _unfolded(divided, F.col(_TAKE), df.columns))
 
 
 def sample_with_replacement(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -73,4 +83,10 @@ def split_tail(df: DataFrame, share: float, seed: int = 42,
     in seeded order. A share that rounds to no rows leaves validation empty."""
     hashed = _hashed(df, seed, by or df.columns)
     wanted = F.col("all") - F.floor(F.col("all") * F.lit(share)).cast("bigint")
-    return _cut(df, hashed, wanted)
+    bucket, missing = _edge(hashed, wanted)
+    divided = _divided(hashed, bucket, missing, df.columns)
+    training = hashed.where(F.col(_BUCKET) < bucket).select(*df.columns).unionByName(
+        _unfolded(divided, F.col(_TAKE), df.columns))
+    validation = hashed.where(F.col(_BUCKET) > bucket).select(*df.columns).unionByName(
+        _unfolded(divided, F.col("n") - F.col(_TAKE), df.columns))
+    return training, validation

@@ -11,6 +11,7 @@ from .. import columns as C
 from ..functions.measures import run_moment
 from ..operators.clean import align
 from ..operators.dedup import keep_first
+from ..operators.joins import semi_filter
 from ..operators.upsert import upsert
 from ..session import materialize
 from ..sources.readers import Moment, in_window, project
@@ -20,13 +21,17 @@ def join_sources(po_item: DataFrame, po: DataFrame, document: DataFrame,
                  item_commodity: DataFrame, org: DataFrame) -> DataFrame:
     """Lines of the given orders and documents, one row per commodity of a line.
 
-    The batch's orders and documents meet first, so that the full line table is
-    joined once with that small side before the other lookups.
+    The batch's orders and documents meet first and are written, and so are
+    their lines. The two tables read in full, lines and commodities, then join
+    a side of measured size: a daily batch is broadcast and neither of them is
+    shuffled.
     """
-    headers = po.join(document, po["GENERIC_DOCUMENT_ID"] == document["CXML_DOCUMENT_ID"])
-    lines = po_item.join(headers, po_item["PO_ID"] == headers["ID"]).drop("ID")
-    coded = lines.join(item_commodity, lines["PO_ITEM_ID"] == item_commodity["PO_ITEM"],
-                       "left").drop("PO_ITEM")
+    headers = materialize(
+        po.join(document, po["GENERIC_DOCUMENT_ID"] == document["CXML_DOCUMENT_ID"]), "headers")
+    lines = materialize(
+        po_item.join(headers, po_item["PO_ID"] == headers["ID"]).drop("ID"), "lines")
+    wanted = semi_filter(item_commodity, lines, "PO_ITEM", "PO_ITEM_ID")
+    coded = lines.join(wanted, lines["PO_ITEM_ID"] == wanted["PO_ITEM"], "left").drop("PO_ITEM")
     for party in ("BUYER", "SUPPLIER"):
         side = org.select(F.col("ORG_ID").alias("__org"), F.col("NAME").alias(f"{party}_NAME"),
                           F.col("ANID").alias(f"{party}_ANID"))

@@ -45,7 +45,7 @@ def balanced_sample(table: DataFrame, options: TrainingOptions = TrainingOptions
     balanced, _ = labels.balance(rows, options.label, options.imbalance, options.threshold,
                                  options.replacement)
     if options.sample is not None:
-        balanced = sampling.sample_rows(balanced, options.sample, options.seed)
+        balanced = sampling.sample_rows(balanced, options.sample, options.seed, [row_key])
     return materialize(balanced, "training-sample")
 
 

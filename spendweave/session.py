@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,4 +62,24 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in _scratch:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove the intermediate tables made inside the block, at its end. Results
+    that read them must have been written by then."""
+    paths: list[str] = []
+    _scratch.append(paths)
+    try:
+        yield
+    finally:
+        _scratch.remove(paths)
+        for path in paths:
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators.upsert import update_rows, upsert
+from .tables import has_snapshot, read_snapshot, replace_snapshot
 
 #: Start of a job that never ran, or that was told to start over.
 EARLIEST = datetime(2000, 1, 1)
@@ -43,3 +46,20 @@ def commit_offset(offsets: DataFrame, job: str, end: datetime) -> DataFrame:
 def request_reset(offsets: DataFrame, job: str, flag: int = 1) -> DataFrame:
     """Offsets with a job told to start over (or not)."""
     return update_rows(offsets, {"RESET_FLAG": F.lit(flag)}, F.col("JOB") == job)
+
+
+def run_batch(spark: SparkSession, root: str, job: str,
+              step: Callable[[datetime, datetime], None], start: datetime | None = None,
+              end: datetime | None = None, commit: bool = True) -> tuple[datetime, datetime]:
+    """Run ``step`` on the job's next window and move its offset on.
+
+    ``root`` holds the offset table. An error in ``step`` leaves the offset
+    alone, so the next run repeats the window; merges by key make that harmless.
+    """
+    offsets = (read_snapshot(spark, root) if has_snapshot(spark, root)
+               else spark.createDataFrame([], schemas.JOB_OFFSET))
+    window = batch_window(offsets, job, start, end)
+    step(*window)
+    if commit:
+        replace_snapshot(commit_offset(offsets, job, window[1]), root)
+    return window

@@ -51,6 +51,10 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
                   if name.startswith(_VERSION) and fs.exists(path(location, "_SUCCESS")))
 
 
+def has_snapshot(spark: SparkSession, root: str) -> bool:
+    return bool(_versions(spark, root))
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The newest complete version."""
     versions = _versions(spark, root)

@@ -114,3 +114,44 @@ def test_offsets(spark):
     again = offsets.commit_offset(reset, "j", NEW)
     assert offsets.batch_window(again, "j", end=NEW) == (NEW, NEW)
     assert offsets.batch_window(again, "j", start=OLD, end=NEW) == (OLD, NEW)
+
+
+def test_a_hot_key_is_split(spark):
+    """A third of the items share one text; the join must not leave them to one task."""
+    from spendweave.plans.vendor import answered_items
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        items = spark.range(0, 60_000, 1, 8).selectExpr(
+            "id as ID", "if(id % 3 = 0, 'hot', concat('t', id % 5000)) as PROCESSED_DESCRIPTION")
+        report = spark.range(5000).selectExpr(
+            "if(id = 0, 'hot', concat('t', id)) as PROCESSED_DESCRIPTION",
+            "'12' as UNSPSC_SEGMENT")
+        joined = answered_items(items, report)
+        assert len(joined.collect()) == items.where("PROCESSED_DESCRIPTION <> 't0'").count()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_batches_follow_each_other(spark, tmp_path):
+    root, windows = str(tmp_path / "offsets"), []
+    first, second = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    offsets.run_batch(spark, root, "j", lambda *w: windows.append(w), end=first)
+
+    def fail(*window):
+        raise ValueError("step failed")
+
+    with pytest.raises(ValueError):
+        offsets.run_batch(spark, root, "j", fail, end=second)
+    offsets.run_batch(spark, root, "j", lambda *w: windows.append(w), end=second, commit=False)
+    offsets.run_batch(spark, root, "other", lambda *w: windows.append(w), end=second)
+    offsets.run_batch(spark, root, "j", lambda *w: windows.append(w), end=second)
+    start = offsets.EARLIEST
+    assert windows == [(start, first), (first, second), (start, second), (first, second)]

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from spendweave import schemas
 from spendweave.operators.upsert import upsert
-from spendweave.session import materialize
+from spendweave.session import materialize, scratch
 from spendweave.sources import readers, tables
 from spendweave.streaming import vendor_feed
 
@@ -117,3 +117,13 @@ def test_materialize_cuts_lineage(spark):
     cut = materialize(df)
     assert rows(cut) == rows(df)
     assert "Aggregate" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scratch_removes_intermediate_tables(spark):
+    import os
+    with scratch(spark):
+        kept = materialize(spark.range(5))
+        files = kept.inputFiles()
+        assert kept.count() == 5
+    assert files and not any(os.path.exists(f.removeprefix("file:").replace("///", "/")
+                                            ) for f in files)
