@@ -16,6 +16,7 @@ from spendweave.sources import readers
 from . import bind
 from .bind import query, with_tables
 from .cleaning import SPELLED
+from .coding import METRICS_SQL
 
 WORDS = 2000
 
@@ -141,20 +142,59 @@ def training_features(spark, d):
                      "").alias("hot"))
 
 
-@query("train_classifier")
+# The classifier spelled out: multinomial naive Bayes over weighted word counts.
+BAYES = {
+    "fit_words": "select doc_id, word, count(*) as tf from places join fit using (doc_id) "
+                 "group by all",
+    "idf": "select word, ln(((select count(*) from fit) + 1.0) / (count(*) + 1.0)) as w "
+           "from fit_words group by word",
+    "class_words": "select lang, word, sum(tf * w) as s from fit_words join idf using (word) "
+                   "join fit using (doc_id) group by all",
+    "classes": """select lang, sum(s) as total, (select count(*) from idf) as words,
+                         (select ln(count(*) + 1.0) from fit f where f.lang = c.lang)
+                         - ln((select count(*) + count(distinct lang) from fit)) as prior
+                  from class_words c group by lang""",
+    "hits": """select p.doc_id, p.word, count(*) * any_value(w) as x
+               from places p join rest using (doc_id) join idf using (word) group by all""",
+    "raw": """select r.doc_id, c.lang, any_value(prior) + coalesce(sum(
+                         x * (ln(coalesce(s, 0) + 1.0) - ln(total + words))), 0) as score
+              from rest r join classes c on true left join hits h on h.doc_id = r.doc_id
+              left join class_words k on k.lang = c.lang and k.word = h.word
+              group by r.doc_id, c.lang""",
+    "predicted": """select doc_id, arg_max(lang, score) as predicted_label,
+                           round_even(1.0 / sum(exp(score - top)), 3) as predicted_label_proba
+                    from (select *, max(score) over (partition by doc_id) as top from raw)
+                    group by doc_id""",
+}
+KEPT_DOCUMENTS = """select doc_id, text, lang from documents where lang in
+    (select lang from documents group by lang having count(*) >= 110)"""
+ALL_WORDS = training.TrainingOptions(label="lang", threshold=110, sample=None,
+                                     num_words=10_000_000)
+
+
+@query("train_classifier", with_tables(
+    "", METRICS_SQL, kept=KEPT_DOCUMENTS, places=PLACES,
+    split="""select *, count(*) over () as n, row_number() over
+                 (order by md5(concat_ws('|', '42', cast(doc_id as varchar)))) as rn from kept""",
+    fit="select doc_id, lang from split where rn <= n - cast(floor(n * 0.1) as bigint)",
+    rest="select doc_id, lang from split where rn > n - cast(floor(n * 0.1) as bigint)", **BAYES,
+    pairs="select lang as a, predicted_label as b from rest join predicted using (doc_id)"))
 def train_classifier(spark, d):
     """Metrics of a classifier of the document language, on held-back rows."""
-    _, metrics = training.train(labelled(spark, d), OPTIONS, parts=["DESCRIPTION"],
+    _, metrics = training.train(labelled(spark, d), ALL_WORDS, parts=["DESCRIPTION"],
                                 row_key="doc_id")
     return metrics
 
 
-@query("score_documents")
+@query("score_documents", with_tables(
+    "", "select doc_id, lang, predicted_label, predicted_label_proba "
+        "from rest join predicted using (doc_id)",
+    fit=KEPT_DOCUMENTS, rest="select doc_id, lang from fit", places=PLACES, **BAYES))
 def score_documents(spark, d):
     """Predicted language and probability of every document."""
-    rows = training.balanced_sample(labelled(spark, d), OPTIONS, parts=["DESCRIPTION"],
+    rows = training.balanced_sample(labelled(spark, d), ALL_WORDS, parts=["DESCRIPTION"],
                                     row_key="doc_id")
-    model = training.fit_classifier(rows, OPTIONS)
+    model = training.fit_classifier(rows, ALL_WORDS)
     return training.score(model, rows).select("doc_id", "lang", "predicted_label",
                                               "predicted_label_proba")
 

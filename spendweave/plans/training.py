@@ -109,6 +109,7 @@ def train(table: DataFrame, options: TrainingOptions = TrainingOptions(),
           row_key: str = "PO_ITEM_ID") -> tuple[PipelineModel, DataFrame]:
     """A fitted classifier and its metrics on the held-back rows."""
     rows = balanced_sample(table, options, parts, row_key)
-    fitting, held_back = sampling.split_tail(rows, options.validation_share, options.seed)
+    fitting, held_back = sampling.split_tail(rows, options.validation_share, options.seed,
+                                              [row_key])
     model = fit_classifier(materialize(fitting, "training-rows"), options)
     return model, class_metrics(score(model, held_back), options.label, "predicted_label")
