@@ -95,10 +95,11 @@ def null_filter(spark, d):
                                                   "select": ["ID", "ITEM_TYPE"]})
 
 
-@query("prefix_columns", "select n_nationkey as src_n_nationkey, n_name as src_n_name, "
-                         "n_regionkey as src_n_regionkey from nation")
+@query("prefix_columns", """
+    select c_custkey as src_c_custkey, c_name as src_c_name, c_nationkey as src_c_nationkey,
+           c_acctbal as src_c_acctbal, c_mktsegment as src_c_mktsegment from customer""")
 def prefix_columns(spark, d):
-    return clean.prefix_columns(bind.table(spark, d, "nation"), "src")
+    return clean.prefix_columns(bind.table(spark, d, "customer"), "src")
 
 
 @query("union_distinct", """

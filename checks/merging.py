@@ -9,6 +9,7 @@ from spendweave.functions import codes
 from spendweave.operators import upsert as merge
 from spendweave.plans import (evaluate, extract, finalize, inference, network, replicate, star,
                               vendor)
+from spendweave.session import materialize
 from spendweave.sources import offsets
 
 from . import bind
@@ -128,15 +129,14 @@ def upsert_null_safe(spark, d):
 
 
 @query("upsert_new_columns", """
-    select coalesce(n.n_nationkey, 100 + r.r_regionkey) as ID,
-           coalesce(n.n_name, r.r_name) as NAME,
-           case when n.n_nationkey is null then r.r_regionkey end as REGION
-    from nation n full join region r on n.n_nationkey = 100 + r.r_regionkey""")
+    select coalesce(c.c_custkey, 40 * s.s_suppkey) as ID, coalesce(s.s_name, c.c_name) as NAME,
+           s.s_acctbal as BALANCE
+    from customer c full join supplier s on c.c_custkey = 40 * s.s_suppkey""")
 def upsert_new_columns(spark, d):
-    nations = bind.table(spark, d, "nation").selectExpr("n_nationkey as ID", "n_name as NAME")
-    regions = bind.table(spark, d, "region").selectExpr("100 + r_regionkey as ID",
-                                                        "r_name as NAME", "r_regionkey as REGION")
-    return merge.upsert(nations, regions, "ID", merge_schema=True)
+    customers = bind.table(spark, d, "customer").selectExpr("c_custkey as ID", "c_name as NAME")
+    suppliers = bind.table(spark, d, "supplier").selectExpr(
+        "40 * s_suppkey as ID", "s_name as NAME", "s_acctbal as BALANCE")
+    return merge.upsert(customers, suppliers, "ID", merge_schema=True)
 
 
 @query("insert_absent", """
@@ -238,8 +238,8 @@ def extract_items(spark, d):
     """Two rounds: the first half year, then the whole window over its result."""
     raw = raw_tables(spark, d)
     empty = spark.createDataFrame([], EXTRACT_SCHEMA)
-    first = extract.extract_items(raw, empty.schema, START, "1997-06-30",
-                                  F.lit("2001-01-01").cast("timestamp"))
+    first = materialize(extract.extract_items(raw, empty.schema, START, "1997-06-30",
+                                              F.lit("2001-01-01").cast("timestamp")))
     return plain(extract.run(raw, first, START, END, now()))
 
 
@@ -449,7 +449,8 @@ def _reported(spark, d):
 
 def _first_dimension(spark, d):
     rows = star.dimension_rows(_reported(spark, d), FIRST_START, FIRST_END)
-    return rows.withColumns({name: F.lit("2001-01-01").cast("timestamp") for name in C.AUDIT})
+    return materialize(rows.withColumns({name: F.lit("2001-01-01").cast("timestamp")
+                                         for name in C.AUDIT}))
 
 
 @query("load_dimension", with_tables("item_table", f"""
@@ -509,7 +510,8 @@ def link_facts(spark, d):
 def network_merge(spark, d):
     fact, products = bind.fact(spark, d), bind.products(spark, d)
     first = network.network_totals(network.batch_facts(fact, "1996-06-01", "1997-06-30"), products)
-    stored = first.withColumns({name: F.lit("2001-01-01").cast("timestamp") for name in C.AUDIT})
+    stored = materialize(first.withColumns({name: F.lit("2001-01-01").cast("timestamp")
+                                            for name in C.AUDIT}))
     # the window ends mid-month for the run; whole months are taken
     merged = network.run(fact, products, stored, "1997-01-15", "1998-12-15", whole_months=True,
                          now=now())
@@ -598,7 +600,8 @@ def _inference(spark, d):
         F.lit("M1").alias("MODEL_UUID"),
         *[F.lit("2003-03-03").cast("timestamp").alias(name) for name in C.AUDIT])
     other = known.withColumn("MODEL_UUID", F.lit("M0"))
-    return inference.run(items, known.unionByName(other), length_scorer, "M1", START, END,
+    report = materialize(known.unionByName(other))
+    return inference.run(items, report, length_scorer, "M1", START, END,
                          now=now())
 
 

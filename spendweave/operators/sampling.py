@@ -72,9 +72,19 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42,
         _unfolded(divided, F.col(_TAKE), df.columns))
 
 
-def sample_with_replacement(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Rows drawn independently with replacement, about ``fraction`` of all."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def sample_with_replacement(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """``n`` draws with replacement.
+
+    Independent draws at a rate six standard deviations above ``n`` are written
+    with a random order, and cut to size by that order.
+    """
+    total = df.count()
+    if not total:
+        return df
+    rate = (n + 6 * n ** 0.5 + 20) / total
+    draws = df.sample(withReplacement=True, fraction=rate, seed=seed)
+    draws = materialize(draws.withColumn("__draw", F.rand(seed)), "draws")
+    return sample_rows(draws, n, seed, ["__draw"]).drop("__draw")
 
 
 def split_tail(df: DataFrame, share: float, seed: int = 42,

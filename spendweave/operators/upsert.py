@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..columns import AUDIT, CREATED, UPDATED
+from ..columns import AUDIT, UPDATED
+from .clean import align
 
 _HIT = "__hit"
 _OLD = "__old"
@@ -171,7 +172,6 @@ def update_rows(df: DataFrame, assignments: Mapping[str, str | Column],
 
 def insert_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
     """Append rows; columns they lack become NULL."""
-    from .clean import align
     return df.unionByName(align(rows, df.schema))
 
 

@@ -97,7 +97,9 @@ def test_sample_of_one_repeated_row(spark):
 
 
 def test_sample_with_replacement(spark):
-    assert 500 < sampling.sample_with_replacement(spark.range(1000), 1.0).count() < 1500
+    drawn = sampling.sample_with_replacement(spark.range(1000), 1500)
+    assert drawn.count() == 1500
+    assert 600 < drawn.distinct().count() < 900      # expected: 1000 * (1 - exp(-1.5)) = 777
 
 
 @pytest.mark.parametrize("n, share, held_back", [(5, 0.2, 1), (10, 0.35, 3), (7, 0.0, 0),
