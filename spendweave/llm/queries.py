@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, url_filter
+from . import bpe, chat, exact_dedup, packing, url_filter, wordpiece
 from .common import ORACLE, QUERIES, bounded_batches, query, sha256_text, table  # noqa: F401
 
 #: A conversation whose texts consist of control strings.
@@ -87,3 +87,27 @@ select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_siz
 from keyed window same as (partition by text_sha256)""")
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        sha256_text(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return wordpiece.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
