@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, packing, url_filter, wordpiece
+from . import bpe, chat, exact_dedup, near_dedup, packing, quality, url_filter, wordpiece
 from .common import ORACLE, QUERIES, bounded_batches, query, sha256_text, table  # noqa: F401
 
 #: A conversation whose texts consist of control strings.
@@ -111,3 +111,40 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    judged = quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
+def _near_sql() -> str:
+    """Exact similarities by an inverted index of shingles, and components by recursion."""
+    return r"""
+with recursive lowered as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+words as (select doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from lowered),
+sets as (
+  select doc_id, case when len(w) = 0 then []
+    else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 4, 1) + 1)]) end as s
+  from words),
+items as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+pairs as (
+  select a.doc_id as a, b.doc_id as b from items a join items b on a.shingle = b.shingle and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n
+  having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+sides as (select a, b from pairs union all select b, a from pairs),
+reach as (select doc_id as node, doc_id as seen from sets
+          union select r.node, e.b from reach r join sides e on e.a = r.seen)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from sets join (select node, min(seen) as component_id from reach group by node) c on c.node = doc_id"""
+
+
+@query("op4_near_dedup", _near_sql())
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
