@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, near_dedup, packing, quality, url_filter, wordpiece
+from . import bpe, chat, exact_dedup, near_dedup, packing, quality, suffix_dedup, url_filter, wordpiece
 from .common import ORACLE, QUERIES, bounded_batches, query, sha256_text, table  # noqa: F401
 
 #: A conversation whose texts consist of control strings.
@@ -148,3 +148,9 @@ from sets join (select node, min(seen) as component_id from reach group by node)
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents")).drop("spans")
