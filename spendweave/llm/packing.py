@@ -10,6 +10,7 @@ window. The last tail of a group is cut into powers of two, which need no paddin
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -34,29 +35,44 @@ _MERGED = 1 << 61
 
 
 class Tokens:
-    """Texts to packed ids by the ``tokenizers`` library; a chunk is encoded once."""
+    """Texts to packed ids by the ``tokenizers`` library; a piece is encoded once."""
 
     def __init__(self, vocabulary: str, most: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
         self._library = Tokenizer.from_file(vocabulary_path(vocabulary))
         self._library.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
+        self._split = regex.compile(public_tokenizers.PATTERN).findall
+        self._chunks: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
         self._most = most
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
+        return [array("I", e.ids).tobytes()
                 for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, missing: list[str]) -> None:
+        if len(self._pieces) > self._most:
+            self._pieces.clear()
+        split = [self._split(" " + c) for c in missing]
+        new = list({p for pieces in split for p in pieces}.difference(self._pieces))
+        self._pieces.update(zip(new, self._encode(new), strict=True))
+        of = self._pieces.__getitem__
+        self._chunks.update((c, b"".join(map(of, pieces)))
+                            for c, pieces in zip(missing, split, strict=True))
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self._known) > self._most:
-            self._known.clear()
-        known, parts = self._known, [chunks(t) for t in texts]
-        missing = list({c for _, rest in parts for c in rest if c not in known})
-        known.update(zip(missing, self._encode([" " + c for c in missing]), strict=True))
-        heads = self._encode([head for head, _ in parts])
+        parts, seen = [chunks(t) for t in texts], set()
+        for _, rest in parts:
+            seen.update(rest)
+        if len(self._chunks) > self._most:
+            self._chunks.clear()
+        self._learn(list(seen.difference(self._chunks)))
+        heads, of = self._encode([head for head, _ in parts]), self._chunks.__getitem__
         for head, (_, rest) in zip(heads, parts, strict=True):
-            yield head + b"".join(map(known.__getitem__, rest))
+            yield head + b"".join(map(of, rest))
 
 
 @cache
