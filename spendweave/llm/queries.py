@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, near_dedup, packing, quality, suffix_dedup, url_filter, wordpiece
+from . import bpe, chat, exact_dedup, near_dedup, packing, pii, quality, suffix_dedup, url_filter, wordpiece
 from .common import ORACLE, QUERIES, bounded_batches, query, sha256_text, table  # noqa: F401
 
 #: A conversation whose texts consist of control strings.
@@ -154,3 +154,15 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), sha256_text(pii.shown(F.col("base"))).alias("base_sha256"),
+                        pii.shown(F.concat("base", "added")).alias("spans"))
