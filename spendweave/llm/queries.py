@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import bpe, chat, exact_dedup, near_dedup, packing, pii, quality, suffix_dedup, url_filter, wordpiece
 from .common import ORACLE, QUERIES, bounded_batches, query, sha256_text, table  # noqa: F401
 
@@ -166,3 +168,6 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select("doc_id", *map(count, pii.KINDS), sha256_text(pii.shown(F.col("base"))).alias("base_sha256"),
                         pii.shown(F.concat("base", "added")).alias("spans"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
