@@ -3,19 +3,21 @@
 1. Each whole text becomes its set of word shingles. Texts with equal sets form a class, one
    node of the graph however many copies there are.
 2. MinHash samples are grouped into bands; classes that agree in a band share a bucket.
-3. The samples are also folded into an odd sketch, a bitmap of parities: the number of bits
-   in which two sketches differ estimates a high similarity closely. Only candidate pairs
-   that the sketch cannot rule out are confirmed on the full sets.
+3. Odd sketches: the hashes of a set below a threshold are samples of it by their least
+   values; they are folded into a bitmap of parities. The number of bits in which two
+   bitmaps differ gives the size of the symmetric difference of the samples, and with the
+   sizes the similarity, to about 0.005. Only candidate pairs that the sketch cannot rule
+   out are confirmed on the full sets.
 4. In each bucket the class with the most company is compared with the others (as many
    pairs as entries). Only buckets that still hold several components go on: their pairs
-   across components are compared, which is what a link between components needs. A large
-   bucket is first divided by a second band: similar classes share many bands, so they meet
-   there again.
+   across components are compared, which is what a link between components needs, each in
+   the first bucket that it shares. A very large bucket is first divided by a second band:
+   similar classes share many bands, so they meet there again.
 5. Connected components by alternating large-star and small-star steps.
 
 With 160 samples in 40 bands of four, a pair of similarity 0.75 shares no band with
 probability 3e-7, at most one band with 5e-6; the sketch rules out such a pair with a
-probability of the same order. Buckets and groups have no caps.
+probability below that. Buckets and groups have no caps.
 """
 
 from __future__ import annotations
@@ -36,16 +38,18 @@ from .hashing import mix, shingles
 SHINGLE_WORDS, PERCENT = 5, 75
 BANDS, BAND_ROWS = 40, 4
 SAMPLES = BANDS * BAND_ROWS
-SKETCH_BITS = 1024
-#: Estimates below this are ruled out: five standard deviations under the threshold.
-SURELY_LESS = 0.58
+#: Bits of an odd sketch, and samples that it is meant for: larger sets are thinned out by
+#: powers of two until so many are left.
+SKETCH_BITS, SKETCH_SAMPLES = 1024, 1024
+#: Estimates below these are ruled out: five standard deviations under the threshold, for
+#: sets that are sketched whole and for those that are thinned out.
+SURELY_LESS, SURELY_LESS_THINNED = 0.72, 0.64
 #: Entries above which an open bucket is divided by a second band.
-LARGE_BUCKET = 200
+LARGE_BUCKET = 4000
 #: Keys up to which a lookup is broadcast (some 60 bytes each); beyond, it is shuffled.
 BROADCAST_KEYS = 400_000
 
 _FACTORS = mix(np.arange(1, SAMPLES + 1, dtype="uint64")) | np.uint64(1)
-_SALTS = mix(np.arange(1001, 1001 + SAMPLES, dtype="uint64"))
 _BLOCK = 4096
 
 
@@ -66,21 +70,27 @@ def band_keys(rows: np.ndarray) -> np.ndarray:
     return key
 
 
-def odd_sketches(rows: np.ndarray) -> np.ndarray:
-    """Parity bitmaps of the samples, as 64-bit words."""
-    bits = (mix(rows ^ _SALTS) % np.uint64(SKETCH_BITS)).astype("int64")
-    flat = np.bincount((bits + np.arange(len(rows))[:, None] * SKETCH_BITS).ravel(),
-                       minlength=len(rows) * SKETCH_BITS) & 1
-    return np.packbits(flat.astype("uint8").reshape(len(rows), SKETCH_BITS), axis=1).view("int64")
+def level_of(n: int) -> int:
+    """How often a set of n is halved for its sketch."""
+    return max(0, (n - 1) // SKETCH_SAMPLES).bit_length()
 
 
-def estimate(differing: float, bits: int = SKETCH_BITS, n: int = SAMPLES) -> float:
-    """Similarity estimated from the number of differing bits of two odd sketches."""
-    return 1 + bits / (4 * n) * math.log1p(-2 * differing / bits) if 2 * differing < bits else 0.0
+def odd_sketch(hashes: np.ndarray, level: int) -> tuple[int, np.ndarray]:
+    """Samples of a set at a level (hashes below 2**64 / 2**level), their number and the
+    bitmap of parities as 64-bit words."""
+    if level:
+        hashes = hashes[hashes < np.uint64(1 << (64 - level))]
+    bits = (mix(hashes) % np.uint64(SKETCH_BITS)).astype("int64")
+    odd = (np.bincount(bits, minlength=SKETCH_BITS) & 1).astype("uint8")
+    return len(hashes), np.packbits(odd).view("int64")
 
 
-#: Most differing bits that two sketches may have without being ruled out.
-MOST_DIFFERING = max(d for d in range(SKETCH_BITS // 2) if estimate(d) >= SURELY_LESS)
+def estimate(differing: float, samples_a: int, samples_b: int, bits: int = SKETCH_BITS) -> float:
+    """Similarity estimated from the number of differing bits of two odd sketches."""
+    if 2 * differing >= bits:
+        return 0.0
+    apart = -bits / 2 * math.log1p(-2 * differing / bits)
+    return max(0.0, (samples_a + samples_b - apart) / (samples_a + samples_b + apart))
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -89,7 +99,7 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, row, text_key, n_shingles, digest, bands, sketch``, one row per input row."""
+    """``doc_id, row, text_key, n_shingles, digest, bands``, one row per input row."""
     given = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                         F.md5(text_of(text).cast("binary")).alias("text_key"), text_of(text).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
@@ -103,38 +113,62 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() for s in sets]),
-                 _lists(band_keys(rows).view("int64")), _lists(odd_sketches(rows))],
-                ["doc_id", "row", "text_key", "n_shingles", "digest", "bands", "sketch"])
+                 _lists(band_keys(rows).view("int64"))],
+                ["doc_id", "row", "text_key", "n_shingles", "digest", "bands"])
 
     return given.mapInArrow(run, f"doc_id {kind}, row long, text_key string, n_shingles long, "
-                                 "digest string, bands array<long>, sketch array<long>")
+                                 "digest string, bands array<long>")
 
 
 def _not_ruled_out(a: str, b: str) -> Column:
-    differing = sum((F.bit_count(F.get(F.col(f"{a}.sketch"), F.lit(k)).bitwiseXOR(
-        F.get(F.col(f"{b}.sketch"), F.lit(k)))) for k in range(SKETCH_BITS // 64)), F.lit(0))
-    few, many = (f(F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")) for f in (F.least, F.greatest))
-    return (100 * few >= PERCENT * many) & (differing <= MOST_DIFFERING)
+    """Whether sizes and sketches (structs of ``sketched``) leave open that two sets are similar."""
+    few, many = (f(F.col(f"{a}.n"), F.col(f"{b}.n")) for f in (F.least, F.greatest))
+    level = F.greatest(F.col(f"{a}.level"), F.col(f"{b}.level"))
+
+    def at_level(name: str, whole: str, thinner: str) -> Column:
+        return F.when(F.col(f"{name}.level") == level, F.col(f"{name}.{whole}")).otherwise(
+            F.col(f"{name}.{thinner}"))
+
+    # sizes of similar sets differ by a third at most, so their levels by one
+    sketches = [at_level(name, "sketch", "thinner") for name in (a, b)]
+    differing = sum((F.bit_count(F.get(sketches[0], F.lit(k)).bitwiseXOR(F.get(sketches[1], F.lit(k))))
+                     for k in range(SKETCH_BITS // 64)), F.lit(0))
+    samples_ = at_level(a, "samples", "thinner_samples") + at_level(b, "samples", "thinner_samples")
+
+    def most(similarity: float) -> Column:
+        share = (1 - similarity) / (1 + similarity)
+        return SKETCH_BITS / 2 * (1 - F.exp(-2 * share / SKETCH_BITS * samples_))
+
+    return (100 * few >= PERCENT * many) & (differing <= F.when(
+        level == 0, most(SURELY_LESS)).otherwise(most(SURELY_LESS_THINNED)))
 
 
 def _full_sets(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
-    """``cls, hashes`` of the classes in ``needed`` (``cls, text_key``)."""
+    """``cls, hashes`` and the odd sketch of the classes in ``needed`` (``cls, text_key``)."""
     given = docs.select(F.md5(text_of(text).cast("binary")).alias("text_key"), text_of(text).alias("text"))
     if needed.count() <= BROADCAST_KEYS:
         needed = F.broadcast(needed)
     # copies of one text meet in a partial aggregation
     texts = given.join(needed, "text_key").groupBy("cls").agg(F.min("text").alias("text"))
+    names = ["cls", "hashes", "n", "level", "samples", "sketch", "thinner_samples", "thinner"]
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t, SHINGLE_WORDS).view("int64") for t in batch.column(1).to_pylist()]
+            sets = [shingles(t, SHINGLE_WORDS) for t in batch.column(1).to_pylist()]
+            if not sets:
+                continue
             ends = np.cumsum([0, *map(len, sets)], dtype="int32")
-            flat = np.concatenate(sets) if sets else np.zeros(0, "int64")
+            levels = [level_of(len(s)) for s in sets]
+            own, thin = ([odd_sketch(s, level + more) for s, level in zip(sets, levels, strict=True)]
+                         for more in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["cls", "hashes"])
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view("int64"))),
+                 pa.array([len(s) for s in sets], pa.int64()), pa.array(levels, pa.int32()),
+                 pa.array([n for n, _ in own], pa.int64()), _lists(np.stack([x for _, x in own])),
+                 pa.array([n for n, _ in thin], pa.int64()), _lists(np.stack([x for _, x in thin]))], names)
 
-    return texts.mapInArrow(run, "cls long, hashes array<long>")
+    return texts.mapInArrow(run, "cls long, hashes array<long>, n long, level int, samples long, sketch array<long>, "
+                                 "thinner_samples long, thinner array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -176,16 +210,15 @@ def _links(docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
     sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = materialize(entries.join(sizes, "key"), "buckets")
     company = materialize(shared.groupBy("cls").agg(F.sum("n").alias("company")), "company")
-    keyed = classes.select("cls", "text_key", "n_shingles", "sketch", "bands")
-    sets = materialize(_full_sets(docs, text, keyed.join(company, "cls", "left_semi")
-                                  .select("cls", "text_key")), "shingle-sets")
-    sketches = materialize(keyed.join(company, "cls", "left_semi").drop("text_key"), "sketches")
+    own = materialize(classes.join(company, "cls", "left_semi"), "shared-classes")
+    sets = materialize(_full_sets(docs, text, own.select("cls", "text_key")), "shingle-sets")
+    facts = sets.select("cls", F.struct("n", "level", "samples", "sketch", "thinner_samples", "thinner").alias("of"))
+    bands = own.select("cls", "bands")
 
     known = shared.join(company, "cls")
     leaders = known.groupBy("key").agg(F.max(F.struct("company", "cls")).alias("leader"))
     stars = (known.join(leaders, "key").filter("cls <> leader.cls")
              .select(F.col("leader.cls").alias("a"), F.col("cls").alias("b")).distinct())
-    facts = sketches.select("cls", F.struct("n_shingles", "sketch").alias("of"))
     likely = (stars.join(facts.select(F.col("cls").alias("b"), F.col("of").alias("of_b")), "b")
               .join(facts.select(F.col("cls").alias("a"), F.col("of").alias("of_a")), "a")
               .filter(_not_ruled_out("of_a", "of_b")).select("a", "b"))
@@ -202,17 +235,22 @@ def _links(docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
         return rows.select("key", "cls", "component").join(several.select("key", "n"), "key")
 
     rest = materialize(still_open(labelled), "open-buckets")
-    divided = (rest.filter(F.col("n") > LARGE_BUCKET).join(sketches.select("cls", "bands"), "cls")
+    divided = (rest.filter(F.col("n") > LARGE_BUCKET).join(bands, "cls")
                .select("key", "cls", "component", F.explode("bands").alias("other"))
                .filter("other <> key")
                .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"),
                        "cls", "component").distinct())
-    members = (rest.filter(F.col("n") <= LARGE_BUCKET).unionByName(still_open(divided))
-               .select("key", "cls", "component").join(facts, "cls"))
-    a = members.select("key", F.col("cls").alias("a"), F.col("component").alias("c_a"), F.col("of").alias("of_a"))
-    b = members.select("key", F.col("cls").alias("b"), F.col("component").alias("c_b"), F.col("of").alias("of_b"))
-    across = (a.join(b, (a["key"] == b["key"]) & (F.col("c_a") < F.col("c_b"))
-                     & _not_ruled_out("of_a", "of_b")).select("a", "b").distinct())
+    members = (rest.filter(F.col("n") <= LARGE_BUCKET).withColumn("divided", F.lit(False))
+               .unionByName(still_open(divided).withColumn("divided", F.lit(True)))
+               .select("key", "divided", "cls", "component").join(facts, "cls").join(bands, "cls"))
+    a, b = (members.select("key", "divided", F.col("cls").alias(x), F.col("component").alias(f"c_{x}"),
+                           F.col("of").alias(f"of_{x}"), F.col("bands").alias(f"bands_{x}")) for x in "ab")
+    # a pair that shares several buckets is compared in the first of them
+    common = F.array_sort(F.array_intersect("bands_a", "bands_b"))
+    here = F.when(a["divided"], F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1)))).otherwise(
+        F.get(common, F.lit(0))) == a["key"]
+    across = (a.join(b.drop("divided"), (a["key"] == b["key"]) & (F.col("c_a") < F.col("c_b"))
+                     & _not_ruled_out("of_a", "of_b") & here).select("a", "b").distinct())
     return first.unionByName(materialize(_confirmed(across, sets), "links"))
 
 
@@ -230,7 +268,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     first = materialize(rows.filter("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("cls")),
                         "classes")
     classes = materialize(rows.join(first.select(F.col("cls").alias("row")), "row", "left_semi")
-                          .select(F.col("row").alias("cls"), "text_key", "n_shingles", "bands", "sketch"),
+                          .select(F.col("row").alias("cls"), "text_key", "bands"),
                           "class-signatures")
     labels = connected_components(_links(docs, text, classes))
     membership = first.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
