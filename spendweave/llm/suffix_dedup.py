@@ -1,17 +1,18 @@
 """Removal of repeated substrings with suffix arrays.
 
-A byte goes if a string of 100 bytes that covers it also starts earlier. All corpora are cut
+A byte goes if a string of 100 bytes that covers it also starts earlier. The texts are cut
 so that equal strings meet:
 
 1. Every string of 100 bytes has an anchor, the substring of 24 bytes with the least hash in
    it. Equal strings have equal anchors, so only strings with the same anchor need to be
    compared. The strings of one anchor at one place form a segment (some 140 bytes).
 2. Texts that are copies of another are removed as wholes. Anchors that occur once are left
-   out, equal segments are collapsed to the first one.
-3. Segments of the anchors that are left are put into blocks by anchor. A block becomes one
-   row of eight-byte symbols, aligned at the anchors, and its suffix array (linear grouping,
-   see ``suffix_array``) brings strings with equal whole symbols together; the up to seven
-   bytes at either end that no whole symbol covers are then compared.
+   out; of equal segments (the same anchor and a 64-bit hash of the content) only the first
+   goes on, the others are removed as wholes. Up to here only hashes are moved.
+3. Where an anchor has several different segments, these are put into blocks by anchor. A
+   block becomes one row of eight-byte symbols, aligned at the anchors, and its suffix array
+   (linear grouping, see ``suffix_array``) brings strings with equal whole symbols together;
+   the up to seven bytes at either end that no whole symbol covers are then compared.
 4. An anchor with very many different segments is not put into one block: its strings are
    counted one by one in an ordinary aggregation.
 """
@@ -38,8 +39,8 @@ _SPAN = 1 << 20
 _LOW = np.uint64((1 << 21) - 1)
 #: Segments of a block, and those of one anchor above which they are not put into a block.
 BLOCK_SEGMENTS, LARGE_ANCHOR = 1500, 2000
-#: Keys up to which a lookup is broadcast (some 60 bytes each); beyond, it is shuffled.
-BROADCAST_KEYS = 400_000
+#: Estimated bytes up to which a lookup is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 64_000_000
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, ...]:
@@ -138,6 +139,20 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _ORDER = ("no_id", "doc_id", "row", "first")
 
 
+def segment_keys(data: bytes, found: tuple[np.ndarray, ...]) -> np.ndarray:
+    """A hash of the content of each segment and of the place of its anchor."""
+    _, at, first, last = found
+    if not len(at):
+        return np.zeros(0, "uint64")
+    return mix(Substrings(data)(first, last + STRING) + (at - first).astype("uint64"))
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)], dtype="int32")
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, "uint64")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view("int64")))
+
+
 def _pass_one(docs: DataFrame) -> DataFrame:
     given = docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), F.md5(F.col("text").cast("binary")).alias("text_key"),
@@ -146,63 +161,67 @@ def _pass_one(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            lists = [anchors(t.encode())[0] for t in batch.column(5).to_pylist()]
-            ends = np.cumsum([0, *map(len, lists)], dtype="int32")
-            flat = np.concatenate(lists) if lists else np.zeros(0, "uint64")
+            hashes, segments = [], []
+            for text in batch.column(5).to_pylist():
+                found = anchors(data := text.encode())
+                hashes.append(found[0])
+                segments.append(segment_keys(data, found))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view("int64")))],
-                ["doc_id", "row", "text_key", "n_bytes", "sha256", "hashes"])
+                [*batch.columns[:5], _lists(hashes), _lists(segments)],
+                ["doc_id", "row", "text_key", "n_bytes", "sha256", "hashes", "segments"])
 
     return given.mapInArrow(run, f"doc_id {kind}, row long, text_key string, n_bytes long, "
-                                 "sha256 string, hashes array<long>")
+                                 "sha256 string, hashes array<long>, segments array<long>")
 
 
-def _with_text(docs: DataFrame, wanted: DataFrame, unique: bool) -> DataFrame:
-    """``wanted`` (``doc_id, text_key, row`` and more) with the texts, each once."""
+def _small(df: DataFrame, row_bytes: int, *lists: str) -> DataFrame:
+    """A hint to broadcast ``df`` where its size, counted before, allows it."""
+    entries = sum((F.size(name) for name in lists), F.lit(0))
+    rows, values = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(entries), F.lit(0))).first()
+    return F.broadcast(df) if row_bytes * rows + 8 * values <= BROADCAST_BYTES else df
+
+
+def _with_text(docs: DataFrame, wanted: DataFrame, unique: bool, *lists: str) -> DataFrame:
+    """``wanted`` (``doc_id, text_key, row`` and lists) with the texts, each once."""
     keyed = docs.select(F.col("doc_id").alias("own_id"), F.md5(F.col("text").cast("binary")).alias("own_key"), "text")
     same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key"))
-    keys = wanted.select("doc_id", "text_key")
-    if keys.count() <= BROADCAST_KEYS:          # then only texts that are wanted are shuffled
-        keyed = keyed.join(F.broadcast(keys), same, "left_semi")
-    found = keyed.join(wanted, same).drop("own_id", "own_key")
+    found = keyed.join(_small(wanted, 150, *lists), same).drop("own_id", "own_key")
     return found if unique else found.dropDuplicates(["row"])
 
 
 def _segments(texts: DataFrame) -> DataFrame:
-    """The segments of the picked anchors: ``hash, at, segment, digest`` and their order."""
+    """The segments of the anchors in ``picks``: ``hash, at, segment, large`` and their order."""
     kind = texts.schema["doc_id"].dataType.simpleString()
-    names = ["digest", "hash", "at", "segment", "no_id", "doc_id", "row", "first"]
+    names = ["hash", "at", "segment", "large", *_ORDER]
 
     def run(batches):
         for batch in batches:
-            column = {n: batch.column(batch.schema.get_field_index(n)) for n in
-                      ("doc_id", "row", "text", "picks")}
-            out = [[] for _ in range(5)]
-            source = []
+            column = {n: batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "row", "text", "picks")}
+            hashes, ats, pieces, large, firsts, source = [], [], [], [], [], []
             for k, (text, picks) in enumerate(zip(column["text"].to_pylist(), column["picks"].to_pylist(),
                                                   strict=True)):
-                data = text.encode()
-                hashes, at, first, last = (x[np.array(picks)] for x in anchors(data))
-                for h, p, a, b in zip(hashes.view("int64").tolist(), at.tolist(), first.tolist(),
-                                      last.tolist(), strict=True):
-                    piece = data[a:b + STRING]
-                    row = (hashlib.blake2b(piece + bytes([p - a]), digest_size=16).hexdigest(), h, p - a, piece, a)
-                    for column_, value in zip(out, row, strict=True):
-                        column_.append(value)
-                    source.append(k)
+                found = anchors(data := text.encode())
+                chosen = np.array([p["pick"] for p in picks])
+                hash_, at, first, last = (x[chosen] for x in found)
+                hashes += hash_.view("int64").tolist()
+                ats += (at - first).tolist()
+                firsts += first.tolist()
+                pieces += [data[a:b] for a, b in zip(first.tolist(), (last + STRING).tolist(), strict=True)]
+                large += [p["large"] for p in picks]
+                source += [k] * len(chosen)
             at_doc = pa.array(source, pa.int64())
+            ids = column["doc_id"].take(at_doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                 pa.array(out[3], pa.binary()), column["doc_id"].take(at_doc).is_null(),
-                 column["doc_id"].take(at_doc), column["row"].take(at_doc), pa.array(out[4], pa.int64())], names)
+                [pa.array(hashes, pa.int64()), pa.array(ats, pa.int64()), pa.array(pieces, pa.binary()),
+                 pa.array(large, pa.bool_()), ids.is_null(), ids, column["row"].take(at_doc),
+                 pa.array(firsts, pa.int64())], names)
 
-    return texts.mapInArrow(run, f"digest string, hash long, at long, segment binary, no_id boolean, "
+    return texts.mapInArrow(run, f"hash long, at long, segment binary, large boolean, no_id boolean, "
                                  f"doc_id {kind}, row long, first long")
 
 
-def _in_blocks(segments: DataFrame) -> DataFrame:
+def _in_blocks(segments: DataFrame, blocks: int) -> DataFrame:
     """Removed spans ``row, begin, end`` within blocks of segments."""
-    blocks = max(1, -(-segments.count() // BLOCK_SEGMENTS))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([(name, "ascending") for name in _ORDER])
@@ -251,25 +270,46 @@ def _one_by_one(segments: DataFrame) -> DataFrame:
             .select("row", F.col("first").alias("begin"), (F.col("first") + STRING).alias("end")))
 
 
-def _removed_spans(docs: DataFrame, owners: DataFrame, unique: bool) -> DataFrame:
-    """``row, begin, end`` of removed bytes of the first of each group of equal texts."""
-    every = owners.select("row", F.posexplode("hashes").alias("pick", "hash"))
-    often = every.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    picks = every.join(often, "hash").groupBy("row").agg(F.collect_list("pick").alias("picks"))
-    wanted = materialize(owners.select("doc_id", "text_key", "row").join(picks, "row"), "picks")
-    segments = materialize(_segments(_with_text(docs, wanted, unique)), "segments")
-
-    earliest = segments.groupBy("digest").agg(F.min(F.struct(*_ORDER)).alias("earliest"))
-    placed = segments.join(materialize(earliest, "earliest"), "digest")
-    is_first = (F.col("row") == F.col("earliest.row")) & (F.col("first") == F.col("earliest.first"))
-    copies = placed.filter(~is_first).select(
-        "row", F.col("first").alias("begin"), (F.col("first") + F.octet_length("segment")).alias("end"))
-    distinct = placed.filter(is_first).drop("earliest")
-    several = distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    compared = materialize(distinct.join(several, "hash"), "compared")
-    in_blocks = _in_blocks(compared.filter(F.col("n") <= LARGE_ANCHOR).drop("n", "digest"))
-    one_by_one = _one_by_one(compared.filter(F.col("n") > LARGE_ANCHOR).drop("n", "digest"))
-    return copies.unionByName(in_blocks).unionByName(one_by_one)
+def _first_segments(owners: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``row, pick`` of all anchors that occur more than once, and of those among them with
+    the first of equal segments, with the number ``n`` of different segments of the anchor."""
+    every = owners.select("doc_id", "row", F.posexplode(F.arrays_zip("hashes", "segments")).alias("pick", "a")).select(
+        "doc_id", "row", "pick", F.col("a.hashes").alias("hash"), F.col("a.segments").alias("segment"))
+    often = materialize(every.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"),
+                        "repeated-anchors")
+    repeated = every.join(_small(often, 32), "hash")
+    firsts = repeated.groupBy("hash", "segment").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pick")).alias("first"))
+    firsts = materialize(firsts.select("hash", "first.row", "first.pick"), "first-segments")
+    several = firsts.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    return repeated.select("row", "pick"), firsts.join(several, "hash").select("row", "pick", "n")
+
+
+def _removed(docs: DataFrame, owners: DataFrame, unique: bool) -> DataFrame:
+    """Of each text that loses something: ``row``, the anchors in ``gone`` whose segments go
+    as wholes, and ``spans`` (begin, end) found by comparison."""
+    repeated, firsts = _first_segments(owners)
+    marks = repeated.select("row", "pick", F.lit(0).alias("n")).unionByName(
+        firsts.select("row", "pick", F.col("n").cast("int").alias("n")))
+    by_row = marks.groupBy("row").agg(
+        F.collect_list(F.when(F.col("n") == 0, F.col("pick"))).alias("all"),
+        F.collect_list(F.when(F.col("n") > 0, F.col("pick"))).alias("kept"),
+        F.collect_list(F.when(F.col("n") > 1, F.struct(
+            "pick", (F.col("n") > LARGE_ANCHOR).alias("large")))).alias("picks"))
+    by_row = materialize(by_row.select("row", F.array_except("all", "kept").alias("gone"), "picks"), "picks")
+
+    keys = owners.select("doc_id", "text_key", "row")
+    wanted = by_row.filter(F.size("picks") > 0).select("row", "picks")
+    segments = _segments(_with_text(docs, materialize(keys.join(wanted, "row"), "compared"), unique, "picks"))
+    counts = wanted.agg(F.coalesce(F.sum(F.size("picks")), F.lit(0))).first()[0]
+    hot = wanted.filter(F.exists("picks", lambda p: p["large"])).limit(1).count()
+    spans = _in_blocks(segments.filter("not large").drop("large"), max(1, -(-counts // BLOCK_SEGMENTS)))
+    if hot:
+        spans = spans.unionByName(_one_by_one(segments.filter("large").drop("large")))
+    found = spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
+    both = by_row.select("row", "gone").join(found, "row", "left").withColumn("spans", F.coalesce("spans", none))
+    return keys.join(both.filter((F.size("gone") > 0) | (F.size("spans") > 0)), "row")
 
 
 def remove_repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -293,20 +333,21 @@ def remove_repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         "owners")
     own_rows = owner.select(F.col("owner_row").alias("row"))
     unique = keyed.groupBy("text_key", "doc_id").count().filter("count > 1").isEmpty()
-    owners = rows.join(own_rows, "row").select("doc_id", "row", "text_key", "hashes")
-    spans = _removed_spans(docs, owners, unique).groupBy("row").agg(
-        F.collect_list(F.struct("begin", "end")).alias("found"))
-    touched = materialize(rows.select("doc_id", "text_key", "row").join(spans, "row"), "spans")
-    with_text = _with_text(docs, touched, unique)
+    owners = rows.join(own_rows, "row").select("doc_id", "row", "text_key", "hashes", "segments")
+    removed = materialize(_removed(docs, owners, unique), "removed")
+    with_text = _with_text(docs, removed, unique, "gone", "spans")
 
     def run(batches):
         for batch in batches:
             column = {n: batch.column(batch.schema.get_field_index(n)).to_pylist()
-                      for n in ("text", "found")}
+                      for n in ("text", "gone", "spans")}
             merged, digests = [], []
-            for value, found in zip(column["text"], column["found"], strict=True):
+            for value, whole, found in zip(column["text"], column["gone"], column["spans"], strict=True):
                 data, gone = value.encode(), []
-                for begin, end in sorted((s["begin"], s["end"]) for s in found):
+                _, _, first, last = anchors(data)
+                ends = [(s["begin"], s["end"]) for s in found]
+                ends += zip(first[whole].tolist(), (last[whole] + STRING).tolist(), strict=True)
+                for begin, end in sorted(ends):
                     if gone and begin <= gone[-1][1]:
                         gone[-1][1] = max(gone[-1][1], end)
                     else:
@@ -323,12 +364,12 @@ def remove_repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
                  pa.array(merged, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
                  pa.array(digests, pa.string())], ["row", "spans", "kept_sha256"])
 
-    cut = with_text.select("row", "text", "found").mapInArrow(
+    cut = with_text.select("row", "text", "gone", "spans").mapInArrow(
         run, "row long, spans array<struct<begin:long,end:long>>, kept_sha256 string")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     copy = (F.col("row") != F.col("owner_row")) & (F.col("n_bytes") >= STRING)
-    all_rows = (rows.drop("hashes").join(owner, "text_key").join(cut, "row", "left"))
+    all_rows = (rows.drop("hashes", "segments").join(owner, "text_key").join(cut, "row", "left"))
     gone = F.when(copy, whole).otherwise(F.coalesce("spans", none))
     return all_rows.withColumn("spans", gone).select(
         "doc_id", "n_bytes",
