@@ -7,8 +7,6 @@ inputs are shared like this; the queries themselves are written twice.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,19 +19,9 @@ LEVELS = ("SEGMENT", "FAMILY", "CLASS", "COMMODITY")
 START, END = "1997-01-01 00:00:00", "1998-12-31 00:00:00"
 
 
-#: A Parquet file up to this size has one row group, so one task would do all
-#: the work on it. Larger inputs are split by the scan and never spread.
-ONE_TASK_BYTES = 64 * 1024 * 1024
-_SPREAD_FROM = 4 * 1024 * 1024
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; a small single file is spread over the cores."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if os.path.isfile(path) and _SPREAD_FROM < os.path.getsize(path) < ONE_TASK_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # -- expressions ---------------------------------------------------------------------
@@ -169,7 +157,7 @@ ITEM = ("ID", "PO_ITEM_ID", "PO_ID", "DESCRIPTION", "SUPPLIER_ORG", "BUYER_ORG",
 
 #: Network fact columns over lines and orders.
 FACT = ("concat('AN', cast(SUPPLIER_ORG as string)) as SUPPLIER_ANID", "PO_ID as PO",
-        "PO_ITEM_ID as ID", "BUYER_ORG % 10 as BUYER_ORG", "SUPPLIER_ORG",
+        "PO_ITEM_ID as ID", "BUYER_ORG", "SUPPLIER_ORG",
         "REQUESTED_DELIVERY_DATE", "DOCUMENT_DATE",
         "concat('C', cast(SUPPLIER_ORG % 5 as string)) as SHIP_TO_COUNTRY", "UNIT_OF_MEASURE",
         "QUANTITY", "UNIT_PRICE_USD", "PRODUCT_ID", "IS_BLANKET")

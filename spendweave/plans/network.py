@@ -17,7 +17,8 @@ def batch_facts(fact: DataFrame, start: Moment, end: Moment,
     """Facts by document date, without blanket orders. ``whole_months`` widens
     the window to full months, so that no month is overwritten by a part of it."""
     if whole_months:
-        start = F.date_trunc("month", F.lit(start).cast("timestamp"))
+        if start is not None:
+            start = F.date_trunc("month", F.lit(start).cast("timestamp"))
         end = (F.date_trunc("month", F.lit(end).cast("timestamp"))
                + F.expr("interval 1 month") - F.expr("interval 1 microsecond"))
     return in_window(fact, start, end, column="DOCUMENT_DATE").where("IS_BLANKET = 0")

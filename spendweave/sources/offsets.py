@@ -12,26 +12,24 @@ from .. import schemas
 from ..operators.upsert import update_rows, upsert
 from .tables import has_snapshot, read_snapshot, replace_snapshot
 
-#: Start of a job that never ran, or that was told to start over.
-EARLIEST = datetime(2000, 1, 1)
+Window = tuple[datetime | None, datetime]
 
 
 def batch_window(offsets: DataFrame, job: str, start: datetime | None = None,
-                 end: datetime | None = None,
-                 earliest: datetime = EARLIEST) -> tuple[datetime, datetime]:
-    """Start and end of a job's next batch: the arguments, else the stored
-    offset (``earliest`` if there is none or the job was reset) and now."""
+                 end: datetime | None = None) -> Window:
+    """Start and end of a job's next batch: the arguments, else the stored offset
+    and now. A job that never ran, or was told to start over, has no start: it
+    reads everything up to the end."""
     if start is None:
-        row = offsets.where(F.col("JOB") == job).select("OFFSET_AT", "RESET_FLAG").first()
-        start = earliest if row is None or row["RESET_FLAG"] == 1 else row["OFFSET_AT"]
+        row = job_windows(offsets).where(F.col("JOB") == job).first()
+        start = row["START_AT"] if row else None
     return start, end or datetime.now()
 
 
-def job_windows(offsets: DataFrame, earliest: datetime = EARLIEST) -> DataFrame:
-    """The next start of every job."""
-    begin = F.when((F.col("RESET_FLAG") == 1) | F.col("OFFSET_AT").isNull(),
-                   F.lit(earliest).cast("timestamp")).otherwise(F.col("OFFSET_AT"))
-    return offsets.select("JOB", begin.alias("START_AT"))
+def job_windows(offsets: DataFrame) -> DataFrame:
+    """The next start of every job; NULL for one that starts over."""
+    return offsets.select("JOB", F.when(~F.col("RESET_FLAG").eqNullSafe(1), F.col("OFFSET_AT"))
+                          .alias("START_AT"))
 
 
 def commit_offset(offsets: DataFrame, job: str, end: datetime) -> DataFrame:
@@ -49,8 +47,8 @@ def request_reset(offsets: DataFrame, job: str, flag: int = 1) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, root: str, job: str,
-              step: Callable[[datetime, datetime], None], start: datetime | None = None,
-              end: datetime | None = None, commit: bool = True) -> tuple[datetime, datetime]:
+              step: Callable[[datetime | None, datetime], None], start: datetime | None = None,
+              end: datetime | None = None, commit: bool = True) -> Window:
     """Run ``step`` on the job's next window and move its offset on.
 
     ``root`` holds the offset table. An error in ``step`` leaves the offset
