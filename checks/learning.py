@@ -60,13 +60,16 @@ def token_ids(spark, d):
 
 
 @query("token_ids_joined", with_tables("", """
-    select doc_id, coalesce(array_to_string(ids, ' '), '') as ids
-    from documents left join ids using (doc_id)""", places=PLACES, words=VOCABULARY, ids=IDS))
+    select key, coalesce(array_to_string(ids, ' '), '') as ids
+    from (select doc_id, case when doc_id % 3 = 0 then null else doc_id % 10 end as key
+          from documents union all select doc_id, -1 from documents)
+    left join ids using (doc_id)""", places=PLACES, words=VOCABULARY, ids=IDS))
 def token_ids_joined(spark, d):
-    """The way taken by a vocabulary too large for a lookup table."""
-    found = vocabulary.token_ids(documents(spark, d), "text", words(spark, d), row_key="doc_id",
-                                 lookup_words=0)
-    return found.select("doc_id", F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    """Rows whose keys repeat or are missing, and every text twice."""
+    keyed = documents(spark, d).selectExpr(
+        "text", "explode(array(case when doc_id % 3 = 0 then null else doc_id % 10 end, -1)) as key")
+    found = vocabulary.token_ids(keyed, "text", words(spark, d))
+    return found.select("key", F.concat_ws(" ", F.col("ids").cast("array<string>"))
                         .alias("ids"))
 
 

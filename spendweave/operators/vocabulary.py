@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,11 +11,6 @@ from pyspark.sql.types import IntegralType
 from ..functions import text
 from ..session import materialize
 
-#: A vocabulary up to this size is looked up inside each task; a larger one is
-#: joined.
-LOOKUP_WORDS = 100_000
-_WORDS_PER_SLOT = 2
-
 
 def _place(df: DataFrame, row_key: Sequence[str]) -> Column:
     """Row and position of a word as one ordered value.
@@ -50,45 +44,18 @@ def vocabulary(df: DataFrame, column: str, row_key: str | Sequence[str],
     return top.select("word", "count", rank.alias("index"))
 
 
-def _slot(word: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("int")
-
-
-def _lookup_table(words: DataFrame, slots: int) -> Column:
-    """A bounded vocabulary as one constant: small maps addressed by word hash.
-
-    A single map would be searched from end to end for every token.
-    """
-    table: list[dict[str, int]] = [{} for _ in range(slots)]
-    for row in words.select("word", "index", _slot(F.col("word"), slots).alias("slot")).collect():
-        table[row["slot"]][row["word"]] = row["index"]
-    # a constant expression: Catalyst evaluates it once, when it plans the query
-    return F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
-
-
-def token_ids(df: DataFrame, column: str, words: DataFrame, output: str = "ids",
-              row_key: str | Sequence[str] | None = None,
-              lookup_words: int = LOOKUP_WORDS) -> DataFrame:
+def token_ids(df: DataFrame, column: str, words: DataFrame, output: str = "ids") -> DataFrame:
     """Ids of the words of each text in order; unknown words are dropped.
 
-    The vocabulary is written once and counted. A bounded one becomes a lookup
-    table evaluated inside the scan, without a shuffle; a larger one is joined
-    word by word and the ids are collected per ``row_key``.
+    The rows are numbered and written once; their words meet the vocabulary in a
+    join (Spark broadcasts a small one) and are regrouped by that number, so rows
+    may repeat and need no key. A NULL text has no ids.
     """
-    words = materialize(words.select("word", F.col("index").cast("int")), "vocabulary")
-    size = words.count()
-    if size <= lookup_words:
-        slots = size // _WORDS_PER_SLOT + 1
-        table = _lookup_table(words, slots)
-        ids = F.transform(text.tokens(F.col(column)),
-                          lambda word: F.element_at(F.get(table, _slot(word, slots)), word))
-        return df.withColumn(output, F.filter(ids, lambda i: i.isNotNull()))
-    if row_key is None:
-        raise ValueError("a vocabulary of this size needs row_key")
-    keys = [row_key] if isinstance(row_key, str) else list(row_key)
-    found = (df.select(*keys, F.posexplode(text.tokens(F.col(column))).alias("pos", "word"))
-             .join(words, "word").groupBy(*keys)
-             .agg(F.sort_array(F.collect_list(F.struct("pos", "index"))).alias("__found")))
-    ids = F.coalesce(F.transform("__found", lambda entry: entry["index"]),
+    words = materialize(words.select("word", F.col("index").cast("int").alias("__index")), "vocabulary")
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = (rows.select("__row", F.posexplode(text.tokens(F.col(column))).alias("pos", "word"))
+             .join(words, "word").groupBy("__row")
+             .agg(F.sort_array(F.collect_list(F.struct("pos", "__index"))).alias("__found")))
+    ids = F.coalesce(F.transform("__found", lambda entry: entry["__index"]),
                      F.array().cast("array<int>"))
-    return df.join(found, keys, "left").withColumn(output, ids).drop("__found")
+    return rows.join(found, "__row", "left").withColumn(output, ids).drop("__found", "__row")

@@ -53,7 +53,7 @@ def training_features(rows: DataFrame, options: TrainingOptions = TrainingOption
                       row_key: str = "PO_ITEM_ID") -> DataFrame:
     """Padded word ids and one-hot label of each row."""
     words = vocabulary.vocabulary(rows, C.FEATURE, row_key, options.num_words)
-    ids = vocabulary.token_ids(rows, C.FEATURE, words, "ids", row_key)
+    ids = vocabulary.token_ids(rows, C.FEATURE, words, "ids")
     padded = ids.withColumn("ids", text.pad_ids(F.col("ids"), options.text_length))
     dictionary = labels.label_index(rows, options.label)
     indexed = labels.index_labels(padded, options.label, dictionary)
