@@ -1,8 +1,10 @@
 """Exact-size samples and splits without a global sort.
 
-Rows are ordered by a seeded hash. A histogram over the hash prefix locates the
-one bucket a cut falls into; rows of other buckets pass a filter, and only that
-bucket is ordered, after equal rows have been folded into one row with a count.
+Rows are ordered by a seeded hash of the chosen columns, then by a hash of the whole
+row. Histograms find the place of a cut step by step: the prefix of the first hash,
+within that prefix the hash itself (which many rows share if the columns repeat), and
+within that hash the prefix of the second one. Rows elsewhere pass a filter; only what
+agrees in all three is ordered, after equal rows have been folded into one with a count.
 """
 
 from __future__ import annotations
@@ -14,41 +16,56 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-_HASH, _BUCKET, _TAKE = "__hash", "__bucket", "__take"
-_BUCKET_DIGITS = 5          # 16**5, about a million buckets
+_BUCKET, _HASH, _ROW, _TAKE = "__bucket", "__hash", "__row", "__take"
+_DIGITS = 5          # 16**5, about a million buckets
 
 
-def _hashed(df: DataFrame, seed: int, columns: Sequence[str]) -> DataFrame:
-    """Rows with a uniform, seeded order: an MD5 any SQL engine can repeat."""
+def _digest(seed: int, columns: Sequence[str]) -> Column:
+    """A uniform, seeded hash: an MD5 any SQL engine can repeat."""
     fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *fields))
-    return df.withColumn(_HASH, digest).withColumn(
-        _BUCKET, F.substring(_HASH, 1, _BUCKET_DIGITS))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *fields))
 
 
-def _edge(hashed: DataFrame, wanted: Column) -> tuple[Column, Column]:
-    """Where the cut after ``wanted`` rows falls: the bucket it divides, and how
-    many rows of that bucket lie before it. One pass over the hashes; the result
-    is one row, written so that the passes that follow do not repeat it."""
-    histogram = hashed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"))
+def _hashed(df: DataFrame, seed: int, by: Sequence[str] | None) -> DataFrame:
+    """The rows with their hashes, written once: all passes see the same rows."""
+    first, row = _digest(seed, by or df.columns), _digest(seed, df.columns)
+    return materialize(df.withColumns({
+        _BUCKET: F.substring(first, 1, _DIGITS), _HASH: first,
+        _ROW: F.substring(row, 1, _DIGITS)}), "hashed")
+
+
+def _edge(rows: DataFrame, level: str, wanted: Column) -> tuple[Column, Column]:
+    """The value of ``level`` that the cut after ``wanted`` rows falls into, and how
+    many rows of that value lie before it; one row, written for the passes that follow."""
+    histogram = rows.groupBy(level).agg(F.count(F.lit(1)).alias("n"))
     totals = histogram.withColumns({
-        "upto": F.sum("n").over(Window.orderBy(_BUCKET)),
+        "upto": F.sum("n").over(Window.orderBy(level)),
         "all": F.sum("n").over(Window.partitionBy())})
     first = totals.where(F.col("upto") > wanted).agg(
-        F.min(F.struct(_BUCKET, (wanted - F.col("upto") + F.col("n")).alias("missing"))).alias("e"))
+        F.min(F.struct(level, (wanted - F.col("upto") + F.col("n")).alias("missing"))).alias("e"))
     edge = materialize(first.select(
-        # no such bucket: all rows lie before the cut ('g' follows every hex digit)
-        F.coalesce(f"e.{_BUCKET}", F.lit("g")).alias("bucket"), F.col("e.missing")), "cut")
-    return edge.select("bucket").scalar(), edge.select("missing").scalar()
+        # no such value: all rows lie before the cut ('g' follows every hex digit)
+        F.coalesce(f"e.{level}", F.lit("g")).alias("value"), F.col("e.missing")), "cut")
+    return edge.select("value").scalar(), edge.select("missing").scalar()
+
 
+def _cut(hashed: DataFrame, wanted: Column) -> tuple[Column, Column, Column]:
+    """Conditions for the rows before the cut and for those that it may divide, and how
+    many of the latter lie before it."""
+    before, here, missing = F.lit(False), F.lit(True), wanted
+    for level in (_BUCKET, _HASH, _ROW):
+        value, missing = _edge(hashed.where(here), level, missing)
+        before = before | (here & (F.col(level) < value))
+        here = here & (F.col(level) == value)
+    return before, here, missing
 
-def _divided(hashed: DataFrame, bucket: Column, missing: Column,
+
+def _divided(hashed: DataFrame, here: Column, missing: Column,
              columns: Sequence[str]) -> DataFrame:
-    """The edge bucket's rows, equal ones folded into one with its count ``n``,
-    and how many of the ``n`` lie before the cut."""
-    folded = (hashed.where(F.col(_BUCKET) == bucket)
-              .groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("n")))
-    upto = F.sum("n").over(Window.orderBy(_HASH, *columns))
+    """The rows at the edge, equal ones folded into one with its count ``n``, and how
+    many of the ``n`` lie before the cut."""
+    folded = (hashed.where(here).groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("n")))
+    upto = F.sum("n").over(Window.orderBy(*columns))
     room = F.greatest(F.lit(0), missing - (upto - F.col("n")))
     return folded.withColumn(_TAKE, F.least(F.col("n"), room))
 
@@ -63,13 +80,10 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42,
                 by: Sequence[str] | None = None) -> DataFrame:
     """Exactly ``n`` rows (all rows if there are fewer), the same for any
     partitioning. ``by`` names the columns that seed the order (default: all)."""
-    hashed = _hashed(df, seed, by or df.columns)
-    bucket, missing = _edge(hashed, F.lit(n).cast("bigint"))
-    # little more than the sample: the edge bucket is a millionth of the rows
-    near = materialize(hashed.where(F.col(_BUCKET) <= bucket), "sample")
-    divided = _divided(near, bucket, missing, df.columns)
-    return near.where(F.col(_BUCKET) < bucket).select(*df.columns).unionByName(
-        _unfolded(divided, F.col(_TAKE), df.columns))
+    hashed = _hashed(df, seed, by)
+    before, here, missing = _cut(hashed, F.lit(n).cast("bigint"))
+    return hashed.where(before).select(*df.columns).unionByName(
+        _unfolded(_divided(hashed, here, missing, df.columns), F.col(_TAKE), df.columns))
 
 
 def sample_with_replacement(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
@@ -91,12 +105,12 @@ def split_tail(df: DataFrame, share: float, seed: int = 42,
                by: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Training and validation rows; validation is the last ``int(rows * share)``
     in seeded order. A share that rounds to no rows leaves validation empty."""
-    hashed = _hashed(df, seed, by or df.columns)
+    hashed = _hashed(df, seed, by)
     wanted = F.col("all") - F.floor(F.col("all") * F.lit(share)).cast("bigint")
-    bucket, missing = _edge(hashed, wanted)
-    divided = _divided(hashed, bucket, missing, df.columns)
-    training = hashed.where(F.col(_BUCKET) < bucket).select(*df.columns).unionByName(
+    before, here, missing = _cut(hashed, wanted)
+    divided = materialize(_divided(hashed, here, missing, df.columns), "edge")
+    training = hashed.where(before).select(*df.columns).unionByName(
         _unfolded(divided, F.col(_TAKE), df.columns))
-    validation = hashed.where(F.col(_BUCKET) > bucket).select(*df.columns).unionByName(
+    validation = hashed.where(~(before | here)).select(*df.columns).unionByName(
         _unfolded(divided, F.col("n") - F.col(_TAKE), df.columns))
     return training, validation

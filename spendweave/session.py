@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a Parquet file grows in memory; a broadcast is decided on the grown size
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # the JVM does not compile methods over 8000 bytes; wide rows are faster
     # operator by operator than in one method that stays interpreted
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -37,19 +39,10 @@ def build_session(app_name: str = "spendweave", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder for intermediate tables (``spark.checkpoint.dir``).
-
-    Only a local session may fall back on a temporary folder: on a cluster the
-    executors could not see it.
-    """
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spendweave-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+    """The cluster's folder for intermediate tables: ``spark.checkpoint.dir``, and
+    below the warehouse where that is not set. Both are shared by contract."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -62,12 +55,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    for paths in _scratch:
+    for paths in _scratch.get():
         paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_scratch: list[list[str]] = []
+#: The open blocks of this thread or task; other threads have their own.
+_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 @contextmanager
@@ -75,11 +69,11 @@ def scratch(spark: SparkSession):
     """Remove the intermediate tables made inside the block, at its end. Results
     that read them must have been written by then."""
     paths: list[str] = []
-    _scratch.append(paths)
+    token = _scratch.set((*_scratch.get(), paths))
     try:
         yield
     finally:
-        _scratch.remove(paths)
+        _scratch.reset(token)
         for path in paths:
             location = spark._jvm.org.apache.hadoop.fs.Path(path)
             location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
