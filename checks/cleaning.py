@@ -276,18 +276,18 @@ def concat_feature(spark, d):
     return features.with_feature(bind.items(spark, d)).select("ID", "CONCAT_FEATURE")
 
 
-_CLEAN_SQL = """trim(array_to_string(list_filter(words, lambda x, i: list_position(words, x) = i),
+CLEAN_SQL = """trim(array_to_string(list_filter(words, lambda x, i: list_position(words, x) = i),
     ' '))"""
-_WORDS_SQL = r"""string_split(lower(regexp_replace(coalesce({0}, ''),
+WORDS_SQL = r"""string_split(lower(regexp_replace(coalesce({0}, ''),
     '[!"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{{|}}~]', ' ', 'g')), ' ')"""
 
 
 @query("clean_description", f"""
-    select id, {_CLEAN_SQL} as cleaned, length({_CLEAN_SQL}) as n from (
-        select concat('D', cast(doc_id as varchar)) as id, {_WORDS_SQL.format('text')} as words
+    select id, {CLEAN_SQL} as cleaned, length({CLEAN_SQL}) as n from (
+        select concat('D', cast(doc_id as varchar)) as id, {WORDS_SQL.format('text')} as words
         from documents
         union all
-        select concat('P', cast(p_partkey as varchar)), {_WORDS_SQL.format(bind.DESCRIPTION)}
+        select concat('P', cast(p_partkey as varchar)), {WORDS_SQL.format(bind.DESCRIPTION)}
         from part)""")
 def clean_description(spark, d):
     documents = bind.table(spark, d, "documents").selectExpr(
@@ -314,8 +314,8 @@ def distinct_words(spark, d):
                                 else 'Acceptable' end as quality
     from (select P_KEY, cleaned, length(regexp_replace(cleaned, '[^0-9a-z]', '', 'g')) as a,
                  length(regexp_replace(cleaned, '[^a-z]', '', 'g')) as b, length(cleaned) as c
-          from (select P_KEY, """ + _CLEAN_SQL + """ as cleaned from (
-                select P_KEY, """ + _WORDS_SQL.format("DESCRIPTION") + """ as words
+          from (select P_KEY, """ + CLEAN_SQL + """ as cleaned from (
+                select P_KEY, """ + WORDS_SQL.format("DESCRIPTION") + """ as words
                 from parts)))"""))
 def rate_description(spark, d):
     from spendweave.operators.reconcile import rate_descriptions

@@ -14,6 +14,7 @@ from spendweave.sources.readers import latest_predictions
 
 from . import bind
 from .bind import END, LEVELS, START, plain, query, sql_time, with_tables
+from .cleaning import CLEAN_SQL, WORDS_SQL
 
 # -- codes ----------------------------------------------------------------------------
 
@@ -229,12 +230,13 @@ def anti_export(spark, d):
 
 
 @query("export_batch", with_tables("parts", """
-    select DESCRIPTION from parts where DESCRIPTION is not null
+    select DESCRIPTION from parts where DESCRIPTION is not null and length(DESCRIPTION) % 3 <> 0
     group by DESCRIPTION order by DESCRIPTION limit 50"""))
 def export_batch(spark, d):
     texts = (bind.parts(spark, d).where("DESCRIPTION is not null")
              .selectExpr("DESCRIPTION as PROCESSED_DESCRIPTION").distinct())
-    batch = vendor.to_export(texts, texts.limit(0), batch_size=50)
+    exported = texts.where("length(PROCESSED_DESCRIPTION) % 3 = 0")
+    batch = vendor.to_export(texts, exported, batch_size=50)
     return batch.withColumnRenamed("PROCESSED_DESCRIPTION", "DESCRIPTION")
 
 
@@ -399,12 +401,11 @@ def one_hot(spark, d):
 
 @query("predicted_class", """
     select vec_id, list_position(embedding, list_max(embedding)) - 1 as cls,
-           cast(list_max(embedding) as double) as top from embeddings""")
+           round(cast(list_max(embedding) as double), 3) as top from embeddings""")
 def predicted_class(spark, d):
-    number, _ = labels.predicted_class("embedding")
+    number, top = labels.predicted_class(F.col("embedding").cast("array<double>"))
     return bind.table(spark, d, "embeddings").select(
-        "vec_id", number.cast("bigint").alias("cls"),
-        F.array_max("embedding").cast("double").alias("top"))
+        "vec_id", number.cast("bigint").alias("cls"), top.alias("top"))
 
 
 METRICS_SQL = """
@@ -431,11 +432,11 @@ def class_metrics(spark, d):
 
 
 @query("class_metrics_codes", with_tables("items", METRICS_SQL, pairs="""
-    select substr(CODE, 1, 2) as a, substr(OWN_CODE, 1, 2) as b from items
+    select CODE as a, OWN_CODE as b from items
     where CODE is not null and OWN_CODE is not null"""))
 def class_metrics_codes(spark, d):
     pairs = bind.items(spark, d).where("CODE is not null and OWN_CODE is not null").selectExpr(
-        "substr(CODE, 1, 2) as a", "substr(OWN_CODE, 1, 2) as b")
+        "CODE as a", "OWN_CODE as b")
     return metrics.class_metrics(pairs, "a", "b")
 
 
@@ -443,10 +444,23 @@ EVALUATED_NAMES = ("PROCESSED_DESCRIPTION", "AN_DATA_QUALITY_LEVEL",
                    *(f"AN_UNSPSC_{level}" for level in LEVELS))
 
 
+#: Cleaned description and its rating, for each item.
+RATED_SQL = r"""
+    select ID, cleaned, case when least(a, b, c) < 3 then 'Poor'
+                             when a > 15 and b > 15 and c > 15 then 'Good'
+                             else 'Acceptable' end as rating
+    from (select ID, cleaned, length(regexp_replace(cleaned, '[^0-9a-z]', '', 'g')) as a,
+                 length(regexp_replace(cleaned, '[^a-z]', '', 'g')) as b, length(cleaned) as c
+          from (select ID, """ + CLEAN_SQL + """ as cleaned from (
+                select ID, """ + WORDS_SQL.format("DESCRIPTION") + """ as words from items)))"""
+
+
 @query("evaluate_items", with_tables("items commodity", f"""
-    select v.ID, {DERIVED}, QUALITY as AN_CLASSIFICATION_QUALITY_COMMODITY
-    from ({VALIDATED}) v"""))
+    select v.ID, {DERIVED}, QUALITY as AN_CLASSIFICATION_QUALITY_COMMODITY,
+           cleaned as PROCESSED_DESCRIPTION, rating as AN_DATA_QUALITY_LEVEL
+    from ({VALIDATED}) v join rated using (ID)""", rated=RATED_SQL))
 def evaluate_items(spark, d):
     evaluated = evaluate.evaluate_items(bind.items(spark, d), bind.commodity(spark, d))
     return evaluated.select("ID", *[f"AN_UNSPSC_{level}" for level in LEVELS],
-                            "AN_CLASSIFICATION_QUALITY_COMMODITY")
+                            "AN_CLASSIFICATION_QUALITY_COMMODITY", "PROCESSED_DESCRIPTION",
+                            "AN_DATA_QUALITY_LEVEL")

@@ -10,7 +10,9 @@ from spendweave.operators import upsert as merge
 from spendweave.plans import (evaluate, extract, finalize, inference, network, replicate, star,
                               vendor)
 from spendweave.session import materialize
+from spendweave import schemas
 from spendweave.sources import offsets
+from spendweave.sources.readers import in_window
 
 from . import bind
 from .bind import END, LEVELS, START, plain, query, sql_time, with_tables
@@ -88,19 +90,22 @@ def update_only(spark, d):
                               update={"SEGMENT": "source.SEGMENT"}))
 
 
-def _null_keys(spark, d):
+#: Among NULLs that match each other a source may hold one only.
+ONE_NULL = "(ID % 14 > 0 or ID = 14)"
+
+
+def _null_keys(spark, d, kept: str = "true"):
     keyed = target(spark, d).withColumn("ID", F.expr("case when ID % 7 > 0 then ID end"))
-    rows = source(spark, d).withColumn("ID", F.expr("case when ID % 49 > 0 then ID end"))
-    return keyed, rows.where("ID is not null or NAME = 'Customer#000000000*'")
+    rows = source(spark, d).where(kept).withColumn("ID", F.expr("case when ID % 14 > 0 then ID end"))
+    return keyed, rows
 
 
 @query("upsert_null_keys", f"""
     with t as (select {', '.join(TARGET).replace('timestamp_ntz', 'timestamp ')}
                from customer where c_custkey % 3 <> 0),
          t2 as (select * replace (case when ID % 7 > 0 then ID end as ID) from t),
-         s as (select * replace (case when ID % 49 > 0 then ID end as ID)
-               from (select {', '.join(SOURCE)} from customer where c_custkey % 2 = 0)
-               where ID % 49 > 0 or NAME = 'Customer#000000000*')
+         s as (select * replace (case when ID % 14 > 0 then ID end as ID)
+               from (select {', '.join(SOURCE)} from customer where c_custkey % 2 = 0))
     select coalesce(t2.ID, s.ID) as ID, coalesce(s.NAME, t2.NAME) as NAME,
            case when t2.NAME is null then '{RUN}' else '2001-01-01 00:00:00' end
              as _DELTA_CREATED_ON
@@ -115,15 +120,15 @@ def upsert_null_keys(spark, d):
     with t as (select {', '.join(TARGET).replace('timestamp_ntz', 'timestamp ')}
                from customer where c_custkey % 3 <> 0),
          t2 as (select * replace (case when ID % 7 > 0 then ID end as ID) from t),
-         s as (select * replace (case when ID % 49 > 0 then ID end as ID)
+         s as (select * replace (case when ID % 14 > 0 then ID end as ID)
                from (select {', '.join(SOURCE)} from customer where c_custkey % 2 = 0)
-               where ID % 49 > 0 or NAME = 'Customer#000000000*')
+               where {ONE_NULL})
     select coalesce(t2.ID, s.ID) as ID, coalesce(s.NAME, t2.NAME) as NAME,
            case when t2.NAME is null then '{RUN}' else '2001-01-01 00:00:00' end
              as _DELTA_CREATED_ON
     from t2 full join s on t2.ID is not distinct from s.ID""")
 def upsert_null_safe(spark, d):
-    keyed, rows = _null_keys(spark, d)
+    keyed, rows = _null_keys(spark, d, ONE_NULL)
     merged = merge.upsert(keyed, rows, "ID", now=now(), null_safe=True)
     return plain(merged.select("ID", "NAME", "_DELTA_CREATED_ON"))
 
@@ -188,7 +193,7 @@ def rows_inserted(spark, d):
 
 
 @query("job_windows", f"""
-    select event_type as JOB, case when event_type = 'error' then '2000-01-01 00:00:00'
+    select event_type as JOB, case when event_type = 'error' then null
              else strftime(date_trunc('second', max(ts)), '%Y-%m-%d %H:%M:%S') end as START_AT
     from events group by event_type""")
 def job_windows(spark, d):
@@ -197,6 +202,15 @@ def job_windows(spark, d):
     return plain(offsets.job_windows(offsets.request_reset(stored, "error")))
 
 
+@query("first_run", "select o_orderkey from orders where o_orderdate <= timestamp '1997-06-30'")
+def first_run(spark, d):
+    """A job that never ran reads everything up to the end."""
+    from datetime import datetime
+    stored = spark.createDataFrame([], schemas.JOB_OFFSET)
+    start, end = offsets.batch_window(stored, "network", end=datetime(1997, 6, 30))
+    return in_window(bind.table(spark, d, "orders"), start, end, "o_orderdate").select("o_orderkey")
+
+
 @query("commit_offset", f"""
     select event_type as JOB, case when event_type = 'view' then '{RUN}'
              else strftime(date_trunc('second', max(ts)), '%Y-%m-%d %H:%M:%S') end as OFFSET_AT,
@@ -379,7 +393,7 @@ def import_items(spark, d):
     from report r full join feed f on r.PROCESSED_DESCRIPTION = f.PROCESSED_DESCRIPTION""",
     feed=FEED, report=REPORT))
 def import_report(spark, d):
-    _, merged = vendor.run_import(bind.item_table(spark, d).limit(0), vendor_report(spark, d),
+    _, merged = vendor.run_import(bind.item_table(spark, d), vendor_report(spark, d),
                                   lower_feed(spark, d), now())
     return plain(merged.select("PROCESSED_DESCRIPTION", "DESCRIPTION", "UNSPSC_COMMODITY",
                                "REPORT_LASTUPDATED_AT", "_DELTA_CREATED_ON"))
@@ -447,6 +461,13 @@ def _reported(spark, d):
                               F.col(f"EXTERNAL_PREDICATED_UNSPSC_{level}") for level in LEVELS})
 
 
+def _facts(items):
+    return items.groupBy("PO_ITEM_ID").agg(F.min("ID").alias("FIRST_ID")).selectExpr(
+        "PO_ITEM_ID as ID", "cast(PO_ITEM_ID % 5 = 0 as int) as IS_BLANKET",
+        "case when PO_ITEM_ID % 3 = 0 then FIRST_ID end as PRODUCT_ID",
+        "timestamp'2001-01-01' as _DELTA_UPDATED_ON")
+
+
 def _first_dimension(spark, d):
     rows = star.dimension_rows(_reported(spark, d), FIRST_START, FIRST_END)
     return materialize(rows.withColumns({name: F.lit("2001-01-01").cast("timestamp")
@@ -464,8 +485,8 @@ def _first_dimension(spark, d):
     from a full join b using (ID)""",
     a=DIMENSION_ROWS.format(FIRST_START, FIRST_END), b=DIMENSION_ROWS.format(START, END)))
 def load_dimension(spark, d):
-    fact = spark.createDataFrame([], "ID bigint, PRODUCT_ID string, IS_BLANKET int")
-    merged, _ = star.run(_reported(spark, d), _first_dimension(spark, d), fact, START, END, now())
+    items = _reported(spark, d)
+    merged, _ = star.run(items, _first_dimension(spark, d), _facts(items), START, END, now())
     return plain(merged.select("ID", "PO_ITEM_ID", "UNSPSC_COMMODITY", *C.AUDIT))
 
 
@@ -482,11 +503,7 @@ def load_dimension(spark, d):
              from item_table group by PO_ITEM_ID"""))
 def link_facts(spark, d):
     items = _reported(spark, d)
-    facts = items.groupBy("PO_ITEM_ID").agg(F.min("ID").alias("FIRST_ID")).selectExpr(
-        "PO_ITEM_ID as ID", "cast(PO_ITEM_ID % 5 = 0 as int) as IS_BLANKET",
-        "case when PO_ITEM_ID % 3 = 0 then FIRST_ID end as PRODUCT_ID",
-        "timestamp'2001-01-01' as _DELTA_UPDATED_ON")
-    _, linked = star.run(items, _first_dimension(spark, d), facts, START, END, now())
+    _, linked = star.run(items, _first_dimension(spark, d), _facts(items), START, END, now())
     return plain(linked)
 
 

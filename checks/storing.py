@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spendweave import schemas
 from spendweave.functions.measures import month_start
 from spendweave.operators.upsert import upsert
 from spendweave.plans import vendor
-from spendweave.session import shared_folder
+from spendweave.session import materialize, shared_folder
 from spendweave.sources import readers, tables
 from spendweave.streaming import vendor_feed
 
@@ -59,7 +60,8 @@ def csv_export(spark, d):
     rows = bind.table(spark, d, "documents").select("doc_id", "text", "lang")
     tables.export_csv(rows, path, "2024-06-01", tables.next_run(spark, path, "2024-06-01"))
     return readers.load_table(path, "csv", spark, "doc_id bigint, text string, lang string, "
-                              "export_date string, run_no int").select("doc_id", "text", "lang")
+                              "export_date string, run_no int", multi_line=True).select(
+        "doc_id", "text", "lang")
 
 
 @query("csv_export_runs", """
@@ -101,20 +103,25 @@ def vendor_stream(spark, d):
     shaped = feed.select(*[F.col(field.name) if field.name in feed.columns
                            else F.lit(None).cast("string").alias(field.name)
                            for field in spark.createDataFrame([], schemas.VENDOR_FEED).schema])
-    (shaped.sortWithinPartitions("PREDICATION_LASTUPDATED_AT")
-     .write.options(header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss",
-                    maxRecordsPerFile=10_000).csv(f"{folder}/feed"))
+    later = F.max("PREDICATION_LASTUPDATED_AT").over(Window.partitionBy("PROCESSED_DESCRIPTION"))
+    newest = F.col("PREDICATION_LASTUPDATED_AT") == later
+    shaped = materialize(shaped.withColumn("newest", newest), "feed")
+    # the newest answers come first, the outdated ones in a later file
+    for wanted in ("newest", "not newest"):
+        (shaped.where(wanted).drop("newest").coalesce(1)
+         .write.options(header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss")
+         .mode("append").csv(f"{folder}/feed"))
     report = f"{folder}/report"
     tables.replace_snapshot(spark.createDataFrame([], schemas.VENDOR_REPORT), report)
 
     def merge(batch):
         current = tables.read_snapshot(batch.sparkSession, report)
         answers = vendor.feed_to_report(batch)
-        tables.replace_snapshot(upsert(current, answers, "PROCESSED_DESCRIPTION", unique=True),
-                                report)
+        tables.replace_snapshot(vendor.merge_report(current, answers), report)
 
-    vendor_feed.import_feed(vendor_feed.read_feed(spark, f"{folder}/feed"),
-                            f"{folder}/checkpoint", merge).awaitTermination()
+    feed = vendor_feed.read_feed(spark, f"{folder}/feed", archive=f"{folder}/done",
+                                 files_per_batch=1)
+    vendor_feed.import_feed(feed, f"{folder}/checkpoint", merge).awaitTermination()
     return plain(tables.read_snapshot(spark, report).select(
         "PROCESSED_DESCRIPTION", "DESCRIPTION", "UNSPSC_COMMODITY", "REPORT_LASTUPDATED_AT"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import AUDIT, UPDATED
@@ -34,21 +34,17 @@ def _all(conditions) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
 
-def require_unique(source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """``source``, failing at run time if a key that can match occurs twice.
+def require_unique(source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> None:
+    """Fail if a key that can match occurs twice in ``source``.
 
-    Rows with a NULL key cannot match; they are counted apart by a hash of the
-    row, so that they do not pile up in one window group.
+    One aggregation over the keys alone, run at once; rows with a NULL key cannot
+    match and are left out. A source that is costly to compute should have been
+    written before.
     """
     matching = _all([F.lit(True)] if null_safe else [F.col(key).isNotNull() for key in keys])
-    apart = F.when(matching, F.lit(0)).otherwise(F.xxhash64(*source.columns))
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys, apart))
-    checked = source.withColumn("__copies", copies)
-    message = F.concat(F.lit("several source rows for key "),
-                       F.to_json(F.struct(*keys)))
-    return checked.where(
-        F.when(matching & (F.col("__copies") > 1),
-               F.raise_error(message).cast("boolean")).otherwise(True)).drop("__copies")
+    twice = source.select(*keys).where(matching).groupBy(*keys).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"several source rows for key {twice.asDict()}")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
@@ -81,7 +77,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
     pairs = _key_map(keys)
     moment = F.current_timestamp() if now is None else now
     if not unique:
-        source = require_unique(source, list(pairs.values()), null_safe)
+        require_unique(source, list(pairs.values()), null_safe)
     if merge_schema:
         fresh = [f for f in source.schema.fields if f.name not in target.columns]
         target = target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fresh})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..functions.measures import run_moment
 from ..operators.reconcile import MIN_CONFIDENCE, final_code
-from ..operators.upsert import upsert
+from ..operators.upsert import require_unique, upsert
 from ..session import materialize
 from ..sources.readers import Moment, in_window
 
@@ -17,4 +17,5 @@ def run(items: DataFrame, start: Moment, end: Moment, now: Column | None = None,
     now = run_moment(now)
     open_items = in_window(items, start, end).where("FINAL_REPORT_UNSPSC_MANUAL_LABELED IS NULL")
     batch = materialize(final_code(open_items, now, min_confidence), "finalize")
-    return upsert(items, batch, "ID", now=now)
+    require_unique(batch, ["ID"])
+    return upsert(items, batch, "ID", unique=True, now=now)

@@ -71,6 +71,24 @@ def feed_to_report(feed: DataFrame) -> DataFrame:
     return latest_predictions(feed, C.VENDOR_FEED).withColumnsRenamed(C.FEED_TO_REPORT)
 
 
+#: The answer that was given later wins, in whichever order they arrive.
+NOT_OLDER = ("target.REPORT_LASTUPDATED_AT IS NULL OR "
+             "source.REPORT_LASTUPDATED_AT >= target.REPORT_LASTUPDATED_AT")
+
+
+def merge_report(report: DataFrame, answers: DataFrame, now: Column | None = None) -> DataFrame:
+    """The report with answers (one per text) merged in; older ones change nothing.
+    Answers to no text (NULL) count as one text."""
+    return upsert(report, answers, "PROCESSED_DESCRIPTION", when=NOT_OLDER, unique=True,
+                  null_safe=True, now=now)
+
+
+#: The same for items.
+ITEM_NOT_OLDER = ("target.EXTERNAL_PREDICATION_LASTUPDATED_AT IS NULL OR "
+                  "source.EXTERNAL_PREDICATION_LASTUPDATED_AT >= "
+                  "target.EXTERNAL_PREDICATION_LASTUPDATED_AT")
+
+
 def run_import(items: DataFrame, report: DataFrame, feed: DataFrame,
                now: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Item table and report with a vendor feed merged in."""
@@ -78,8 +96,8 @@ def run_import(items: DataFrame, report: DataFrame, feed: DataFrame,
     answers = materialize(feed_to_report(feed), "vendor-answers")
     updates = materialize(answered_items(unpredicted(items, C.VENDOR_ITEM), answers),
                           "vendor-items")
-    return (upsert(items, updates, "ID", insert=False, now=now),
-            upsert(report, answers, "PROCESSED_DESCRIPTION", unique=True, now=now))
+    return (upsert(items, updates, "ID", when=ITEM_NOT_OLDER, insert=False, now=now),
+            merge_report(report, answers, now))
 
 
 #: An item keeps an answer of the same time.

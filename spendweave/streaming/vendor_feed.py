@@ -27,7 +27,9 @@ def import_feed(feed: DataFrame, checkpoint: str,
     """Run ``merge`` on every batch of files that has not been imported yet.
 
     The checkpoint makes each file count once; a batch repeated after a failure
-    is merged by key and changes nothing.
+    is merged by key and changes nothing. Answers are merged by their time (see
+    ``plans.vendor``), so neither the order of the files nor how they are
+    grouped into batches matters.
     """
     return (feed.writeStream.option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)

@@ -106,11 +106,11 @@ def test_small_batches_do_not_move_the_target(spark):
 def test_offsets(spark):
     table = spark.createDataFrame([], "JOB string, OFFSET_AT timestamp, RESET_FLAG int")
     end = datetime(2024, 5, 5)
-    assert offsets.batch_window(table, "j", end=end) == (offsets.EARLIEST, end)
+    assert offsets.batch_window(table, "j", end=end) == (None, end)
     table = offsets.commit_offset(table, "j", end)
     assert offsets.batch_window(table, "j", end=NEW) == (end, NEW)
     reset = offsets.request_reset(table, "j")
-    assert offsets.batch_window(reset, "j", end=NEW) == (offsets.EARLIEST, NEW)
+    assert offsets.batch_window(reset, "j", end=NEW) == (None, NEW)
     again = offsets.commit_offset(reset, "j", NEW)
     assert offsets.batch_window(again, "j", end=NEW) == (NEW, NEW)
     assert offsets.batch_window(again, "j", start=OLD, end=NEW) == (OLD, NEW)
@@ -153,5 +153,4 @@ def test_batches_follow_each_other(spark, tmp_path):
     offsets.run_batch(spark, root, "j", lambda *w: windows.append(w), end=second, commit=False)
     offsets.run_batch(spark, root, "other", lambda *w: windows.append(w), end=second)
     offsets.run_batch(spark, root, "j", lambda *w: windows.append(w), end=second)
-    start = offsets.EARLIEST
-    assert windows == [(start, first), (first, second), (start, second), (first, second)]
+    assert windows == [(None, first), (first, second), (None, second), (first, second)]

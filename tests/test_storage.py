@@ -1,5 +1,6 @@
 """Tables on disk, exports, streams."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from spendweave import schemas
@@ -67,7 +68,7 @@ def test_csv_keeps_whole_texts(spark, tmp_path):
     for _ in range(2):
         tables.export_csv(df, path, "2024-01-01", tables.next_run(spark, path, "2024-01-01"))
     back = readers.load_table(path, "csv", spark,
-                              "n int, t string, export_date string, run_no int")
+                              "n int, t string, export_date string, run_no int", multi_line=True)
     assert rows(back, "n", "t", "run_no") == sorted(
         [(n, t, run) for n, t in enumerate(texts) for run in (0, 1)], key=repr)
 
@@ -78,13 +79,17 @@ def test_training_inputs(spark, tmp_path):
             .option("header", True).csv(str(tmp_path / name))
     inputs = {f"{readers.COMMUNITY}1": {"path": str(tmp_path / "one")},
               f"{readers.COMMUNITY}3": {"path": str(tmp_path / "two")},
-              "other": {"path": "/nowhere"},
               readers.REFERENCE: {"path": str(tmp_path / "ref"), "prefix": "r"}}
     kind = "CODE string, s string"
     union, reference = readers.load_training_inputs(inputs, spark, schema=kind,
                                                     reference_schema=kind)
     assert rows(union) == [("0110", "one"), ("0110", "two"), ("0220", "same")]
     assert reference.columns == ["r_CODE", "r_s"]
+    with pytest.raises(ValueError, match="other"):
+        readers.load_training_inputs({**inputs, "other": {"path": "/nowhere"}}, spark)
+    union, reference = readers.load_training_inputs(
+        {"x_1": {"path": str(tmp_path / "one")}}, spark, schema=kind, community="x_")
+    assert union.count() == 2 and reference is None
 
 
 def test_feed_is_imported_once(spark, tmp_path):
@@ -119,6 +124,60 @@ def test_materialize_cuts_lineage(spark):
     assert "Aggregate" not in cut._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_scratch_is_local_to_a_thread(spark):
+    """A block that ends must not remove what another thread has made meanwhile."""
+    from threading import Event, Thread
+    inside, done, kept = Event(), Event(), []
+
+    def other():
+        with scratch(spark):
+            inside.wait(60)
+            kept.append(materialize(spark.range(7)))
+            done.set()
+            ended.wait(60)
+            kept.append(kept[0].count())
+
+    ended = Event()
+    thread = Thread(target=other)
+    thread.start()
+    with scratch(spark):
+        materialize(spark.range(3))
+        inside.set()
+        done.wait(60)
+    ended.set()
+    thread.join()
+    assert kept[1] == 7
+
+
+def test_answers_do_not_depend_on_the_order_of_files(spark, tmp_path):
+    """One file per batch, the newest first; consumed files are archived."""
+    import os
+
+    from spendweave.plans import vendor
+    columns = [field.name for field in spark.createDataFrame([], schemas.VENDOR_FEED).schema]
+    for name, code, day in (("a", "22222222", "2024-02-02"), ("b", "11111111", "2024-01-01"),
+                            ("c", "11111111", "2023-01-01")):
+        made = spark.createDataFrame([("bolt", code, f"{day} 00:00:00")],
+                                     "PROCESSED_DESCRIPTION string, PREDICATED_UNSPSC_COMMODITY string, "
+                                     "PREDICATION_LASTUPDATED_AT string")
+        made.select(*[F.col(c) if c in made.columns else F.lit(None).cast("string").alias(c)
+                      for c in columns]).coalesce(1).write.mode("append").option(
+            "header", True).csv(str(tmp_path / "feed"))
+    report = str(tmp_path / "report")
+    tables.replace_snapshot(spark.createDataFrame([], schemas.VENDOR_REPORT), report)
+
+    def merge(batch):
+        current = tables.read_snapshot(spark, report)
+        tables.replace_snapshot(vendor.merge_report(current, vendor.feed_to_report(batch)), report)
+
+    for _ in range(2):
+        feed = vendor_feed.read_feed(spark, str(tmp_path / "feed"), str(tmp_path / "done"), 1)
+        vendor_feed.import_feed(feed, str(tmp_path / "checkpoint"), merge).awaitTermination()
+    assert rows(tables.read_snapshot(spark, report), "UNSPSC_COMMODITY") == [("22222222",)]
+    archived = [f for _, _, names in os.walk(tmp_path / "done") for f in names if f.endswith(".csv")]
+    assert archived
+
+
 def test_scratch_removes_intermediate_tables(spark):
     import os
     with scratch(spark):
