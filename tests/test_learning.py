@@ -11,27 +11,28 @@ from spendweave.plans import training
 from .conftest import rows
 
 
+HARBOURS = ["oslo", "bari", "oslo", "kiel", "bari", "oslo", "nice", "oslo", "bari", "riga", "oslo"]
+
+
 @pytest.fixture
-def people(spark):
-    return spark.createDataFrame(
-        [("John", "us"), ("Jane", "ge"), ("John", "au"), ("Jane", "us"), ("Jim", "ge"),
-         ("Jack", "en"), ("Jill", "ge"), ("John", "us"), ("Jane", "us")],
-        "name string, country string")
+def ships(spark):
+    return spark.createDataFrame(list(enumerate(HARBOURS)), "ship bigint, harbour string")
 
 
-def test_value_counts(people):
-    assert [tuple(r) for r in labels.value_counts(people, "country").collect()] == [
-        ("us", 4), ("ge", 3), ("au", 1), ("en", 1)]
+def test_value_counts(ships):
+    counted = [tuple(r) for r in labels.value_counts(ships, "harbour").collect()]
+    assert counted[:2] == [("oslo", 5), ("bari", 3)]
+    assert sorted(counted) == sorted((h, HARBOURS.count(h)) for h in set(HARBOURS))
 
 
-def test_rare_values(people):
-    replaced, rare = labels.balance(people, "country", "replace", 3, "rare_country")
-    assert rows(rare) == [("au",), ("en",)]
-    assert rows(labels.value_counts(replaced, "country")) == [("ge", 3), ("rare_country", 2),
-                                                              ("us", 4)]
-    kept, rare = labels.balance(people, "country", "filter", 3)
-    assert kept.count() == 7 and rows(rare) == [("au",), ("en",)]
-    assert labels.balance(people, "country", "no_action", 3)[0].count() == 9
+def test_rare_values(ships):
+    rare_ones = sorted({h for h in HARBOURS if HARBOURS.count(h) < 3})
+    replaced, rare = labels.balance(ships, "harbour", "replace", 3, "elsewhere")
+    assert rows(rare) == [(h,) for h in rare_ones]
+    assert rows(labels.value_counts(replaced, "harbour")) == [("bari", 3), ("elsewhere", 3), ("oslo", 5)]
+    kept, rare = labels.balance(ships, "harbour", "filter", 3)
+    assert kept.count() == sum(h not in rare_ones for h in HARBOURS) and len(rows(rare)) == 3
+    assert labels.balance(ships, "harbour", "no_action", 3)[0].count() == len(HARBOURS)
 
 
 def test_null_labels(spark):
@@ -41,13 +42,15 @@ def test_null_labels(spark):
 
 
 def test_one_hot(spark):
-    codes = ["12345678", "23450089", "12345678", "12345678", "23450089", "78965432", "56789101"]
+    codes = ["31161501", "40142001", "31161501", "39121400", "31161501", "40142001", "27110000"]
     df = spark.createDataFrame(list(enumerate(codes)), "n int, code string")
     indexed = labels.index_labels(df, "code", labels.label_index(df, "code", "i"))
-    hot = labels.one_hot(indexed, "i", "v").orderBy("n").select(vector_to_array("v").alias("v"))
-    assert [row["v"] for row in hot.collect()] == [
-        [1, 0, 0, 0], [0, 1, 0, 0], [1, 0, 0, 0], [1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 0, 1],
-        [0, 0, 1, 0]]
+    hot = labels.one_hot(indexed, "i", "v").orderBy("n").select("i", vector_to_array("v").alias("v")).collect()
+    places = {}
+    for code, row in zip(codes, hot, strict=True):
+        assert row["v"] == [float(k == row["i"]) for k in range(4)]
+        assert places.setdefault(code, row["i"]) == row["i"]
+    assert sorted(places.values()) == [0, 1, 2, 3]
 
 
 def test_predicted_class(spark):
@@ -56,16 +59,20 @@ def test_predicted_class(spark):
     assert rows(df.select(number, top)) == [(1, 0.4), (1, 0.938)]
 
 
-TEXTS = ["this is a test", "another test", "and one more"]
+TEXTS = ["bolt nut bolt", "nut washer", "bolt pin"]
 
 
 def test_word_ids(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "n bigint, t string")
     words = vocabulary.vocabulary(df, "t", "n", 100)
+    # by count, then by first place
+    number = {"bolt": 1, "nut": 2, "washer": 3, "pin": 4}
+    assert dict(rows(words, "word", "index")) == number
     found = vocabulary.token_ids(df, "t", words)
-    padded = found.withColumn("p", text.pad_ids(F.col("ids"), 5)).orderBy("n").collect()
-    assert [row["ids"] for row in padded] == [[2, 3, 4, 1], [5, 1], [6, 7, 8]]
-    assert [row["p"] for row in padded] == [[2, 3, 4, 1, 0], [5, 1, 0, 0, 0], [6, 7, 8, 0, 0]]
+    padded = found.withColumn("p", text.pad_ids(F.col("ids"), 4)).orderBy("n").collect()
+    for row, shown in zip(padded, TEXTS, strict=True):
+        ids = [number[w] for w in shown.split()]
+        assert row["ids"] == ids and row["p"] == ids + [0] * (4 - len(ids))
 
 
 def test_word_ids_do_not_depend_on_keys_or_size(spark):
@@ -82,9 +89,9 @@ def test_word_ids_do_not_depend_on_keys_or_size(spark):
 def test_word_ids_with_text_keys_and_small_vocabulary(spark):
     df = spark.createDataFrame([(f"k{n}", t) for n, t in enumerate(TEXTS)], "n string, t string")
     words = vocabulary.vocabulary(df, "t", "n", 3)
-    assert rows(words, "word", "index") == [("test", 1), ("this", 2)]
+    assert rows(words, "word", "index") == [("bolt", 1), ("nut", 2)]
     found = vocabulary.token_ids(df, "t", words).orderBy("n")
-    assert [row["ids"] for row in found.collect()] == [[2, 1], [1], []]
+    assert [row["ids"] for row in found.collect()] == [[1, 2, 1], [2], [1]]
 
 
 def test_long_sequences_keep_their_end(spark):
