@@ -40,7 +40,8 @@ def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids packed into windows; one row per piece."""
     bounded_batches(spark)
-    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+    # the workers still hold what earlier stages have left in memory
+    return packing.pack(docs, remembered=100_000).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

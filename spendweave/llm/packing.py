@@ -76,8 +76,8 @@ class Tokens:
 
 
 @cache
-def tokens(vocabulary: str) -> Tokens:
-    return Tokens(vocabulary)
+def tokens(vocabulary: str, most: int) -> Tokens:
+    return Tokens(vocabulary, most)
 
 
 @dataclass
@@ -167,7 +167,7 @@ def _rows(window: list[Piece], sequence: int | None, group: int = -1, order: int
 
 def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str = VOCABULARY,
          window: int = WINDOW, open_windows: int = OPEN_WINDOWS, end_id: int = END_ID,
-         merged_partitions: int = MERGED_PARTITIONS) -> DataFrame:
+         merged_partitions: int = MERGED_PARTITIONS, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
     A document is its ids and ``end_id``; ``start`` counts its ids before the piece and
@@ -176,6 +176,9 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary
     documents of ``end_id`` alone. Repeated rows and repeated or NULL ids are packed like
     any others, long documents span windows, an empty table gives no pieces, other columns
     are dropped. A retried task packs its partition in the same order and so alike.
+
+    ``remembered`` bounds the chunks whose ids a worker keeps; fewer take less memory and
+    more time.
     """
     given = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
@@ -189,7 +192,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary
 
     def partition(batches):
         part, number, packer, schema = TaskContext.get().partitionId(), 0, Packer(window, open_windows), None
-        encode = tokens(vocabulary)
+        encode = tokens(vocabulary, remembered)
         for batch in batches:
             schema = schema or pa.schema([pa.field("doc_id", batch.schema.field(0).type), *(
                 pa.field(n, pa.binary() if n == "ids" else pa.int64()) for n in names[1:])])
