@@ -10,6 +10,7 @@ window. The last tail of a group is cut into powers of two, which need no paddin
 from __future__ import annotations
 
 import os
+import string
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -53,10 +54,18 @@ class Tokens:
         return [array("I", e.ids).tobytes()
                 for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces_of(self, chunk: str) -> list[str]:
+        """The pieces of a blank and a chunk; a word, or a word and punctuation, needs no pattern."""
+        word = chunk.rstrip(string.punctuation)
+        if word.isalpha():
+            tail = chunk[len(word):]
+            return [" " + word, tail] if tail else [" " + word]
+        return self._split(" " + chunk)
+
     def _learn(self, missing: list[str]) -> None:
         if len(self._pieces) > self._most:
             self._pieces.clear()
-        split = [self._split(" " + c) for c in missing]
+        split = [self._pieces_of(c) for c in missing]
         new = list({p for pieces in split for p in pieces}.difference(self._pieces))
         self._pieces.update(zip(new, self._encode(new), strict=True))
         of = self._pieces.__getitem__
