@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from spendweave import columns as C
 from spendweave.functions import codes
 from spendweave.operators import upsert as merge
-from spendweave.plans import (evaluate, extract, finalize, inference, network, replicate, star,
+from spendweave.plans import (by_month, evaluate, extract, finalize, inference, network, replicate, star,
                               vendor)
-from spendweave.session import materialize
+from spendweave.session import materialize, shared_folder
 from spendweave import schemas
 from spendweave.sources import offsets
 from spendweave.sources.readers import in_window
@@ -445,6 +447,43 @@ def finalize_merge(spark, d):
                                "_DELTA_UPDATED_ON"))
 
 
+def _by_month(sql: str, touched: str) -> str:
+    """The rows of a merge with the number of months that it rewrote."""
+    return sql.replace("select t.ID,", f"select (select count(distinct strftime(_DELTA_CREATED_ON, "
+                       f"'%Y-%m')) from item_table where _DELTA_UPDATED_ON {IN_WINDOW} {touched}) "
+                       "as months, t.ID,", 1)
+
+
+def _items_by_month(spark, d):
+    path = f"{shared_folder(spark)}/items-{uuid.uuid4().hex}"
+    by_month.write_by_month(bind.item_table(spark, d), path, "_DELTA_CREATED_ON")
+    return path
+
+
+@query("finalize_by_month", _by_month(bind.ORACLE["finalize_merge"],
+                                      "and FINAL_REPORT_UNSPSC_MANUAL_LABELED is null"))
+def finalize_by_month(spark, d):
+    """Only the months of the batch are rewritten."""
+    path = _items_by_month(spark, d)
+    months = by_month.run_by_month(spark, path, lambda items: finalize.batch(items, START, END, now()),
+                                   lambda items, rows: finalize.merge(items, rows, now()))
+    return plain(spark.read.parquet(path).select(
+        F.lit(months).cast("bigint").alias("months"), "ID", "FINAL_REPORT_UNSPSC_COMMODITY",
+        "FINAL_REPORT_UNSPSC_FAMILY", "FINAL_REPORT_CONFIDENCE_CLASS", "FINAL_REPORT_LASTUPDATED_AT",
+        "_DELTA_UPDATED_ON"))
+
+
+@query("evaluate_by_month", _by_month(bind.ORACLE["evaluate_merge"], ""))
+def evaluate_by_month(spark, d):
+    path = _items_by_month(spark, d)
+    months = by_month.run_by_month(
+        spark, path, lambda items: evaluate.batch(items, bind.commodity(spark, d), START, END),
+        lambda items, rows: evaluate.merge(items, rows, now()))
+    return plain(spark.read.parquet(path).select(
+        F.lit(months).cast("bigint").alias("months"), "ID", "PROCESSED_DESCRIPTION",
+        *[f"AN_UNSPSC_{level}" for level in LEVELS], "AN_CLASSIFICATION_QUALITY_CLASS", *C.AUDIT))
+
+
 DIMENSION_ROWS = """
     select ID, PO_ITEM_ID, DESCRIPTION, EXTERNAL_PREDICATED_UNSPSC_COMMODITY as UNSPSC_COMMODITY
     from item_table
@@ -537,6 +576,24 @@ def network_merge(spark, d):
                                "ORDER_AMOUNT", "PO_ITEM_COUNT", "_DELTA_CREATED_ON"))
 
 
+@query("network_by_month", bind.ORACLE["network_merge"].replace(
+    "select coalesce(a.SUPPLIER_ANID", "select (select count(distinct DOCUMENT_DATE) from b) as months, "
+    "coalesce(a.SUPPLIER_ANID", 1))
+def network_by_month(spark, d):
+    fact, products = bind.fact(spark, d), bind.products(spark, d)
+    path = f"{shared_folder(spark)}/totals-{uuid.uuid4().hex}"
+    first = network.batch(fact, products, "1996-06-01", "1997-06-30")
+    by_month.write_by_month(first.withColumns({name: F.lit("2001-01-01").cast("timestamp")
+                                               for name in C.AUDIT}), path)
+    months = by_month.run_by_month(
+        spark, path, lambda _: network.batch(fact, products, "1997-01-15", "1998-12-15", whole_months=True),
+        lambda totals, rows: network.merge(totals, rows, now=now()), date="DOCUMENT_DATE")
+    return plain(spark.read.parquet(path).select(
+        F.lit(months).cast("bigint").alias("months"), "SUPPLIER_ANID", "BUYER_ORG", "DOCUMENT_DATE",
+        "REQUESTED_DELIVERY_DATE", "UNSPSC_COMMODITY", "UNIT_OF_MEASURE", "ORDER_AMOUNT",
+        "PO_ITEM_COUNT", "_DELTA_CREATED_ON"))
+
+
 @query("load_commodity", with_tables("commodity", f"""
     select ID, CODE, NAME, LEVEL_NAME,
            case when ID % 2 = 0 then '2001-01-01 00:00:00' else '{RUN}' end as _DELTA_CREATED_ON,

@@ -29,9 +29,16 @@ def evaluate_items(items: DataFrame, commodity: DataFrame) -> DataFrame:
     return reconcile.derive_levels(reconcile.validate_codes(rated, valid))
 
 
-def run(items: DataFrame, commodity: DataFrame, start: Moment, end: Moment,
+def batch(items: DataFrame, commodity: DataFrame, start: Moment | None, end: Moment) -> DataFrame:
+    """The evaluated items of a window."""
+    return evaluate_items(in_window(items, start, end), commodity)
+
+
+def merge(items: DataFrame, evaluated: DataFrame, now: Column | None = None) -> DataFrame:
+    return upsert(items, evaluated, "ID", when=CHANGED, insert=False, now=run_moment(now))
+
+
+def run(items: DataFrame, commodity: DataFrame, start: Moment | None, end: Moment,
         now: Column | None = None) -> DataFrame:
     """The item table with the batch's evaluations merged in."""
-    now = run_moment(now)
-    batch = materialize(evaluate_items(in_window(items, start, end), commodity), "evaluate")
-    return upsert(items, batch, "ID", when=CHANGED, insert=False, now=now)
+    return merge(items, materialize(batch(items, commodity, start, end), "evaluate"), now)

@@ -65,9 +65,12 @@ def extract_items(raw: Mapping[str, DataFrame], target_schema, start: Moment, en
     return keep_first(shaped, "ID")
 
 
-def run(raw: Mapping[str, DataFrame], items: DataFrame, start: Moment, end: Moment,
+def merge(items: DataFrame, extracted: DataFrame, now: Column | None = None) -> DataFrame:
+    return upsert(items, extracted, "ID", unique=True, now=run_moment(now))
+
+
+def run(raw: Mapping[str, DataFrame], items: DataFrame, start: Moment | None, end: Moment,
         now: Column | None = None) -> DataFrame:
     """The item table with the batch merged in."""
     now = run_moment(now)
-    batch = materialize(extract_items(raw, items.schema, start, end, now), "extract")
-    return upsert(items, batch, "ID", unique=True, now=now)
+    return merge(items, materialize(extract_items(raw, items.schema, start, end, now), "extract"), now)

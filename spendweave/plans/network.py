@@ -24,6 +24,18 @@ def batch_facts(fact: DataFrame, start: Moment, end: Moment,
     return in_window(fact, start, end, column="DOCUMENT_DATE").where("IS_BLANKET = 0")
 
 
+def batch(fact: DataFrame, dimension: DataFrame, start: Moment | None, end: Moment,
+          whole_months: bool = False) -> DataFrame:
+    """Totals of a window."""
+    return network_totals(batch_facts(fact, start, end, whole_months), dimension)
+
+
+def merge(totals: DataFrame, fresh: DataFrame, null_safe: bool = False,
+          now: Column | None = None) -> DataFrame:
+    # several groups may share the update key (it leaves out the upper levels)
+    return upsert(totals, fresh, NETWORK_KEY, null_safe=null_safe, now=now)
+
+
 def run(fact: DataFrame, dimension: DataFrame, totals: DataFrame, start: Moment, end: Moment,
         whole_months: bool = False, null_safe: bool = False,
         now: Column | None = None) -> DataFrame:
@@ -32,7 +44,5 @@ def run(fact: DataFrame, dimension: DataFrame, totals: DataFrame, start: Moment,
     By default a NULL in the key matches nothing, so such a group is inserted
     again by every run; ``null_safe`` updates it instead.
     """
-    facts = batch_facts(fact, start, end, whole_months)
-    batch = materialize(network_totals(facts, dimension), "network")
-    # several groups may share the update key (it leaves out the upper levels)
-    return upsert(totals, batch, NETWORK_KEY, null_safe=null_safe, now=now)
+    fresh = materialize(batch(fact, dimension, start, end, whole_months), "network")
+    return merge(totals, fresh, null_safe, now)

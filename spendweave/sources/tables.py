@@ -16,8 +16,10 @@ With Delta on the class path pass ``table_format="delta"`` to ``write_table``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _VERSION = "version="
@@ -78,25 +80,37 @@ def replace_snapshot(df: DataFrame, root: str, keep: int = 2) -> None:
         fs.delete(folder, True)
 
 
+def _in_partitions(values: list, partition_by: Sequence[str]) -> Column:
+    """Condition on partition columns, as literals: the scan lists only these directories."""
+    if len(partition_by) == 1:
+        known = [row[0] for row in values if row[0] is not None]
+        same = F.col(partition_by[0]).isin(known) if known else F.lit(False)
+        return same | F.col(partition_by[0]).isNull() if len(known) < len(values) else same
+    return reduce(or_, [reduce(and_, [F.col(name).eqNullSafe(F.lit(value)) for name, value in
+                                      zip(partition_by, row, strict=True)]) for row in values],
+                  F.lit(False))
+
+
 def replace_partitions(spark: SparkSession, path: str, batch: DataFrame,
                        partition_by: Sequence[str],
-                       merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    """Apply ``merge(current, batch)`` to the partitions ``batch`` touches.
+                       merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    """Apply ``merge(current, batch)`` to the partitions ``batch`` touches; their number.
 
-    A key must always fall into the same partition. The semi-join with the
-    batch's partition values prunes the scan, and dynamic overwrite replaces
-    just those directories.
+    A key must always fall into the same partition. The touched partition values
+    (at most as many as there are partitions) become a partition filter of the
+    scan, and dynamic overwrite replaces just those directories. ``batch`` is read
+    twice, so it should have been written.
     """
     fs, folder = _file_system(spark, path)
+    values = batch.select(*partition_by).distinct().collect()
     if fs.exists(folder):
-        current = spark.read.parquet(path)
-        touched = batch.select(*partition_by).distinct()
-        same = [current[name].eqNullSafe(touched[name]) for name in partition_by]
-        affected = merge(current.join(touched, same, "left_semi"), batch)
+        current = spark.read.parquet(path).where(_in_partitions(values, partition_by))
     else:
-        affected = merge(batch.limit(0), batch)
-    (affected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+        current = batch.limit(0)
+    if values:
+        (merge(current, batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
+    return len(values)
 
 
 def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
