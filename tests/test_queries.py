@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from checks import bind
 from checks.compare import connect, difference
 
 FOLDER = entry.SMOKE
@@ -16,10 +17,10 @@ def database():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", bind.QUERIES)
 def test_query(spark, database, name):
-    found = entry.queries()[name](spark, FOLDER).toPandas()
-    sql = entry.oracle_sql().get(name)
+    found = bind.QUERIES[name](spark, FOLDER).toPandas()
+    sql = bind.ORACLE.get(name)
     if sql is None:
         assert len(found) > 0
     else:
