@@ -7,16 +7,18 @@ import uuid
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from spendweave import columns as C
 from spendweave.functions import text
 from spendweave.operators import sampling, vocabulary
-from spendweave.plans import features, training
-from spendweave.session import shared_folder
+from spendweave.plans import features, inference, training
+from spendweave.session import materialize, shared_folder
 from spendweave.sources import readers
 
 from . import bind
-from .bind import query, with_tables
+from .bind import END, LEVELS, START, plain, query, with_tables
 from .cleaning import SPELLED
-from .coding import METRICS_SQL
+from .coding import METRICS_SQL, confidence_sql, level_sql
+from .merging import FEATURE_ROWS, RUN, STORED, inference_round
 
 WORDS = 2000
 
@@ -202,6 +204,43 @@ def score_documents(spark, d):
                                               "predicted_label_proba")
 
 
+#: A label that every text has: one of seven codes, by its length.
+TEXT_LABEL = "concat(cast(10 + length(CONCAT_FEATURE) % 7 as varchar(2)), '000000')"
+
+
+@query("infer_with_model", with_tables("item_table", f"""
+    select t.ID, {', '.join(
+        f'case when a.HIT then a.UNSPSC_{level} else t.SBN_PREDICATED_UNSPSC_{level} end '
+        f'as SBN_PREDICATED_UNSPSC_{level}, cast(case when a.HIT then a.CONFIDENCE_{level} '
+        f'else t.SBN_PREDICTION_CONFIDENCE_{level} end as double) '
+        f'as SBN_PREDICTION_CONFIDENCE_{level}' for level in LEVELS)},
+        case when a.HIT then 'M1' else t.MODEL_UUID end as MODEL_UUID
+    from item_table t left join (
+        select f.ID, true as HIT, answers.* from feature_rows f join answers using (CONCAT_FEATURE)
+        ) a on t.ID = a.ID and (t.MODEL_UUID is null or t.MODEL_UUID <> 'M1')""",
+    feature_rows=FEATURE_ROWS, stored=STORED,
+    documents="select distinct CONCAT_FEATURE as doc_id, CONCAT_FEATURE as text, CONCAT_FEATURE, "
+              f"{TEXT_LABEL} as lang from feature_rows",
+    places=PLACES, fit="select doc_id, lang from documents",
+    rest="select doc_id, lang from documents where length(CONCAT_FEATURE) % 3 <> 0", **BAYES,
+    answers=f"""
+        select * from stored union all
+        select CONCAT_FEATURE, {level_sql('label')}, {confidence_sql('label', 'p')},
+               timestamp '{RUN}', 'M1'
+        from (select doc_id as CONCAT_FEATURE, predicted_label as label,
+                     cast(predicted_label_proba as decimal(6,5)) as p from predicted)"""))
+def infer_with_model(spark, d):
+    """A classifier is fitted on the texts of the batch, and the batch scored with it."""
+    texts = inference.feature_rows(bind.item_table(spark, d), START, END).select(
+        "CONCAT_FEATURE").distinct()
+    options = training.TrainingOptions(num_words=10_000_000)
+    rows = materialize(texts.withColumn("CODE", F.expr(TEXT_LABEL)), "texts")
+    model = training.fit_classifier(rows, options)
+    merged, _ = inference_round(spark, d, lambda features: training.score(model, features))
+    return plain(merged.select(*[name for name in C.OWN_PREDICTION
+                                 if name != "SBN_PREDICTION_LASTUPDATED_AT"]))
+
+
 _COLUMNS = ("SUPPLIER_ORG", "BUYER_ORG", "PO_ITEM_ID", "DESCRIPTION", "SUPPLIER_PART",
             "MANUFACTURER_PART", "MANUFACTURER_NAME", "ITEM_TYPE", "IS_ADHOC")
 

@@ -664,7 +664,8 @@ ANSWERS = f"""
           where length(CONCAT_FEATURE) % 3 <> 0)"""
 
 
-def _inference(spark, d):
+def inference_round(spark, d, scorer=length_scorer):
+    """A third of the texts has a stored answer, the others are scored."""
     items = bind.item_table(spark, d)
     features = inference.feature_rows(items, START, END).select("CONCAT_FEATURE").distinct()
     levels = codes.prediction_levels(F.lit("12340000"), F.lit(0.25))
@@ -675,8 +676,7 @@ def _inference(spark, d):
         *[F.lit("2003-03-03").cast("timestamp").alias(name) for name in C.AUDIT])
     other = known.withColumn("MODEL_UUID", F.lit("M0"))
     report = materialize(known.unionByName(other))
-    return inference.run(items, report, length_scorer, "M1", START, END,
-                         now=now())
+    return inference.run(items, report, scorer, "M1", START, END, now=now())
 
 
 @query("infer_items", with_tables("item_table", f"""
@@ -696,7 +696,7 @@ def _inference(spark, d):
         ) a on t.ID = a.ID and (t.MODEL_UUID is null or t.MODEL_UUID <> 'M1')""",
     feature_rows=FEATURE_ROWS, stored=STORED, answers=ANSWERS))
 def infer_items(spark, d):
-    merged, _ = _inference(spark, d)
+    merged, _ = inference_round(spark, d)
     return plain(merged.select(*C.OWN_PREDICTION, "_DELTA_UPDATED_ON"))
 
 
@@ -708,5 +708,5 @@ def infer_items(spark, d):
            {sql_time('REPORT_LASTUPDATED_AT')} from stored""",
     feature_rows=FEATURE_ROWS, stored=STORED, answers=ANSWERS))
 def infer_report(spark, d):
-    _, report = _inference(spark, d)
+    _, report = inference_round(spark, d)
     return plain(report.drop(*C.AUDIT))
