@@ -120,27 +120,37 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
                                  "digest string, bands array<long>")
 
 
-def _not_ruled_out(a: str, b: str) -> Column:
-    """Whether sizes and sketches (structs of ``sketched``) leave open that two sets are similar."""
-    few, many = (f(F.col(f"{a}.n"), F.col(f"{b}.n")) for f in (F.least, F.greatest))
-    level = F.greatest(F.col(f"{a}.level"), F.col(f"{b}.level"))
+_WORDS = range(SKETCH_BITS // 64)
 
-    def at_level(name: str, whole: str, thinner: str) -> Column:
-        return F.when(F.col(f"{name}.level") == level, F.col(f"{name}.{whole}")).otherwise(
-            F.col(f"{name}.{thinner}"))
 
-    # sizes of similar sets differ by a third at most, so their levels by one
-    sketches = [at_level(name, "sketch", "thinner") for name in (a, b)]
-    differing = sum((F.bit_count(F.get(sketches[0], F.lit(k)).bitwiseXOR(F.get(sketches[1], F.lit(k))))
-                     for k in range(SKETCH_BITS // 64)), F.lit(0))
-    samples_ = at_level(a, "samples", "thinner_samples") + at_level(b, "samples", "thinner_samples")
+def _sketches(sets: DataFrame) -> DataFrame:
+    """Two rows per class, its sketch at its own level and at the next: sizes of similar sets
+    differ by a third at most, so their levels by one. The words of a sketch are columns, so
+    that a join condition over them stays in generated code."""
+    kinds = F.explode(F.array(
+        F.struct(F.col("level").alias("at"), F.col("samples").alias("samples"), F.col("sketch").alias("bits")),
+        F.struct((F.col("level") + 1).alias("at"), F.col("thinner_samples").alias("samples"),
+                 F.col("thinner").alias("bits"))))
+    return sets.select("cls", "n", F.col("level").alias("own"), kinds.alias("k")).select(
+        "cls", "n", "own", "k.at", "k.samples", *[F.get("k.bits", F.lit(w)).alias(f"w{w}") for w in _WORDS])
+
+
+def _side(df: DataFrame, x: str) -> DataFrame:
+    """Columns of one side of a pair, marked by its letter."""
+    return df.select(*[F.col(c).alias(x if c == "cls" else f"{c}_{x}") for c in df.columns])
+
+
+def _not_ruled_out() -> Column:
+    """Whether sizes and sketches of the sides a and b leave open that two sets are similar."""
+    few, many = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    differing = sum((F.bit_count(F.col(f"w{w}_a").bitwiseXOR(F.col(f"w{w}_b"))) for w in _WORDS), F.lit(0))
 
     def most(similarity: float) -> Column:
         share = (1 - similarity) / (1 + similarity)
-        return SKETCH_BITS / 2 * (1 - F.exp(-2 * share / SKETCH_BITS * samples_))
+        return SKETCH_BITS / 2 * (1 - F.exp(-2 * share / SKETCH_BITS * (F.col("samples_a") + F.col("samples_b"))))
 
-    return (100 * few >= PERCENT * many) & (differing <= F.when(
-        level == 0, most(SURELY_LESS)).otherwise(most(SURELY_LESS_THINNED)))
+    return ((F.col("at_a") == F.greatest("own_a", "own_b")) & (100 * few >= PERCENT * many)
+            & (differing <= F.when(F.col("at_a") == 0, most(SURELY_LESS)).otherwise(most(SURELY_LESS_THINNED))))
 
 
 def _full_sets(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
@@ -212,16 +222,15 @@ def _links(docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
     company = materialize(shared.groupBy("cls").agg(F.sum("n").alias("company")), "company")
     own = materialize(classes.join(company, "cls", "left_semi"), "shared-classes")
     sets = materialize(_full_sets(docs, text, own.select("cls", "text_key")), "shingle-sets")
-    facts = sets.select("cls", F.struct("n", "level", "samples", "sketch", "thinner_samples", "thinner").alias("of"))
+    facts = materialize(_sketches(sets), "sketches")
     bands = own.select("cls", "bands")
 
     known = shared.join(company, "cls")
     leaders = known.groupBy("key").agg(F.max(F.struct("company", "cls")).alias("leader"))
     stars = (known.join(leaders, "key").filter("cls <> leader.cls")
              .select(F.col("leader.cls").alias("a"), F.col("cls").alias("b")).distinct())
-    likely = (stars.join(facts.select(F.col("cls").alias("b"), F.col("of").alias("of_b")), "b")
-              .join(facts.select(F.col("cls").alias("a"), F.col("of").alias("of_a")), "a")
-              .filter(_not_ruled_out("of_a", "of_b")).select("a", "b"))
+    likely = (stars.join(_side(facts, "b"), "b").join(_side(facts, "a"), "a")
+              .filter((F.col("at_a") == F.col("at_b")) & _not_ruled_out()).select("a", "b"))
     first = materialize(_confirmed(likely, sets), "links")
 
     # what the stars left open: buckets with several components
@@ -243,14 +252,14 @@ def _links(docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
     members = (rest.filter(F.col("n") <= LARGE_BUCKET).withColumn("divided", F.lit(False))
                .unionByName(still_open(divided).withColumn("divided", F.lit(True)))
                .select("key", "divided", "cls", "component").join(facts, "cls").join(bands, "cls"))
-    a, b = (members.select("key", "divided", F.col("cls").alias(x), F.col("component").alias(f"c_{x}"),
-                           F.col("of").alias(f"of_{x}"), F.col("bands").alias(f"bands_{x}")) for x in "ab")
+    a, b = (_side(members, x) for x in "ab")
     # a pair that shares several buckets is compared in the first of them
     common = F.array_sort(F.array_intersect("bands_a", "bands_b"))
-    here = F.when(a["divided"], F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1)))).otherwise(
-        F.get(common, F.lit(0))) == a["key"]
-    across = (a.join(b.drop("divided"), (a["key"] == b["key"]) & (F.col("c_a") < F.col("c_b"))
-                     & _not_ruled_out("of_a", "of_b") & here).select("a", "b").distinct())
+    here = F.when(F.col("divided_a"), F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1)))).otherwise(
+        F.get(common, F.lit(0))) == F.col("key_a")
+    across = (a.join(b, (F.col("key_a") == F.col("key_b")) & (F.col("at_a") == F.col("at_b"))
+                     & (F.col("component_a") < F.col("component_b")) & _not_ruled_out())
+              .filter(here).select("a", "b").distinct())
     return first.unionByName(materialize(_confirmed(across, sets), "links"))
 
 
