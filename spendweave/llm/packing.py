@@ -26,7 +26,7 @@ from spendweave.session import materialize
 
 from .bpe import vocabulary_path
 from .common import text_of
-from .pieces import REMEMBERED, chunks
+from .pieces import REMEMBERED, Remembered, chunks
 
 VOCABULARY = "byte_bpe_50k.json"
 WINDOW, OPEN_WINDOWS, END_ID = 1024, 16, 0
@@ -35,51 +35,61 @@ MERGED_PARTITIONS = 256
 _MERGED = 1 << 61
 
 
+def _byte_alphabet() -> dict[int, int]:
+    """How byte-level vocabularies write bytes: printable ones as they are, the others, in
+    order, as the characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+_SHOWN = _byte_alphabet()
+
+
 class Tokens:
-    """Texts to packed ids by the ``tokenizers`` library; a piece is encoded once."""
+    """Texts to packed ids by the ``tokenizers`` library; a chunk is encoded once.
+
+    A word followed by punctuation is two pieces, a blank with the word and the punctuation
+    (both sides of the pattern say so), so its ids are those of the word and of the tail.
+    """
 
     def __init__(self, vocabulary: str, most: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
         self._library = Tokenizer.from_file(vocabulary_path(vocabulary))
         self._library.encode_special_tokens = True
-        self._split = regex.compile(public_tokenizers.PATTERN).findall
-        self._chunks: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._merge = self._library.model.tokenize
+        self._known: dict[str, bytes] = {}      # ids of a blank and the chunk
+        self._tails = Remembered(lambda tail: self._encode([tail])[0], 10_000)
         self._most = most
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
                 for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces_of(self, chunk: str) -> list[str]:
-        """The pieces of a blank and a chunk; a word, or a word and punctuation, needs no pattern."""
-        word = chunk.rstrip(string.punctuation)
-        if word.isalpha():
-            tail = chunk[len(word):]
-            return [" " + word, tail] if tail else [" " + word]
-        return self._split(" " + chunk)
-
-    def _learn(self, missing: list[str]) -> None:
-        if len(self._pieces) > self._most:
-            self._pieces.clear()
-        split = [self._pieces_of(c) for c in missing]
-        new = list({p for pieces in split for p in pieces}.difference(self._pieces))
-        self._pieces.update(zip(new, self._encode(new), strict=True))
-        of = self._pieces.__getitem__
-        self._chunks.update((c, b"".join(map(of, pieces)))
-                            for c, pieces in zip(missing, split, strict=True))
+    def _learn(self, missing: set[str]) -> None:
+        known, words = self._known, []
+        for chunk in missing:
+            word = chunk.rstrip(string.punctuation)
+            if word is not chunk and word.isalpha():
+                words.append((chunk, word))
+        new = list(missing.difference([c for c, _ in words]).union([w for _, w in words]).difference(known))
+        odd = [c for c in new if not c.isalpha()]
+        known.update(zip(odd, self._encode([" " + c for c in odd]), strict=True))
+        for word in set(new).difference(odd):        # one piece: the merges alone
+            shown = (" " + word).encode().decode("latin-1").translate(_SHOWN)
+            known[word] = array("I", [t.id for t in self._merge(shown)]).tobytes()
+        for chunk, word in words:
+            known[chunk] = known[word] + self._tails[chunk[len(word):]]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        if len(self._known) > self._most:
+            self._known.clear()
         parts, seen = [chunks(t) for t in texts], set()
         for _, rest in parts:
             seen.update(rest)
-        if len(self._chunks) > self._most:
-            self._chunks.clear()
-        self._learn(list(seen.difference(self._chunks)))
-        heads, of = self._encode([head for head, _ in parts]), self._chunks.__getitem__
+        self._learn(seen.difference(self._known))
+        heads, of = self._encode([head for head, _ in parts]), self._known.__getitem__
         for head, (_, rest) in zip(heads, parts, strict=True):
             yield head + b"".join(map(of, rest))
 
