@@ -6,8 +6,9 @@
 3. Odd sketches: the hashes of a set below a threshold are samples of it by their least
    values; they are folded into a bitmap of parities. The number of bits in which two
    bitmaps differ gives the size of the symmetric difference of the samples, and with the
-   sizes the similarity, to about 0.005. Only candidate pairs that the sketch cannot rule
-   out are confirmed on the full sets.
+   sizes the similarity (at 1024 samples with a standard deviation of 0.012, or 0.018 where
+   the samples are a part of the sets). Only candidate pairs that the sketch cannot rule out
+   are confirmed on the full sets.
 4. In each bucket the class with the most company is compared with the others (as many
    pairs as entries). Only buckets that still hold several components go on: their pairs
    across components are compared, which is what a link between components needs, each in
@@ -17,13 +18,15 @@
 
 With 160 samples in 40 bands of four, a pair of similarity 0.75 shares no band with
 probability 3e-7, at most one band with 5e-6; the sketch rules out such a pair with a
-probability below that. Buckets and groups have no caps.
+probability below 1e-7, by the distribution of the differing bits. Buckets and groups have
+no caps.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +44,8 @@ SAMPLES = BANDS * BAND_ROWS
 #: Bits of an odd sketch, and samples that it is meant for: larger sets are thinned out by
 #: powers of two until so many are left.
 SKETCH_BITS, SKETCH_SAMPLES = 1024, 1024
-#: Estimates below these are ruled out: five standard deviations under the threshold, for
-#: sets that are sketched whole and for those that are thinned out.
-SURELY_LESS, SURELY_LESS_THINNED = 0.72, 0.64
+#: Probability with which two sets at the threshold may differ in more bits than allowed.
+MISS = 1e-7
 #: Entries above which an open bucket is divided by a second band.
 LARGE_BUCKET = 4000
 #: Keys up to which a lookup is broadcast (some 60 bytes each); beyond, it is shuffled.
@@ -51,6 +53,8 @@ BROADCAST_KEYS = 400_000
 
 _FACTORS = mix(np.arange(1, SAMPLES + 1, dtype="uint64")) | np.uint64(1)
 _BLOCK = 4096
+#: (1 + J) / (1 - J) at the threshold: samples of both sets for one that differs.
+_CELL = (100 + PERCENT) // (100 - PERCENT)
 
 
 def samples(hashes: np.ndarray) -> np.ndarray:
@@ -93,6 +97,43 @@ def estimate(differing: float, samples_a: int, samples_b: int, bits: int = SKETC
     return max(0.0, (samples_a + samples_b - apart) / (samples_a + samples_b + apart))
 
 
+@cache
+def most_differing() -> tuple[list[int], list[int]]:
+    """Bits in which the sketches of sets at the threshold differ at most, but for MISS, by
+    the samples of both over ``_CELL``: for sets sketched whole and for thinned ones.
+
+    Sets of together s samples that are whole differ in s (1 - J) / (1 + J) elements at most.
+    Of thinned ones, each of the m samples in the union is one of the difference with
+    probability 1 - J; s = 2 m - the differing ones.
+    """
+    cells, far = 2 * SKETCH_SAMPLES * 3 // 2 // _CELL, SKETCH_SAMPLES
+    bits, at = np.arange(SKETCH_BITS + 1), np.eye(1, SKETCH_BITS + 1)[0]
+    odd = [at]                                       # odd bits after so many elements
+    for _ in range(far):
+        up, down = at * (SKETCH_BITS - bits) / SKETCH_BITS, at * bits / SKETCH_BITS
+        at = np.append(down[1:], 0) + np.append(0, up[:-1])
+        odd.append(at)
+    odd = np.array(odd)
+
+    def cut(chances: np.ndarray) -> np.ndarray:      # the least bound that is passed by MISS
+        above = chances[..., ::-1].cumsum(-1)[..., ::-1] - chances
+        return np.maximum.accumulate((above > MISS).sum(-1))
+
+    logs = np.append(0, np.log(np.arange(1, 2 * _CELL * cells)).cumsum())
+    thinned = np.zeros((cells, SKETCH_BITS + 1))
+    worst = np.zeros(cells, int)
+    for odd_one in (1, 2):                           # the two largest sums of a cell
+        for cell in range(cells):
+            s = _CELL * (cell + 1) - odd_one
+            d = np.arange(s % 2, min(s, far) + 1, 2)
+            m = (s + d) // 2
+            weight = np.exp(logs[m] - logs[d] - logs[m - d] + d * math.log(1 - PERCENT / 100)
+                            + (m - d) * math.log(PERCENT / 100))
+            thinned[cell] = weight @ odd[d] / weight.sum()
+        worst = np.maximum(worst, cut(thinned))
+    return cut(odd[:2 * SKETCH_SAMPLES // _CELL + 1]).tolist(), worst.tolist()
+
+
 def _lists(values: np.ndarray) -> pa.Array:
     offsets = np.arange(0, values.size + 1, values.shape[1], dtype="int32")
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
@@ -145,12 +186,13 @@ def _not_ruled_out() -> Column:
     few, many = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     differing = sum((F.bit_count(F.col(f"w{w}_a").bitwiseXOR(F.col(f"w{w}_b"))) for w in _WORDS), F.lit(0))
 
-    def most(similarity: float) -> Column:
-        share = (1 - similarity) / (1 + similarity)
-        return SKETCH_BITS / 2 * (1 - F.exp(-2 * share / SKETCH_BITS * (F.col("samples_a") + F.col("samples_b"))))
+    def most(bounds: list[int]) -> Column:
+        return F.expr(f"coalesce(get(array({', '.join(map(str, bounds))}), "
+                      f"cast((samples_a + samples_b) div {_CELL} as int)), {SKETCH_BITS})")
 
+    whole, thinned = most_differing()
     return ((F.col("at_a") == F.greatest("own_a", "own_b")) & (100 * few >= PERCENT * many)
-            & (differing <= F.when(F.col("at_a") == 0, most(SURELY_LESS)).otherwise(most(SURELY_LESS_THINNED))))
+            & (differing <= F.when(F.col("at_a") == 0, most(whole)).otherwise(most(thinned))))
 
 
 def _full_sets(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:

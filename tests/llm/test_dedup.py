@@ -4,7 +4,9 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from spendweave.llm import exact_dedup, near_dedup, suffix_dedup
 from spendweave.llm.hashing import Substrings, shingles
@@ -149,6 +151,23 @@ def test_odd_sketch_estimates_high_similarities():
         assert abs(np.mean(errors)) < 0.03 and np.max(np.abs(errors)) < 0.1
 
 
+def test_odd_sketches_keep_pairs_at_the_threshold(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for n, level in ((500, 0), (700, 0), (900, 0), (1024, 0), (1100, 1), (3000, 2)):
+        together = n // 7 * 8                           # a and b lack an eighth each
+        apart = together // 8
+        for _ in range(2000):
+            union = rng.integers(0, 2**64, together, dtype="uint64")
+            (n_a, x), (n_b, y) = (near_dedup.odd_sketch(s, level) for s in (union[apart:], union[:together - apart]))
+            rows.append((together - apart, level, n_a, n_b, *(x ^ y).tolist()))
+    names = ["n_a", "at_a", "samples_a", "samples_b", *[f"w{k}_a" for k in near_dedup._WORDS]]
+    pairs = spark.createDataFrame(pa.table(dict(zip(names, map(pa.array, zip(*rows)), strict=True)))).withColumns(
+        {"n_b": F.col("n_a"), "own_a": F.col("at_a"), "own_b": F.col("at_a"),
+         **{f"w{k}_b": F.lit(0).cast("long") for k in near_dedup._WORDS}})
+    assert pairs.filter(near_dedup._not_ruled_out()).count() == len(rows)
+
+
 def test_components_of_long_chains(spark):
     rng = np.random.default_rng(2)
     order = rng.permutation(60)
