@@ -16,10 +16,10 @@
    similar classes share many bands, so they meet there again.
 5. Connected components by alternating large-star and small-star steps.
 
-With 160 samples in 40 bands of four, a pair of similarity 0.75 shares no band with
-probability 3e-7, at most one band with 5e-6; the sketch rules out such a pair with a
-probability below 1e-7, by the distribution of the differing bits. Buckets and groups have
-no caps.
+With 196 samples in 49 bands of four, a pair of similarity 0.75 shares no band with
+probability 8e-9, at most one band (not enough in a very large bucket) with 2e-7; the sketch
+rules out such a pair with a probability below 1e-7, by the distribution of the differing
+bits. Buckets and groups have no caps.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ from .common import text_of
 from .hashing import mix, shingles
 
 SHINGLE_WORDS, PERCENT = 5, 75
-BANDS, BAND_ROWS = 40, 4
+#: So many bands that two shared ones are as sure as one of 40.
+BANDS, BAND_ROWS = 49, 4
 SAMPLES = BANDS * BAND_ROWS
 #: Bits of an odd sketch, and samples that it is meant for: larger sets are thinned out by
 #: powers of two until so many are left.

@@ -168,6 +168,13 @@ def test_odd_sketches_keep_pairs_at_the_threshold(spark):
     assert pairs.filter(near_dedup._not_ruled_out()).count() == len(rows)
 
 
+def test_bands_find_pairs_in_large_buckets_too():
+    """A pair in a bucket above LARGE_BUCKET needs a second shared band."""
+    same = (near_dedup.PERCENT / 100) ** near_dedup.BAND_ROWS
+    none = (1 - same) ** near_dedup.BANDS
+    assert none + near_dedup.BANDS * same * none / (1 - same) < 3e-7
+
+
 def test_components_of_long_chains(spark):
     rng = np.random.default_rng(2)
     order = rng.permutation(60)
