@@ -1,14 +1,19 @@
 """Texts as chunks between blanks, so that work on a repeated chunk is done once per worker.
 
 The pre-tokenizing pattern lets a piece begin with one blank and never go on past the next
-one, so a text without two blanks in a row falls apart at its blanks into chunks that can be
-split on their own: ``a`` + `` b`` + `` c``. A text with such a run is split as a whole.
+one, except in a run of white space, which is one piece. So a text whose blanks have no white
+space beside them falls apart at its blanks into chunks that can be split on their own:
+``a`` + `` b`` + `` c``. A text with such a run is split as a whole.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+#: A blank beside white space of any kind (all that patterns know as such, and some more).
+_RUN = re.compile(r" (?:(?<=\s )|(?=\s))")
+
 #: Chunks a worker remembers before it starts anew; some 200 bytes each.
 REMEMBERED = 400_000
 
@@ -29,7 +34,7 @@ class Remembered(dict):
 
 def chunks(text: str) -> tuple[str, list[str]]:
     """The head of a text, and its further chunks without their leading blank."""
-    if "  " in text:
+    if "  " in text or (not text.isprintable() and _RUN.search(text)):
         return text, []
     head, *rest = text.split(" ")
     return head, rest

@@ -115,6 +115,21 @@ def test_packing_holds_every_id_once(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_blanks_beside_other_white_space(library):
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(P.path(packing.VOCABULARY))
+    texts = ["x \xa0 \xa0 y", "Prix : 5 \xa0 \xa0 \xa0 \xa0 Total", "a\t b", "a \tb", "a\n b", "a \n b", "\xa0 a", "a \xa0",
+             " \n", "\n ", " \u3000 x", "a\u2028 b c", "\r \n \t x y"]
+    for mark in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2003\u2029\u202f\u205f\u3000\u200b\ufeff":
+        texts += [f"x {mark} {mark} y", f"x{mark} y", f"x {mark}y z", f"{mark} {mark}"]
+    encoded = packing.Tokens(packing.VOCABULARY)(texts)
+    for text, ids in zip(texts, encoded, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
+    encode = bpe.encoder(bpe.VOCABULARY, None)
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == library.encode_ordinary(text), text
+
+
 def test_packing_keeps_null_ids(spark):
     df = spark.createDataFrame([(None, "a b"), (None, "a b"), (2, None)], "doc_id long, text string")
     rows = packing.pack(df).collect()
