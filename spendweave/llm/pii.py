@@ -5,7 +5,8 @@ around a seed are a pattern; a pattern that mostly stands around seeds of one ki
 trusted and makes other identifier-like strings in the same place suspects of that kind.
 Patterns and instances are a bipartite graph whose scores are computed in rounds, as joins
 and aggregations: an instance is as certain as the patterns around it, a pattern as its
-instances. What ends with a high score and could be of the kind at all is added.
+instances. Against a pattern count instances that cannot be of the kind; those that are
+undecided do not. What ends with a high score and could be of the kind at all is added.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from .common import text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: Rounds of scoring; what a pattern needs to be trusted: its share of certain instances
-#: and different seeds; the score from which an instance counts as found.
+#: Rounds of scoring; what a pattern needs to be trusted: the share of what speaks for the
+#: kind, and different seeds; the score from which an instance counts as found.
 ROUNDS, TRUST, SEEDS, FOUND = 3, 0.9, 5, 0.9
 #: Spans by text up to which the lookup is broadcast (some 200 bytes each).
 BROADCAST_ROWS = 100_000
@@ -93,7 +94,7 @@ def could_be(surface: str) -> list[str]:
 
 def mentions(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
     """Identifier-like strings with the patterns around them: the spans, and tokens with a
-    digit or an at sign that could be of some kind."""
+    digit or an at sign, which could be of some kinds or, as evidence only, of none."""
     if not spans and not _HINT.search(text):
         return []
     held = [(a, b, [], kind) for a, b, kind in spans]
@@ -109,8 +110,8 @@ def mentions(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
             k += 1
         if any(a < begin + len(core) and begin < b for a, b in taken[k:k + len(KINDS)]):
             continue
-        if kinds := could_be(core):
-            held.append((begin, begin + len(core), kinds, None))
+        if core:
+            held.append((begin, begin + len(core), could_be(core), None))
     found = []
     for begin, end, kinds, kind in held:
         left = _WORD.findall(text[max(0, begin - 80):begin].lower())[-2:]
@@ -156,22 +157,30 @@ def _scan(docs: DataFrame) -> DataFrame:
 def trusted_patterns(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``pattern, kind, score`` of the patterns that the graph makes trustworthy.
 
-    ``edges`` are distinct ``pattern, instance``; ``seeds`` are ``instance, kind``. A
-    pattern's score for a kind is the sum of its instances' scores over the number of its
-    instances plus one; it is trusted from TRUST on, with at least SEEDS different seeds. An
-    instance that is no seed has the score of the best trusted pattern around it.
+    ``edges`` are distinct ``pattern, instance, kinds`` (what the instance could be, if it is
+    no seed); ``seeds`` are ``instance, kind``. A pattern's score for a kind is the sum of its
+    instances' scores over that sum plus the number of instances that speak against the kind:
+    seeds of other kinds only, and others that could not be of it. It is trusted from TRUST
+    on, with at least SEEDS different seeds. An instance that is no seed has the score of the
+    best trusted pattern around it.
     """
-    width = materialize(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("width")), "widths")
     certain = seeds.select("instance", "kind", F.lit(1.0).alias("score"), F.lit(1).alias("seed"))
+    possible = edges.select("pattern", "instance", F.explode("kinds").alias("kind")).unionByName(
+        edges.select("pattern", "instance").join(seeds, "instance").select("pattern", "instance", "kind"))
+    fitting = possible.distinct().groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("fitting"))
+    width = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("width"))
+    against = materialize(fitting.join(width, "pattern").select(
+        "pattern", "kind", (F.col("width") - F.col("fitting")).alias("against")), "against")
     scores, trusted = certain, None
     for _ in range(rounds):
-        sums = (edges.join(scores, "instance").groupBy("pattern", "kind")
+        sums = (edges.select("pattern", "instance").distinct().join(scores, "instance").groupBy("pattern", "kind")
                 .agg(F.sum("score").alias("mass"), F.sum("seed").alias("seeds")))
         trusted = materialize(
-            sums.join(width, "pattern").withColumn("score", F.col("mass") / (F.col("width") + 1))
+            sums.join(against, ["pattern", "kind"])
+            .withColumn("score", F.col("mass") / (F.col("mass") + F.col("against")))
             .filter((F.col("score") >= TRUST) & (F.col("seeds") >= SEEDS))
             .select("pattern", "kind", "score"), "patterns")
-        reached = (edges.join(trusted, "pattern").groupBy("instance", "kind")
+        reached = (possible.distinct().join(trusted, ["pattern", "kind"]).groupBy("instance", "kind")
                    .agg(F.max("score").alias("score"))
                    .join(seeds, ["instance", "kind"], "left_anti"))
         scores = certain.unionByName(reached.withColumn("seed", F.lit(0)))
@@ -190,10 +199,14 @@ def find_personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     given = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     rows = materialize(_scan(given), "mentions")
     each = rows.select("row", "text_key", F.explode("mentions").alias("m")).select("row", "text_key", "m.*")
-    seen = each.select("surface", "kind", F.explode("patterns").alias("pattern"))
-    edges = materialize(seen.select("pattern", F.col("surface").alias("instance")).distinct(), "edges")
     seeds = materialize(each.filter("kind is not null").select(F.col("surface").alias("instance"), "kind")
                         .distinct(), "seeds")
+    # a surface that is a seed elsewhere counts as one, whatever else it could be
+    seen = each.select(F.col("surface").alias("instance"), F.when(F.col("kind").isNull(), F.col("kinds")).otherwise(
+        F.array().cast("array<string>")).alias("kinds"), F.explode("patterns").alias("pattern"))
+    edges = materialize(seen.distinct().join(seeds.select("instance", F.lit(True).alias("seed")).distinct(), "instance", "left")
+                        .select("pattern", "instance", F.when(F.col("seed"), F.array().cast("array<string>"))
+                                .otherwise(F.col("kinds")).alias("kinds")).distinct(), "edges")
     trusted = trusted_patterns(edges, seeds)
     suspects = each.filter("kind is null").select(
         "row", "start", "end", F.explode("kinds").alias("kind"), "patterns")

@@ -150,6 +150,18 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.find_personal_data(df.limit(0)).count() == 0
 
 
+def test_undecided_instances_do_not_speak_against_a_pattern(spark):
+    texts = [f"please call me at +1555555{1000 + k} today" for k in range(12)]
+    texts += [f"please call me at 555444{1000 + k} today" for k in range(24)]
+    texts += [f"the order number +1555333{1000 + k} was sent" for k in range(12)]
+    texts += [f"the order number {100 + k} was sent" for k in range(12)] + ["the order number 5552221000 was sent"]
+    texts += [f"from host 10.0.0.{k} and" for k in range(4)] + ["from host 300.0.0.1 and"]     # too few seeds
+    df = spark.createDataFrame(spark_rows(enumerate(texts)), "doc_id long, text string, row string, kind string")
+    found = {r.doc_id: [(s.start, s.end, s.kind) for s in r.added] for r in pii.find_personal_data(df).collect()}
+    assert {i for i, added in found.items() if added} == set(range(12, 36))
+    assert all(found[i] == [(18, 28, "phone")] for i in range(12, 36))
+
+
 def test_masking_keeps_rows_and_columns(spark):
     rows = [(1, "mail a@b.co now", 15), (1, "mail a@b.co now", 15), (2, None, None), (None, "clean", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
