@@ -37,6 +37,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _WORD = re.compile(r"\w+")
+#: What a group of a number consists of, and what may stand between two.
+_GROUP, _JOINTS = "0123456789.-()", "\x20.-()"
 _OUTER = ".,;:!?()[]{}<>\"'"
 
 
@@ -85,21 +87,64 @@ def could_be(surface: str) -> list[str]:
     if "@" in surface:
         name, _, place = surface.partition("@")
         return ["email"] if len(name) > 1 and len(place) > 1 and "@" not in place else []
-    if not surface.strip("0123456789.-()+/"):
+    if not surface.strip("0123456789.-()+/\x20"):
         digits = sum(map(str.isdigit, surface))
-        return [kind for kind, fits in (("ip", surface.count(".") == 3 and digits >= 4),
+        return [kind for kind, fits in (("ip", surface.count(".") == 3 and digits >= 4 and "\x20" not in surface),
                                         ("card", 12 <= digits <= 19), ("phone", 7 <= digits <= 15)) if fits]
     return []
 
 
+def _joins(text: str, a: tuple[int, int], b: tuple[int, int]) -> bool:
+    """Whether two tokens are groups of one number, with blanks, dots, dashes and brackets between."""
+    one, other = text[a[0]:a[1]], text[b[0]:b[1]]
+    return not (text[a[1]:b[0]].strip(_JOINTS) or one.lstrip("+").strip(_GROUP) or other.strip(_GROUP)
+                or "ip" in could_be(one) or "ip" in could_be(other))
+
+
+def _unseen(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, list[str]]]:
+    """``start, end, kinds`` of the tokens, where those of one number are joined: the longest
+    run of groups, if it could be of some kind, or else its parts between brackets, stops and
+    wide blanks, or else its tokens."""
+    def joined(run):
+        begin, end = run[0][0], run[-1][1]
+        inside = text[begin:end]
+        if len(run) > 1 and inside.count(")") > inside.count("(") and text[begin - 1:begin] == "(":
+            begin -= 1
+        return begin, end, could_be(text[begin:end])
+
+    runs: list[list[tuple[int, int]]] = []
+    for token in tokens:
+        if runs and _joins(text, runs[-1][-1], token):
+            runs[-1].append(token)
+        else:
+            runs.append([token])
+    held = []
+    for run in runs:
+        whole = joined(run)
+        if whole[2] or len(run) == 1:
+            held.append(whole)
+            continue
+        parts = [[run[0]]]
+        for before, token in zip(run, run[1:]):
+            gap = text[before[1]:token[0]]
+            if "(" in gap or ". " in gap or "  " in gap:
+                parts.append([])
+            parts[-1].append(token)
+        for part in parts:
+            one = joined(part)
+            held += [one] if one[2] else [joined([token]) for token in part]
+    return held
+
+
 def mentions(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
     """Identifier-like strings with the patterns around them: the spans, and tokens with a
-    digit or an at sign, which could be of some kinds or, as evidence only, of none."""
+    digit or an at sign, or several that are groups of one number, which could be of some
+    kinds or, as evidence only, of none."""
     if not spans and not _HINT.search(text):
         return []
     held = [(a, b, [], kind) for a, b, kind in spans]
     taken = sorted((a, b) for a, b, _ in spans)
-    k = 0
+    k, tokens = 0, []
     for token in _TOKEN.finditer(text):
         if not _HINT.search(token[0]):
             continue
@@ -111,7 +156,8 @@ def mentions(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
         if any(a < begin + len(core) and begin < b for a, b in taken[k:k + len(KINDS)]):
             continue
         if core:
-            held.append((begin, begin + len(core), could_be(core), None))
+            tokens.append((begin, begin + len(core)))
+    held += [(a, b, kinds, None) for a, b, kinds in _unseen(text, tokens)]
     found = []
     for begin, end, kinds, kind in held:
         left = _WORD.findall(text[max(0, begin - 80):begin].lower())[-2:]

@@ -162,6 +162,29 @@ def test_undecided_instances_do_not_speak_against_a_pattern(spark):
     assert all(found[i] == [(18, 28, "phone")] for i in range(12, 36))
 
 
+def test_unseen_numbers_in_groups(spark):
+    def unseen(text):
+        spans = pii.base_spans(text)
+        return [(text[m["start"]:m["end"]], m["kinds"]) for m in pii.mentions(text, spans) if m["kinds"]]
+
+    assert unseen("call 555 123 4567 now") == [("555 123 4567", ["phone"])]
+    assert unseen("call (555) 123-4567, now") == [("(555) 123-4567", ["phone"])]
+    assert unseen("call 555 - 123 - 4567.") == [("555 - 123 - 4567", ["phone"])]
+    assert unseen("card 4111 1111 1111 1112 ok") == [("4111 1111 1111 1112", ["card"])]
+    assert unseen("(555) 123-4567 (555) 987-6543") == [("(555) 123-4567", ["phone"]), ("(555) 987-6543", ["phone"])]
+    assert unseen("host 300.0.0.1 555 123 4567") == [("300.0.0.1", ["ip"]), ("555 123 4567", ["phone"])]
+    assert unseen("555 1234\n567 8901") == [("555 1234", ["phone"]), ("567 8901", ["phone"])]
+    assert unseen("555, 123, 4567 and x5 12/34/5678") == [("12/34/5678", ["phone"])]
+    (mention,) = pii.mentions("please call me at (555) 123-4567 today", [])
+    assert mention["patterns"] == ["me at _", "at _ today"]
+
+    rows = [(k, f"please call me at +1 (555) 555-{1000 + k} today") for k in range(12)]
+    rows += [(100, "please call me at (555) 123-4567 today"), (101, "please call me at 555 123 4567 today")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end, s.kind) for s in r.added] for r in pii.find_personal_data(df).collect()}
+    assert found[100] == [(18, 32, "phone")] and found[101] == [(18, 30, "phone")]
+
+
 def test_masking_keeps_rows_and_columns(spark):
     rows = [(1, "mail a@b.co now", 15), (1, "mail a@b.co now", 15), (2, None, None), (None, "clean", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
