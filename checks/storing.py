@@ -106,9 +106,9 @@ def vendor_stream(spark, d):
     later = F.max("PREDICATION_LASTUPDATED_AT").over(Window.partitionBy("PROCESSED_DESCRIPTION"))
     newest = F.col("PREDICATION_LASTUPDATED_AT") == later
     shaped = materialize(shaped.withColumn("newest", newest), "feed")
-    # the newest answers come first, the outdated ones in a later file
+    # the newest answers come first, the outdated ones in later files
     for wanted in ("newest", "not newest"):
-        (shaped.where(wanted).drop("newest").coalesce(1)
+        (shaped.where(wanted).drop("newest")
          .write.options(header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss")
          .mode("append").csv(f"{folder}/feed"))
     report = f"{folder}/report"
@@ -119,8 +119,7 @@ def vendor_stream(spark, d):
         answers = vendor.feed_to_report(batch)
         tables.replace_snapshot(vendor.merge_report(current, answers), report)
 
-    feed = vendor_feed.read_feed(spark, f"{folder}/feed", archive=f"{folder}/done",
-                                 files_per_batch=1)
+    feed = vendor_feed.read_feed(spark, f"{folder}/feed", archive=f"{folder}/done")
     vendor_feed.import_feed(feed, f"{folder}/checkpoint", merge).awaitTermination()
     return plain(tables.read_snapshot(spark, report).select(
         "PROCESSED_DESCRIPTION", "DESCRIPTION", "UNSPSC_COMMODITY", "REPORT_LASTUPDATED_AT"))
