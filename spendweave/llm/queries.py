@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, chat, exact_dedup, near_dedup, packing, pii, quality, suffix_dedup, url_filter, wordpiece
+from . import (bpe, chat, exact_dedup, fill_middle, license_scan, near_dedup, packing, pii, quality, suffix_dedup,
+               url_filter, vector_codes, wordpiece)
 from .common import ORACLE, QUERIES, bounded_batches, query, sha256_text, table  # noqa: F401
 
 #: A conversation whose texts consist of control strings.
@@ -170,4 +171,92 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.shown(F.concat("base", "added")).alias("spans"))
 
 
+def _codes_sql() -> str:
+    """The rounds one after the other; codebooks by part, entry and component."""
+    parts, entries, scale = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.SCALE
+    rounds = []
+    for k in range(vector_codes.ROUNDS + 1):
+        rounds.append(f"""
+assigned{k} as (
+  select rid, part, min(distance) as error, arg_min(entry, (distance, entry)) as entry from (
+    select c.rid, c.part, b.entry, sum((c.x - b.x) * (c.x - b.x)) as distance
+    from cells c join book{k} b on b.part = c.part and b.place = c.place group by c.rid, c.part, b.entry)
+  group by rid, part)""")
+        if k < vector_codes.ROUNDS:
+            rounds.append(f"""
+means{k} as (
+  select a.part, a.entry, c.place, floor(sum(c.x) / cast(count(*) as double)) as x
+  from assigned{k} a join cells c on c.rid = a.rid and c.part = a.part group by a.part, a.entry, c.place),
+book{k + 1} as (
+  select b.part, b.entry, b.place, cast(coalesce(m.x, b.x) as bigint) as x
+  from book{k} b left join means{k} m on m.part = b.part and m.entry = b.entry and m.place = b.place)""")
+    last = vector_codes.ROUNDS
+    return f"""
+with kept as (
+  select *, row_number() over (order by vec_id nulls last, embedding) - 1 as rid from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+cells as (
+  select rid, i // (len(embedding) // {parts}) as part, i % (len(embedding) // {parts}) as place,
+    cast(floor(cast(embedding[i + 1] as double) * {scale}) as bigint) as x
+  from (select rid, embedding, unnest(range(len(embedding))) as i from kept)),
+book0 as (select part, rid as entry, place, x from cells where rid < {entries}),
+{",".join(rounds)},
+coded as (
+  select rid, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(error) as bigint) as error
+  from assigned{last} group by rid),
+digest as (select sha256(string_agg(cast(x as varchar), ',' order by part, entry, place)) as codebooks_sha256 from book{last})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from kept join coded using (rid) cross join digest"""
+
+
+@query("op11_vector_codes", _codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def _middle_sql() -> str:
+    rule = fill_middle.Rule()
+    p, s, m = rule.markers
+    return f"""
+with drawn as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
+                 sha256('{rule.seed}:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+numbers as (select *, {", ".join(f"cast('0x' || substr(h, {8 * k + 1}, 8) as bigint) as h{k + 1}" for k in range(4))}
+            from drawn),
+formed as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+  case when n = 0 or contains(text, '{p}') or contains(text, '{s}') or contains(text, '{m}')
+            or h3 % 100 >= {100 - rule.plain_percent} then 'plain'
+       when h4 % 100 < {rule.spm_percent} then 'spm' else 'psm' end as form from numbers),
+cut as (select *, substr(text, 1, a) as prefix, substr(text, a + 1, b - a) as middle, substr(text, b + 1) as suffix
+        from formed)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+  case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '{p}' || prefix || '{s}' || suffix || '{m}' || middle
+         else '{s}' || suffix || '{p}' || prefix || '{m}' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from cut"""
+
+
+@query("op12_fill_in_middle", _middle_sql())
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_middle.restore(made)
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       sha256_text(F.col("output")).alias("output_sha256"),
+                       sha256_text(F.col("restored")).alias("restored_sha256"))
+
+
+@query("op13_license_scan")
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    first = F.transform("base", lambda p: p["first_word"])
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        license_scan.labels_of("base").alias("base_labels"),
+        license_scan.labels_of("base", "places").alias("labels"), "score", "places")
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
