@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from spendweave import columns as C
 from spendweave.functions import text
 from spendweave.operators import sampling, vocabulary
+from spendweave.operators.bayes import SparseBayes
 from spendweave.plans import features, inference, training
 from spendweave.session import materialize, shared_folder
 from spendweave.sources import readers
@@ -147,65 +149,129 @@ def training_features(spark, d):
                      "").alias("hot"))
 
 
-# The classifier spelled out: multinomial naive Bayes over weighted word counts.
-BAYES = {
-    "fit_words": "select doc_id, word, count(*) as tf from places join fit using (doc_id) "
-                 "group by all",
-    "idf": "select word, ln(((select count(*) from fit) + 1.0) / (count(*) + 1.0)) as w "
-           "from fit_words group by word",
-    "class_words": "select lang, word, sum(tf * w) as s from fit_words join idf using (word) "
-                   "join fit using (doc_id) group by all",
-    "classes": """select lang, sum(s) as total, (select count(*) from idf) as words,
-                         (select ln(count(*) + 1.0) from fit f where f.lang = c.lang)
-                         - ln((select count(*) + count(distinct lang) from fit)) as prior
-                  from class_words c group by lang""",
-    "hits": """select p.doc_id, p.word, count(*) * any_value(w) as x
-               from places p join rest using (doc_id) join idf using (word) group by all""",
-    "raw": """select r.doc_id, c.lang, any_value(prior) + coalesce(sum(
-                         x * (ln(coalesce(s, 0) + 1.0) - ln(total + words))), 0) as score
-              from rest r join classes c on true left join hits h on h.doc_id = r.doc_id
-              left join class_words k on k.lang = c.lang and k.word = h.word
-              group by r.doc_id, c.lang""",
-    "predicted": """select doc_id, arg_max(lang, score) as predicted_label,
-                           round_even(1.0 / sum(exp(score - top)), 3) as predicted_label_proba
-                    from (select *, max(score) over (partition by doc_id) as top from raw)
-                    group by doc_id""",
-}
-KEPT_DOCUMENTS = """select doc_id, text, lang from documents where lang in
-    (select lang from documents group by lang having count(*) >= 110)"""
-ALL_WORDS = training.TrainingOptions(label="lang", threshold=110, sample=None,
-                                     num_words=10_000_000)
+NUM_WORDS = 20_001
+
+#: Split of ``kept`` as the seeded sample does it.
+SPLIT = """select *, count(*) over () as n, row_number() over
+               (order by md5(concat_ws('|', '42', cast(doc_id as varchar)))) as rn from kept"""
+FITTING = "select doc_id, label from split where rn <= n - cast(floor(n * 0.1) as bigint)"
+HELD_BACK = "select doc_id, label from split where rn > n - cast(floor(n * 0.1) as bigint)"
+
+
+def bayes_sql(levels=()) -> dict[str, str]:
+    """Multinomial naive Bayes over weighted word counts, from ``fit (doc_id, label)``,
+    ``rest (doc_id)`` and ``places``: every text against every child of its class."""
+    widths = levels or (99,)
+    ctes = {
+        "fit_words": "select label, doc_id, word, count(*) as tf from places join fit using (doc_id) group by all",
+        "vocab": f"""select word, cast(round(ln(((select count(*) from fit) + 1.0) / (count(*) + 1.0)) * 1e9) as bigint)
+                         as idf from fit_words group by word order by sum(tf) desc, word limit {NUM_WORDS - 1}""",
+        "counted": "select label, word, sum(tf) as n, any_value(idf) as idf from fit_words join vocab using (word) "
+                   "group by label, word",
+        "found": "select doc_id, word, count(*) as tf, any_value(idf) as idf from places join rest using (doc_id) "
+                 "join vocab using (word) group by doc_id, word",
+        "at0": """select doc_id, '' as node, coalesce(cast(x as double), 0) / 1e9 as x, cast(1 as double) as p
+                  from rest left join (select doc_id, sum(tf * idf) as x from found group by doc_id) using (doc_id)""",
+    }
+    for k, width in enumerate(widths):
+        up, down = f"substr(label, 1, {widths[k - 1] if k else 0})", f"substr(label, 1, {width})"
+        ctes |= {
+            f"sums{k}": f"""select {up} as node, {down} as child, word, sum(n) * (any_value(idf) / 1e9) as s,
+                                   any_value(idf) / 1e9 as idf from counted group by {up}, {down}, word""",
+            f"totals{k}": f"select node, child, sum(cast(round(s * 1e9) as hugeint)) as total from sums{k} group by all",
+            f"sizes{k}": f"select {up} as node, {down} as child, count(*) as rows from fit group by all",
+            f"classes{k}": f"""
+                select node, child, ln(rows + 1.0) - ln(sum(rows) over (partition by node)
+                           + cast(count(*) over (partition by node) as double)) as prior,
+                       ln(coalesce(cast(total as double), 0) / 1e9 + (select count(*) from vocab)) as slope
+                from sizes{k} left join totals{k} using (node, child)""",
+            f"shared{k}": f"""
+                select doc_id, child, sum(tf * cast(round(s.idf * ln(s + 1.0) * 1e9) as bigint)) as w
+                from at{k} join found f using (doc_id) join sums{k} s on s.node = at{k}.node and s.word = f.word
+                group by doc_id, child""",
+            f"scores{k}": f"""
+                select a.doc_id, a.x, a.p, c.child, prior - a.x * slope + coalesce(cast(w as double), 0) / 1e9 as score
+                from at{k} a join classes{k} c on c.node = a.node
+                left join shared{k} h on h.doc_id = a.doc_id and h.child = c.child""",
+            f"at{k + 1}": f"""
+                select doc_id, arg_min(child, (-round(score, 9), child)) as node, any_value(x) as x,
+                       any_value(p) / sum(exp(score - top)) as p
+                from (select *, max(score) over (partition by doc_id) as top from scores{k}) group by doc_id""",
+        }
+    return ctes | {"predicted": "select doc_id, node as predicted_label, round_even(p, 3) as predicted_label_proba "
+                                f"from at{len(widths)}"}
+
+
+#: Item texts and codes; a code counts with eight digits.
+ITEM_PARTS = ("DESCRIPTION", "MANUFACTURER_NAME", "SUPPLIER_PART")
+LEGAL = "length(CODE) = 8 and CODE <> '00000000'"
+KEPT_ITEMS = """select doc_id, text, label from coded
+    where label in (select label from coded group by label having count(*) >= 12)"""
+CODED_ITEMS = f"""select ID as doc_id, concat_ws(' ', {', '.join(ITEM_PARTS)}) as text, CODE as label
+                  from items where {LEGAL}"""
+ITEM_PLACES = PLACES.replace("from documents", "from kept")
+ITEM_OPTIONS = training.TrainingOptions(threshold=12, sample=None, num_words=NUM_WORDS)
+LEVEL_WIDTHS = ITEM_OPTIONS.levels
+ITEM_TABLES = {"coded": CODED_ITEMS, "kept": KEPT_ITEMS, "places": ITEM_PLACES, "split": SPLIT,
+               "fit": FITTING, "rest": HELD_BACK}
+
+
+def coded_items(spark, d):
+    return bind.items(spark, d).where(LEGAL).select("ID", "CODE", *ITEM_PARTS)
 
 
 @query("train_classifier", with_tables(
-    "", METRICS_SQL, kept=KEPT_DOCUMENTS, places=PLACES,
-    split="""select *, count(*) over () as n, row_number() over
-                 (order by md5(concat_ws('|', '42', cast(doc_id as varchar)))) as rn from kept""",
-    fit="select doc_id, lang from split where rn <= n - cast(floor(n * 0.1) as bigint)",
-    rest="select doc_id, lang from split where rn > n - cast(floor(n * 0.1) as bigint)", **BAYES,
-    pairs="select lang as a, predicted_label as b from rest join predicted using (doc_id)"))
+    "items", METRICS_SQL, **ITEM_TABLES, **bayes_sql(),
+    pairs="select label as a, predicted_label as b from rest join predicted using (doc_id)"))
 def train_classifier(spark, d):
-    """Metrics of a classifier of the document language, on held-back rows."""
-    _, metrics = training.train(labelled(spark, d), ALL_WORDS, parts=["DESCRIPTION"],
-                                row_key="doc_id")
+    """Metrics of a classifier of item codes, on held-back rows."""
+    _, metrics = training.train(coded_items(spark, d), ITEM_OPTIONS, ITEM_PARTS, "ID")
     return metrics
 
 
-@query("score_documents", with_tables(
-    "", "select doc_id, lang, predicted_label, predicted_label_proba "
-        "from rest join predicted using (doc_id)",
-    fit=KEPT_DOCUMENTS, rest="select doc_id, lang from fit", places=PLACES, **BAYES))
+@query("train_by_level", with_tables(
+    "items", " union all ".join(
+        f"select {n} as digits, * from ({METRICS_SQL.replace('pairs', f'pairs{n}')})" for n in LEVEL_WIDTHS),
+    **ITEM_TABLES, **bayes_sql(LEVEL_WIDTHS),
+    **{f"pairs{n}": f"select substr(label, 1, {n}) as a, substr(predicted_label, 1, {n}) as b "
+                    "from rest join predicted using (doc_id)" for n in LEVEL_WIDTHS}))
+def train_by_level(spark, d):
+    """The same codes classified down the levels; metrics of each level."""
+    _, metrics = training.train(coded_items(spark, d), replace(ITEM_OPTIONS, classifier="top_down"), ITEM_PARTS, "ID")
+    return metrics
+
+
+#: A code for every document, among 499 full ones.
+DOCUMENT_CODE = bind.digits("(doc_id % 499)")
+DOCUMENT_OPTIONS = training.TrainingOptions(imbalance=None, sample=None, num_words=NUM_WORDS)
+DOCUMENT_TABLES = {"fit": f"select doc_id, {DOCUMENT_CODE} as label from documents",
+                   "rest": "select doc_id, label from fit", "places": PLACES}
+PREDICTED = "select doc_id, label as CODE, predicted_label, predicted_label_proba from rest join predicted using (doc_id)"
+
+
+def scored_documents(spark, d, options):
+    table = documents(spark, d).select("doc_id", F.col("text").alias("DESCRIPTION"),
+                                       F.expr(DOCUMENT_CODE).alias("CODE"))
+    rows = training.balanced_sample(table, options, parts=["DESCRIPTION"], row_key="doc_id")
+    model = training.fit_classifier(rows, options)
+    return training.score(model, rows).select("doc_id", "CODE", "predicted_label", "predicted_label_proba")
+
+
+@query("score_documents", with_tables("", PREDICTED, **DOCUMENT_TABLES, **bayes_sql()))
 def score_documents(spark, d):
-    """Predicted language and probability of every document."""
-    rows = training.balanced_sample(labelled(spark, d), ALL_WORDS, parts=["DESCRIPTION"],
-                                    row_key="doc_id")
-    model = training.fit_classifier(rows, ALL_WORDS)
-    return training.score(model, rows).select("doc_id", "lang", "predicted_label",
-                                              "predicted_label_proba")
+    """Predicted code and probability of every document; its words are more than are kept."""
+    return scored_documents(spark, d, DOCUMENT_OPTIONS)
 
 
-#: A label that every text has: one of seven codes, by its length.
-TEXT_LABEL = "concat(cast(10 + length(CONCAT_FEATURE) % 7 as varchar(2)), '000000')"
+@query("score_by_level", with_tables("", PREDICTED, **DOCUMENT_TABLES, **bayes_sql(LEVEL_WIDTHS)))
+def score_by_level(spark, d):
+    """The same, down the levels."""
+    return scored_documents(spark, d, replace(DOCUMENT_OPTIONS, classifier="top_down"))
+
+
+#: A label that every text has: one of some two thousand codes, by its content.
+TEXT_LABEL = bind.digits("(length(CONCAT_FEATURE) * 131 + ascii(substr(CONCAT_FEATURE, 3, 1)) * 7 "
+                         "+ ascii(substr(CONCAT_FEATURE, 9, 1)))")
 
 
 @query("infer_with_model", with_tables("item_table", f"""
@@ -220,9 +286,9 @@ TEXT_LABEL = "concat(cast(10 + length(CONCAT_FEATURE) % 7 as varchar(2)), '00000
         ) a on t.ID = a.ID and (t.MODEL_UUID is null or t.MODEL_UUID <> 'M1')""",
     feature_rows=FEATURE_ROWS, stored=STORED,
     documents="select distinct CONCAT_FEATURE as doc_id, CONCAT_FEATURE as text, CONCAT_FEATURE, "
-              f"{TEXT_LABEL} as lang from feature_rows",
-    places=PLACES, fit="select doc_id, lang from documents",
-    rest="select doc_id, lang from documents where length(CONCAT_FEATURE) % 3 <> 0", **BAYES,
+              f"{TEXT_LABEL} as label from feature_rows",
+    places=PLACES, fit="select doc_id, label from documents",
+    rest="select doc_id, label from documents where length(CONCAT_FEATURE) % 3 <> 0", **bayes_sql(LEVEL_WIDTHS),
     answers=f"""
         select * from stored union all
         select CONCAT_FEATURE, {level_sql('label')}, {confidence_sql('label', 'p')},
@@ -230,12 +296,15 @@ TEXT_LABEL = "concat(cast(10 + length(CONCAT_FEATURE) % 7 as varchar(2)), '00000
         from (select doc_id as CONCAT_FEATURE, predicted_label as label,
                      cast(predicted_label_proba as decimal(6,5)) as p from predicted)"""))
 def infer_with_model(spark, d):
-    """A classifier is fitted on the texts of the batch, and the batch scored with it."""
+    """A classifier is fitted on the texts of the batch, and the batch scored with it, level by
+    level; the model is saved and loaded in between."""
     texts = inference.feature_rows(bind.item_table(spark, d), START, END).select(
         "CONCAT_FEATURE").distinct()
-    options = training.TrainingOptions(num_words=10_000_000)
+    options = training.TrainingOptions(num_words=NUM_WORDS, classifier="top_down")
     rows = materialize(texts.withColumn("CODE", F.expr(TEXT_LABEL)), "texts")
-    model = training.fit_classifier(rows, options)
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    training.fit_classifier(rows, options).save(path)
+    model = SparseBayes.load(spark, path)
     merged, _ = inference_round(spark, d, lambda features: training.score(model, features))
     return plain(merged.select(*[name for name in C.OWN_PREDICTION
                                  if name != "SBN_PREDICTION_LASTUPDATED_AT"]))

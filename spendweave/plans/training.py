@@ -6,15 +6,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import columns as C
-from ..functions import text
-from ..operators import labels, sampling, vocabulary
+from ..functions import codes, text
+from ..operators import bayes, labels, sampling, vocabulary
+from ..operators.bayes import SparseBayes
 from ..operators.metrics import class_metrics
 from ..session import materialize
 from .features import feature_and_label
@@ -33,7 +34,11 @@ class TrainingOptions:
     num_words: int = 20_001
     text_length: int = 300
     validation_share: float = 0.1
+    #: ``naive_bayes`` among all labels, ``top_down`` level by level (both with weights in
+    #: tables), or ``logistic_regression`` (a Spark ML model with a matrix on the driver)
     classifier: str = "naive_bayes"
+    #: digits of a code down to each level, for ``top_down``
+    levels: tuple[int, ...] = tuple(map(codes.width, range(1, 5)))
 
 
 def balanced_sample(table: DataFrame, options: TrainingOptions = TrainingOptions(),
@@ -60,38 +65,41 @@ def training_features(rows: DataFrame, options: TrainingOptions = TrainingOption
     return labels.one_hot(indexed, "label_index", "label_vector")
 
 
-def _classifier(kind: str):
-    columns = {"featuresCol": "weights", "labelCol": "label_number", "predictionCol": "predicted",
-               "probabilityCol": "probability", "rawPredictionCol": "raw"}
-    if kind == "naive_bayes":
-        return NaiveBayes(**columns)
-    if kind == "logistic_regression":
-        return LogisticRegression(maxIter=20, **columns)
-    raise ValueError(f"unknown classifier {kind!r}")
+Model = SparseBayes | PipelineModel
 
 
-def fit_classifier(rows: DataFrame, options: TrainingOptions = TrainingOptions(),
-                   min_document_count: float = 1.0) -> PipelineModel:
-    """Word weights and a classifier over them.
-
-    Naive Bayes needs one aggregation over the rows, whatever their number;
-    logistic regression iterates.
-    """
+def _regression(rows: DataFrame, options: TrainingOptions) -> PipelineModel:
     prepared = rows.withColumn("words", text.tokens(F.col(C.FEATURE)))
-    indexer = StringIndexer(inputCol=options.label, outputCol="label_number",
-                            stringOrderType="alphabetAsc", handleInvalid="skip")
-    stages = [indexer,
+    stages = [StringIndexer(inputCol=options.label, outputCol="label_number",
+                            stringOrderType="alphabetAsc", handleInvalid="skip"),
               CountVectorizer(inputCol="words", outputCol="word_counts",
-                              vocabSize=options.num_words - 1, minDF=min_document_count),
-              IDF(inputCol="word_counts", outputCol="weights"), _classifier(options.classifier)]
+                              vocabSize=options.num_words - 1),
+              IDF(inputCol="word_counts", outputCol="weights"),
+              LogisticRegression(maxIter=20, featuresCol="weights", labelCol="label_number",
+                                 predictionCol="predicted", probabilityCol="probability",
+                                 rawPredictionCol="raw")]
     return Pipeline(stages=stages).fit(prepared)
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Rows with ``predicted_label`` and its probability.
+def fit_classifier(rows: DataFrame, options: TrainingOptions = TrainingOptions()) -> Model:
+    """Word weights and a classifier over them.
 
-    The label indexer is left out: rows to score have no label.
+    Naive Bayes needs one aggregation over the rows, whatever their number, and keeps its
+    weights in tables; logistic regression iterates and is meant for few labels.
     """
+    if options.classifier == "logistic_regression":
+        return _regression(rows, options)
+    if options.classifier not in ("naive_bayes", "top_down"):
+        raise ValueError(f"unknown classifier {options.classifier!r}")
+    levels = options.levels if options.classifier == "top_down" else ()
+    return bayes.fit(rows, C.FEATURE, options.label, options.num_words, levels)
+
+
+def score(model: Model, rows: DataFrame) -> DataFrame:
+    """Rows with ``predicted_label`` and its probability."""
+    if isinstance(model, SparseBayes):
+        return bayes.predict(model, rows, C.FEATURE)
+    # the label indexer is left out: rows to score have no label
     scored = rows.withColumn("words", text.tokens(F.col(C.FEATURE)))
     for stage in model.stages[1:]:
         scored = stage.transform(scored)
@@ -104,12 +112,24 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
                                             "predicted_label_proba")
 
 
+def metrics_by_level(scored: DataFrame, label: str, levels: Sequence[int]) -> DataFrame:
+    """``digits`` and the metrics of labels cut to so many digits, a row for each level. The
+    rows are reduced to their confusion counts once."""
+    each = scored.select(F.explode(F.array(*map(F.lit, levels))).alias("digits"), label, "predicted_label")
+    cut = each.select("digits", *[F.expr(f"substr({name}, 1, digits)").alias(name)
+                                  for name in (label, "predicted_label")])
+    return class_metrics(cut, label, "predicted_label", by=["digits"])
+
+
 def train(table: DataFrame, options: TrainingOptions = TrainingOptions(),
           parts: Sequence[str] = C.FEATURE_PARTS,
-          row_key: str = "PO_ITEM_ID") -> tuple[PipelineModel, DataFrame]:
-    """A fitted classifier and its metrics on the held-back rows."""
+          row_key: str = "PO_ITEM_ID") -> tuple[Model, DataFrame]:
+    """A fitted classifier and its metrics on the held-back rows, for ``top_down`` by level."""
     rows = balanced_sample(table, options, parts, row_key)
     fitting, held_back = sampling.split_tail(rows, options.validation_share, options.seed,
                                               [row_key])
     model = fit_classifier(materialize(fitting, "training-rows"), options)
-    return model, class_metrics(score(model, held_back), options.label, "predicted_label")
+    scored = score(model, held_back)
+    if options.classifier == "top_down":
+        return model, metrics_by_level(scored, options.label, options.levels)
+    return model, class_metrics(scored, options.label, "predicted_label")
