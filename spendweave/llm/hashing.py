@@ -6,6 +6,8 @@ substring from two of its entries; a finalizer then mixes the bits.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -53,15 +55,34 @@ class Substrings:
         return mix((self.sums[width:] - self.sums[:n]) * self.down[:n] + np.uint64(width))
 
 
+class _WordHashes(dict):
+    """64-bit digests of words, kept while there are not too many of them."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 64:                  # long words are rare and would fill the memory
+            if len(self) >= 400_000:
+                self.clear()
+            self[word] = value
+        return value
+
+
+_word_hashes = _WordHashes()
+
+
 def shingles(text: str, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a text (A-Z lower-cased, words
-    between ASCII white space); fewer than ``width`` words are one shingle."""
+    between ASCII white space); fewer than ``width`` words are one shingle.
+
+    Words go through a cryptographic digest, so no choice of letters makes two of them meet
+    (a polynomial of the bytes would let some long words do); digests are mixed in turn.
+    """
     words = text.encode().translate(_LOWER).split()
     if not words:
         return np.zeros(0, "uint64")
-    lengths = np.fromiter(map(len, words), "int64", len(words))
-    starts = np.cumsum(lengths + 1) - lengths - 1
+    hashes = np.fromiter(map(_word_hashes.__getitem__, words), "uint64", len(words))
     many = max(1, len(words) - width + 1)
-    last = min(width, len(words)) - 1
-    find = Substrings(b" ".join(words))
-    return np.unique(find(starts[:many], (starts + lengths)[last:last + many]))
+    key = np.full(many, np.uint64(min(width, len(words))))
+    for k in range(min(width, len(words))):
+        key = mix(key * _BASE + hashes[k:k + many])
+    return np.unique(key)

@@ -11,15 +11,14 @@
    are confirmed on the full sets.
 4. In each bucket the class with the most company is compared with the others (as many
    pairs as entries). Only buckets that still hold several components go on: their pairs
-   across components are compared, which is what a link between components needs, each in
-   the first bucket that it shares. A very large bucket is first divided by a second band:
-   similar classes share many bands, so they meet there again.
+   across components are compared, which is what a link between components needs. A bucket
+   is cut into blocks and its pairs of blocks are dealt out, so no task has more than the
+   product of two blocks, however large the bucket.
 5. Connected components by alternating large-star and small-star steps.
 
 With 196 samples in 49 bands of four, a pair of similarity 0.75 shares no band with
-probability 8e-9, at most one band (not enough in a very large bucket) with 2e-7; the sketch
-rules out such a pair with a probability below 1e-7, by the distribution of the differing
-bits. Buckets and groups have no caps.
+probability 8e-9; the sketch rules out such a pair with a probability below 1e-7, by the
+distribution of the differing bits. Buckets and groups have no caps.
 """
 
 from __future__ import annotations
@@ -39,7 +38,6 @@ from .common import text_of
 from .hashing import mix, shingles
 
 SHINGLE_WORDS, PERCENT = 5, 75
-#: So many bands that two shared ones are as sure as one of 40.
 BANDS, BAND_ROWS = 49, 4
 SAMPLES = BANDS * BAND_ROWS
 #: Bits of an odd sketch, and samples that it is meant for: larger sets are thinned out by
@@ -47,8 +45,8 @@ SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS, SKETCH_SAMPLES = 1024, 1024
 #: Probability with which two sets at the threshold may differ in more bits than allowed.
 MISS = 1e-7
-#: Entries above which an open bucket is divided by a second band.
-LARGE_BUCKET = 4000
+#: Entries of a block of an open bucket, as a rule.
+BUCKET_BLOCK = 512
 #: Keys up to which a lookup is broadcast (some 60 bytes each); beyond, it is shuffled.
 BROADCAST_KEYS = 400_000
 
@@ -234,6 +232,85 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * F.col("shared") >= PERCENT * union).select("a", "b")
 
 
+_MEMBER = ("key", "lo", "hi", "block", "cls", "component", "size", "level", "samples", "sketch",
+           "thinner_samples", "thinner")
+
+
+def _block_pairs(group: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of classes of two blocks (or of one) of a bucket that lie in different components
+    and that sizes and sketches do not rule out."""
+    found_a, found_b = [np.zeros(0, "int64")], [np.zeros(0, "int64")]
+    one = group["lo"][0] == group["hi"][0]
+    whole, thinned = (np.array(bounds) for bounds in most_differing())
+    left, right = (np.flatnonzero(group["block"] == group[side][0]) for side in ("lo", "hi"))
+    for level in np.unique(group["level"][left]):
+        for other in (level - 1, level, level + 1):       # similar sets are at most a level apart
+            at = max(level, other)
+            i, j = left[group["level"][left] == level], right[group["level"][right] == other]
+            if not len(i) or not len(j):
+                continue
+            (bits_i, n_i), (bits_j, n_j) = (
+                (group["sketch"][k], group["samples"][k]) if own == at else
+                (group["thinner"][k], group["thinner_samples"][k]) for k, own in ((i, level), (j, other)))
+            size_i, size_j = group["size"][i][:, None], group["size"][j][None, :]
+            open_ = group["component"][i][:, None] != group["component"][j][None, :]
+            open_ &= 100 * np.minimum(size_i, size_j) >= PERCENT * np.maximum(size_i, size_j)
+            if one:
+                open_ &= i[:, None] < j[None, :]
+            if not open_.any():
+                continue
+            differing = np.zeros(open_.shape, "int16")
+            for w in range(SKETCH_BITS // 64):
+                differing += np.bitwise_count(bits_i[:, w][:, None] ^ bits_j[:, w][None, :])
+            bounds = whole if at == 0 else thinned
+            cell = (n_i[:, None] + n_j[None, :]) // _CELL
+            most = np.where(cell < len(bounds), bounds[np.minimum(cell, len(bounds) - 1)], SKETCH_BITS)
+            p, q = np.nonzero(open_ & (differing <= most))
+            found_a.append(group["cls"][i[p]])
+            found_b.append(group["cls"][j[q]])
+    a, b = np.concatenate(found_a), np.concatenate(found_b)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """Candidate pairs ``a, b`` between components, from the members of open buckets (``key,
+    cls, component, n`` entries in the bucket, and the sketch columns).
+
+    A member goes to every pair of blocks that its block is in. Rows come sorted by pair, so
+    a task holds one pair of blocks at a time.
+    """
+    blocks = F.ceil(F.col("n") / BUCKET_BLOCK).cast("int")
+    dealt = (members.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+             .select(*_MEMBER).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
+
+    def run(batches):
+        kept = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            kept = table if kept is None else pa.concat_tables([kept, table])
+            ids = [kept.column(c).to_numpy() for c in ("key", "lo", "hi")]
+            change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ids], 0)) + 1
+            if len(change):
+                yield from groups(kept.slice(0, change[-1]), np.append(0, change))
+                kept = kept.slice(change[-1])
+        if kept is not None and len(kept):
+            yield from groups(kept, np.array([0, len(kept)]))
+
+    def groups(table: pa.Table, ends: np.ndarray):
+        columns = {}
+        for name in _MEMBER:
+            column = table.column(name).combine_chunks()
+            flat = column.flatten().to_numpy().reshape(len(table), -1) if name in ("sketch", "thinner") else None
+            columns[name] = column.to_numpy() if flat is None else flat
+        pairs = [_block_pairs({name: x[lo:hi] for name, x in columns.items()})
+                 for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(side)) for side in zip(*pairs, strict=True)], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``node, component`` (smallest node) of every node in ``links`` (``a, b``)."""
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -266,7 +343,6 @@ def _links(docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
     own = materialize(classes.join(company, "cls", "left_semi"), "shared-classes")
     sets = materialize(_full_sets(docs, text, own.select("cls", "text_key")), "shingle-sets")
     facts = materialize(_sketches(sets), "sketches")
-    bands = own.select("cls", "bands")
 
     known = shared.join(company, "cls")
     leaders = known.groupBy("key").agg(F.max(F.struct("company", "cls")).alias("leader"))
@@ -286,24 +362,8 @@ def _links(docs: DataFrame, text: str, classes: DataFrame) -> DataFrame:
                                           F.count(F.lit(1)).alias("n")).filter("lo <> hi")
         return rows.select("key", "cls", "component").join(several.select("key", "n"), "key")
 
-    rest = materialize(still_open(labelled), "open-buckets")
-    divided = (rest.filter(F.col("n") > LARGE_BUCKET).join(bands, "cls")
-               .select("key", "cls", "component", F.explode("bands").alias("other"))
-               .filter("other <> key")
-               .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"),
-                       "cls", "component").distinct())
-    members = (rest.filter(F.col("n") <= LARGE_BUCKET).withColumn("divided", F.lit(False))
-               .unionByName(still_open(divided).withColumn("divided", F.lit(True)))
-               .select("key", "divided", "cls", "component").join(facts, "cls").join(bands, "cls"))
-    a, b = (_side(members, x) for x in "ab")
-    # a pair that shares several buckets is compared in the first of them
-    common = F.array_sort(F.array_intersect("bands_a", "bands_b"))
-    here = F.when(F.col("divided_a"), F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1)))).otherwise(
-        F.get(common, F.lit(0))) == F.col("key_a")
-    across = (a.join(b, (F.col("key_a") == F.col("key_b")) & (F.col("at_a") == F.col("at_b"))
-                     & (F.col("component_a") < F.col("component_b")) & _not_ruled_out())
-              .filter(here).select("a", "b").distinct())
-    return first.unionByName(materialize(_confirmed(across, sets), "links"))
+    rest = still_open(labelled).join(sets.drop("hashes").withColumnRenamed("n", "size"), "cls")
+    return first.unionByName(materialize(_confirmed(_across(rest), sets), "links"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -317,21 +377,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     not looked at.
     """
     rows = materialize(signatures(docs, text, doc_id), "signatures")
-    first = materialize(rows.filter("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("cls")),
-                        "classes")
+    winner = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    first = materialize(rows.filter("n_shingles > 0").groupBy("digest").agg(
+        F.min("row").alias("cls"), F.min(winner).alias("winner")), "classes")
     classes = materialize(rows.join(first.select(F.col("cls").alias("row")), "row", "left_semi")
                           .select(F.col("row").alias("cls"), "text_key", "bands"),
                           "class-signatures")
-    labels = connected_components(_links(docs, text, classes))
-    membership = first.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "digest", F.coalesce("component", "cls").alias("label"))
-    own = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("row"))
-    labelled = materialize(
-        rows.select("doc_id", "row", "n_shingles", "digest").join(membership, "digest", "left")
-        .select("doc_id", "row", "n_shingles", own.alias("label")), "components")
-    winners = labelled.groupBy("label").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("winner"))
-    return labelled.join(winners, "label").select(
+    labels = materialize(connected_components(_links(docs, text, classes)), "labels")
+    # of classes that are linked, the component's first row; all others have their own
+    linked = first.join(labels.withColumnRenamed("node", "cls"), "cls").select("digest", "component", "winner")
+    winners = materialize(linked.groupBy("component").agg(F.min("winner").alias("best")), "winners")
+    members = materialize(linked.join(winners, "component").select("digest", "best"), "members")
+    decided = materialize(first.join(members, "digest", "left").select(
+        "digest", F.coalesce("best", "winner").alias("winner")), "decided")
+    joined = rows.select("doc_id", "row", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
+    return joined.join(decided, "digest", "left").withColumn("winner", F.coalesce("winner", winner)).select(
         "doc_id", "n_shingles", F.col("winner.doc_id").alias("component_id"),
         (F.col("row") == F.col("winner.row")).alias("kept"))
 

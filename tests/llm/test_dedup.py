@@ -119,12 +119,17 @@ def near_rows(seed=0):
     return rows
 
 
-@pytest.mark.parametrize("large", [near_dedup.LARGE_BUCKET, 3])
-def test_near_components(spark, monkeypatch, large):
-    monkeypatch.setattr(near_dedup, "LARGE_BUCKET", large)
+def near(spark, rows):
+    found = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr)
+
+
+@pytest.mark.parametrize("block", [near_dedup.BUCKET_BLOCK, 3])
+def test_near_components(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BUCKET_BLOCK", block)
     rows = near_rows()
     found = near_dedup.near_duplicates(frame(spark, rows)).collect()
-    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == near_by_hand(rows)
+    assert near(spark, rows) == near_by_hand(rows)
     assert sum(r.kept for r in found if r.n_shingles) == len({r.component_id for r in found if r.n_shingles})
 
 
@@ -168,11 +173,52 @@ def test_odd_sketches_keep_pairs_at_the_threshold(spark):
     assert pairs.filter(near_dedup._not_ruled_out()).count() == len(rows)
 
 
-def test_bands_find_pairs_in_large_buckets_too():
-    """A pair in a bucket above LARGE_BUCKET needs a second shared band."""
+def test_bands_find_pairs_at_the_threshold():
     same = (near_dedup.PERCENT / 100) ** near_dedup.BAND_ROWS
-    none = (1 - same) ** near_dedup.BANDS
-    assert none + near_dedup.BANDS * same * none / (1 - same) < 3e-7
+    assert (1 - same) ** near_dedup.BANDS < 1e-8
+
+
+def test_words_that_a_polynomial_hash_confuses_stay_apart(spark):
+    """Thue-Morse words collide under every polynomial modulo 2**64."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = one.translate({97: "b", 98: "a"})
+    rows = [(1, one), (2, other), (3, f"x {one} y z w v"), (4, f"x {other} y z w v"), (5, one)]
+    assert near(spark, rows) == near_by_hand(rows)
+    assert not set(shingles(one)) & set(shingles(other))
+
+
+@pytest.mark.parametrize("level", [0, 1, 3])
+def test_block_pairs_equal_the_condition_pair_by_pair(level):
+    rng = np.random.default_rng(level)
+    sets, cls = [], []
+    for k in range(40):
+        n = int(near_dedup.SKETCH_SAMPLES * 2 ** level * rng.uniform(.6, 1.4)) if level else int(rng.integers(1, 900))
+        base = np.random.default_rng(k % 5 + 100 * level).integers(0, 2**64, 2 * n, dtype="uint64")
+        sets.append(np.unique(rng.choice(base, n, replace=False)))
+        cls.append(k)
+    own = [near_dedup.level_of(len(s)) for s in sets]
+    sketch, thin = ([near_dedup.odd_sketch(s, v + more) for s, v in zip(sets, own, strict=True)] for more in (0, 1))
+    component = rng.integers(0, 30, 40)
+    group = {"cls": np.array(cls), "component": component, "size": np.array(list(map(len, sets))), "level": np.array(own),
+             "samples": np.array([n for n, _ in sketch]), "sketch": np.stack([x for _, x in sketch]),
+             "thinner_samples": np.array([n for n, _ in thin]), "thinner": np.stack([x for _, x in thin]),
+             "block": np.array(cls) % 2, "lo": np.zeros(40, int), "hi": np.ones(40, int)}
+
+    def open_pair(i, j):
+        at = max(own[i], own[j])
+        if abs(own[i] - own[j]) > 1 or component[i] == component[j] or 100 * min(len(sets[i]), len(sets[j])) < (
+                near_dedup.PERCENT * max(len(sets[i]), len(sets[j]))):
+            return False
+        (n, x), (m, y) = ((sketch if own[k] == at else thin)[k] for k in (i, j))
+        bounds = near_dedup.most_differing()[0 if at == 0 else 1]
+        cell = (n + m) // near_dedup._CELL
+        return int(np.bitwise_count(x ^ y).sum()) <= (bounds[cell] if cell < len(bounds) else near_dedup.SKETCH_BITS)
+
+    found = set(zip(*(x.tolist() for x in near_dedup._block_pairs(group)), strict=True))
+    assert found == {(min(i, j), max(i, j)) for i in range(0, 40, 2) for j in range(1, 40, 2) if open_pair(i, j)}
+    one = {name: x[::2] for name, x in group.items()} | {"hi": np.zeros(20, int)}
+    found = set(zip(*(x.tolist() for x in near_dedup._block_pairs(one)), strict=True))
+    assert found == {(i, j) for i in range(0, 40, 2) for j in range(i + 2, 40, 2) if open_pair(i, j)}
 
 
 def test_components_of_long_chains(spark):
