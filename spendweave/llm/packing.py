@@ -10,7 +10,6 @@ window. The last tail of a group is cut into powers of two, which need no paddin
 from __future__ import annotations
 
 import os
-import string
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,79 +23,51 @@ from pyspark.sql import functions as F
 
 from spendweave.session import materialize
 
-from .bpe import vocabulary_path
+from .bpe import load_ranks, vocabulary_path
 from .common import text_of
-from .pieces import REMEMBERED, Remembered, chunks
 
-VOCABULARY = "byte_bpe_50k.json"
+#: A vocabulary, and the same as a file of ranks.
+VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 WINDOW, OPEN_WINDOWS, END_ID = 1024, 16, 0
 #: Partitions whose tails are merged by one task: at most so many windows of ids.
 MERGED_PARTITIONS = 256
 _MERGED = 1 << 61
 
 
-def _byte_alphabet() -> dict[int, int]:
-    """How byte-level vocabularies write bytes: printable ones as they are, the others, in
-    order, as the characters from 256 on."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in printable]
-    return {b: 256 + k for k, b in enumerate(others)}
-
-
-_SHOWN = _byte_alphabet()
-
 
 class Tokens:
-    """Texts to packed ids by the ``tokenizers`` library; a chunk is encoded once.
+    """Texts to packed ids of a vocabulary of the ``tokenizers`` library, as it comes.
 
-    A word followed by punctuation is two pieces, a blank with the word and the punctuation
-    (both sides of the pattern say so), so its ids are those of the word and of the tail.
+    The same vocabulary as a file of ranks gives the same ids in half the time with
+    ``tiktoken`` (compared over all code points in the tests). Texts that hold an added token,
+    which the first library reads as one, go through that one.
     """
 
-    def __init__(self, vocabulary: str, most: int = REMEMBERED):
+    def __init__(self, vocabulary: str, ranks: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._library = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self._library.encode_special_tokens = True
-        self._merge = self._library.model.tokenize
-        self._known: dict[str, bytes] = {}      # ids of a blank and the chunk
-        self._tails = Remembered(lambda tail: self._encode([tail])[0], 10_000)
-        self._most = most
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes()
-                for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, missing: set[str]) -> None:
-        known, words = self._known, []
-        for chunk in missing:
-            word = chunk.rstrip(string.punctuation)
-            if word is not chunk and word.isalpha():
-                words.append((chunk, word))
-        new = list(missing.difference([c for c, _ in words]).union([w for _, w in words]).difference(known))
-        odd = [c for c in new if not c.isalpha()]
-        known.update(zip(odd, self._encode([" " + c for c in odd]), strict=True))
-        for word in set(new).difference(odd):        # one piece: the merges alone
-            shown = (" " + word).encode().decode("latin-1").translate(_SHOWN)
-            known[word] = array("I", [t.id for t in self._merge(shown)]).tobytes()
-        for chunk, word in words:
-            known[chunk] = known[word] + self._tails[chunk[len(word):]]
+        self._added = [t.content for t in self._library.get_added_tokens_decoder().values()]
+        self._fast = None
+        if ranks:
+            import public_tokenizers
+            import tiktoken
+            self._fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                           mergeable_ranks=load_ranks(ranks)).encode_ordinary
+
+    def _encode(self, text: str) -> list[int]:
+        if self._fast is None or any(a in text for a in self._added):
+            return self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return self._fast(text)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self._known) > self._most:
-            self._known.clear()
-        parts, seen = [chunks(t) for t in texts], set()
-        for _, rest in parts:
-            seen.update(rest)
-        self._learn(seen.difference(self._known))
-        heads, of = self._encode([head for head, _ in parts]), self._known.__getitem__
-        for head, (_, rest) in zip(heads, parts, strict=True):
-            yield head + b"".join(map(of, rest))
+        for text in texts:
+            yield array("I", self._encode(text)).tobytes()
 
 
 @cache
-def tokens(vocabulary: str, most: int) -> Tokens:
-    return Tokens(vocabulary, most)
+def tokens(vocabulary: str, ranks: str | None) -> Tokens:
+    return Tokens(vocabulary, ranks)
 
 
 @dataclass
@@ -186,7 +157,7 @@ def _rows(window: list[Piece], sequence: int | None, group: int = -1, order: int
 
 def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str = VOCABULARY,
          window: int = WINDOW, open_windows: int = OPEN_WINDOWS, end_id: int = END_ID,
-         merged_partitions: int = MERGED_PARTITIONS, remembered: int = REMEMBERED) -> DataFrame:
+         merged_partitions: int = MERGED_PARTITIONS, ranks: str | None = RANKS) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
     A document is its ids and ``end_id``; ``start`` counts its ids before the piece and
@@ -196,8 +167,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary
     any others, long documents span windows, an empty table gives no pieces, other columns
     are dropped. A retried task packs its partition in the same order and so alike.
 
-    ``remembered`` bounds the chunks whose ids a worker keeps; fewer take less memory and
-    more time.
+    ``ranks`` is the vocabulary as a file of ranks, None where there is none (slower).
     """
     given = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
@@ -211,7 +181,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary
 
     def partition(batches):
         part, number, packer, schema = TaskContext.get().partitionId(), 0, Packer(window, open_windows), None
-        encode = tokens(vocabulary, remembered)
+        encode = tokens(vocabulary, ranks)
         for batch in batches:
             schema = schema or pa.schema([pa.field("doc_id", batch.schema.field(0).type), *(
                 pa.field(n, pa.binary() if n == "ids" else pa.int64()) for n in names[1:])])

@@ -93,7 +93,6 @@ def test_pipeline_by_hand(spark, texts):
         i: (t, len(t)) if t != survivors[i] else (t, len(survivors[i])) for i, t in masked.items()}
 
     own = Tokenizer.from_file(packing.vocabulary_path(packing.VOCABULARY))
-    own.encode_special_tokens = True
     found = {}
     for r in corpus_pipeline.run(spark, FOLDER).collect():
         found.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))

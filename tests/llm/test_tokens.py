@@ -87,8 +87,7 @@ def test_word_piece_counts_on_documents(spark):
 def test_packing_holds_every_id_once(spark):
     from tokenizers import Tokenizer
     own = Tokenizer.from_file(P.path(packing.VOCABULARY))
-    own.encode_special_tokens = True
-    texts = ODD + real(spark) + [None, None]
+    texts = ODD + real(spark) + [None, None, "<|endoftext|> x", "a <|endoftext|>b c d", "a <|endoftext |> b"]
     df = frame(spark, texts).repartition(7)
     rows = packing.pack(df, merged_partitions=3).collect()
     docs, sequences = {}, {}
@@ -122,7 +121,7 @@ def test_blanks_beside_other_white_space(library):
              " \n", "\n ", " \u3000 x", "a\u2028 b c", "\r \n \t x y"]
     for mark in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2003\u2029\u202f\u205f\u3000\u200b\ufeff":
         texts += [f"x {mark} {mark} y", f"x{mark} y", f"x {mark}y z", f"{mark} {mark}"]
-    encoded = packing.Tokens(packing.VOCABULARY)(texts)
+    encoded = packing.Tokens(packing.VOCABULARY, packing.RANKS)(texts)
     for text, ids in zip(texts, encoded, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
     encode = bpe.encoder(bpe.VOCABULARY, None)
@@ -135,3 +134,45 @@ def test_packing_keeps_null_ids(spark):
     rows = packing.pack(df).collect()
     assert sum(r.length for r in rows if r.doc_id is None) == 6
     assert [r.length for r in rows if r.doc_id == 2] == [1]
+
+
+def test_ranks_give_the_ids_of_the_vocabulary():
+    """Every assigned code point beside letters, digits and blanks, and texts with an added token."""
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(P.path(packing.VOCABULARY))
+    encode = packing.Tokens(packing.VOCABULARY, packing.RANKS)
+    points = [c for c in (*range(0x32400), *range(0xE0000, 0xE0200)) if not 0xD800 <= c < 0xE000]    # all assigned planes
+    for at in range(0, len(points), 50_000):
+        texts = [f"a{chr(c)} {chr(c)}b 1{chr(c)}'{chr(c)}" for c in points[at:at + 50_000]]
+        known = own.encode_batch_fast(texts, add_special_tokens=False)
+        assert all(np.frombuffer(ids, "<u4").tolist() == e.ids for ids, e in zip(encode(texts), known, strict=True))
+    odd = ["<|endoftext|>", "x<|endoftext|>y", " <|endoftext|> ", "<|endoftext|", "ab" * 5000, " " * 3000, ""]
+    slow = packing.Tokens(packing.VOCABULARY, None)
+    for text, ids, same in zip(odd, encode(odd), slow(odd), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids
+        assert ids == same
+
+
+def test_packer_fits_best_and_gives_up_the_fullest():
+    packer = packing.Packer(window=10, most=2)
+
+    def add(length):
+        return [[len(p.ids) for p in w] for w in packer.add(packing.Piece(0, 0, np.zeros(length, "u4"), length))]
+
+    assert add(6) == [] and add(8) == []            # two windows with 4 and 2 free
+    assert add(2) == [[8, 2]]                       # best fit, full at once
+    assert add(7) == [] and len(packer.open) == 2   # 4 and 3 free
+    assert add(5) == [[7, 3]]                       # none fits: the fullest is topped up
+    assert len(packer.open) == 1 and add(23) == [[10], [10]] and len(packer.open) == 2
+    done, rest = packer.close()
+    assert all(sum(len(p.ids) for p in w) == 10 for w in done) and sum(len(p.ids) for p in rest) < 10
+
+
+@pytest.mark.parametrize("total", [1, 2, 7, 1023])
+def test_tails_become_powers_of_two(total):
+    pieces = [packing.Piece(k, 0, np.full(n, k, "u4"), n) for k, n in enumerate((total // 3, total - total // 3)) if n]
+    windows = list(packing.powers_of_two(pieces))
+    sizes = [sum(len(p.ids) for p in w) for w in windows]
+    assert sum(sizes) == total and sizes == sorted(sizes, reverse=True) and len(set(sizes)) == len(sizes)
+    assert all(s & (s - 1) == 0 for s in sizes)
+    assert np.concatenate([p.ids for w in windows for p in w]).tolist() == np.concatenate([p.ids for p in pieces]).tolist()
