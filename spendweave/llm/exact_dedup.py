@@ -19,6 +19,8 @@ from .common import BLANKS, sha256_text, text_of
 #: Misra-Gries counters. Every digest with more than 1/COUNTERS of the rows is found; the
 #: broadcast holds at most COUNTERS rows of about 100 bytes, whatever the input.
 COUNTERS = 256
+#: Keys of dropped rows (some 120 bytes each) up to which they are broadcast.
+BROADCAST_KEYS = 400_000
 
 
 def normalised(text: str = "text") -> Column:
@@ -58,7 +60,12 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
 
 def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                           counters: int = COUNTERS) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, columns as they were."""
+    """``docs`` with one row of each group of equal texts, columns as they were. NULL and
+    empty texts are one group; an empty table stays empty; other columns may have any name.
+
+    The keys of the rows that go are counted: up to ``BROADCAST_KEYS`` they are broadcast and
+    no text moves, more of them are met by a shuffle.
+    """
     key = ("__xd_id", "__xd_digest")
     decided = materialize(
         exact_duplicates(docs, text, doc_id, counters)
@@ -69,11 +76,13 @@ def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "do
     def on(other):
         return (marked[key[0]].eqNullSafe(other[key[0]])) & (marked[key[1]] == other[key[1]])
 
-    dropped = decided.filter(~F.col("__xd_kept")).select(*key)
+    dropped = materialize(decided.filter(~F.col("__xd_kept")).select(*key), "dropped")
+    if dropped.count() <= BROADCAST_KEYS:
+        dropped = F.broadcast(dropped)
     marked = marked.join(dropped, on(dropped), "left_anti")
     # rows that share id and text with the row that stays: only where ids repeat
     repeated = decided.filter(F.col("__xd_kept") & (F.col("__xd_rows") > 1)).select(*key)
     if not repeated.isEmpty():
         once = marked.join(repeated, on(repeated), "left_semi").dropDuplicates(list(key))
         marked = marked.join(repeated, on(repeated), "left_anti").unionByName(once)
-    return marked.select(*docs.columns)
+    return marked.select(*[F.col(f"`{c}`") for c in docs.columns])

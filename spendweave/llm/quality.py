@@ -88,12 +88,15 @@ def statistics(text: Column) -> Column:
     return run(text)
 
 
+def stratum_of(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
 def measured(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
              stratum: str = "lang") -> DataFrame:
     """``doc_id, stratum, text_hash`` and the statistics, one row per input row."""
     found = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
-        F.xxhash64(text_of(text)).alias("text_hash"), statistics(text_of(text)).alias("found"))
+        F.col(doc_id).alias("doc_id"), stratum_of(stratum).alias("stratum"), F.xxhash64(text_of(text)).alias("text_hash"), statistics(text_of(text)).alias("found"))
     return found.select("doc_id", "stratum", "text_hash", "found.*")
 
 
@@ -181,7 +184,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_
     """One row per input row: ``doc_id, stratum``, the statistics, ``base_failed,
     failed_rules, kept``.
 
-    NULL and empty texts have no words and fail. A NULL stratum is one of its own. Rows that
+    NULL and empty texts have no words and fail. A NULL stratum counts as the empty one. Rows that
     repeat are judged alike; a document with several labels is good if one says so; NULL
     labels are passed over; without labels only the base rules reject. An empty table stays
     empty. Other columns are not looked at.
@@ -192,13 +195,16 @@ def judge_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_
 
 def keep_good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id",
                         stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns as they were."""
-    known = labels.select(F.col("doc_id").alias("__known")).distinct()
-    labelled = docs.join(known, F.col(doc_id) == F.col("__known"), "left_semi")
-    found = materialize(measured(labelled, text, doc_id, stratum), "quality-labelled")
-    cutoffs = learn_cutoffs(found, labels)
-    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
-    marked = docs.select(
-        whole, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
-        statistics(text_of(text)).alias("found")).select("__row", "stratum", "found.*")
-    return judge(marked, cutoffs).filter("kept").select("__row.*")
+    """The rows of ``docs`` that the rules keep, columns as they were.
+
+    Rows are written once with their statistics, so that each text is measured once and none
+    is shuffled: labels meet the statistics. NULL and empty texts fail; of repeated rows all
+    stay or none; an empty table stays empty.
+    """
+    stats = F.struct(F.col(doc_id).alias("doc_id"), stratum_of(stratum).alias("stratum"),
+                     F.xxhash64(text_of(text)).alias("text_hash"), statistics(text_of(text)).alias("found"))
+    marked = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+                                     stats.alias("__stats")), "measured")
+    flat = ("__stats.doc_id", "__stats.stratum", "__stats.text_hash", "__stats.found.*")
+    cutoffs = learn_cutoffs(marked.select(*flat), labels)
+    return judge(marked.select("__row", *flat[1:]), cutoffs).filter("kept").select("__row.*")
