@@ -6,8 +6,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from spendweave import columns as C
 from spendweave import schemas
 from spendweave.columns import LEVELS
+from spendweave.operators import network as network_operator
 from spendweave.operators.clean import align
 from spendweave.plans import (evaluate, extract, finalize, inference, network, replicate, star,
                               vendor)
@@ -281,6 +283,69 @@ def test_network(spark):
     assert network.run(nulls, dimension, once, T0, NOW, null_safe=True).count() == once.count()
 
 
+def some_facts(spark, seed, n=300):
+    import random
+    pick = random.Random(seed)
+    data = []
+    for _ in range(n):
+        po = pick.randrange(40)
+        data.append((f"AN{po % 3}", po, po * 10 + pick.randrange(5), pick.choice([7, None]), po % 3,
+                     datetime(2021, 1 + pick.randrange(3), 5), datetime(2021, 1 + po % 4, 9), pick.choice(["SE", None]), "EA",
+                     pick.choice([1, 2, None]), pick.choice([1.25, 3.3333333, None]), str(pick.randrange(6)), 0))
+    return spark.createDataFrame(data, schemas.FACT.split(", _DELTA")[0].replace("UNIT_PRICE_USD bigint", "UNIT_PRICE_USD double"))
+
+
+def some_products(spark):
+    return spark.createDataFrame([(str(k), *[f"{k}{'1' * n}" for n in (1, 3, 5, 7)]) for k in range(4)],
+                                 "ID string, " + ", ".join(f"UNSPSC_{level} string" for level in LEVELS))
+
+
+def totals_rows(df):
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(
+        *C.NETWORK_GROUP, "ORDER_AMOUNT", "ORDER_UNITS", "AVERAGE_UNIT_PRICE_USD", "PO_COUNT", "PO_ITEM_COUNT").collect()), key=repr)
+
+
+def test_totals_by_steps_equal_distinct_counts(spark):
+    facts, products = settle(some_facts(spark, 1)), some_products(spark)
+    by_steps = network_operator.network_totals(facts, products)
+    assert "Expand" not in by_steps._jdf.queryExecution().toString()
+    assert totals_rows(by_steps) == totals_rows(network_operator.network_totals(facts, products, one_order=False))
+    # an item in two orders: counted once in a group, so Spark counts
+    twice = facts.unionByName(facts.withColumn("PO", F.col("PO") + 1000))
+    assert "Expand" in network_operator.network_totals(twice, products)._jdf.queryExecution().toString()
+    nowhere = facts.withColumn("PO", F.when(F.col("PO") % 2 == 0, F.col("PO")))
+    assert totals_rows(network_operator.network_totals(nowhere, products)) == totals_rows(
+        network_operator.network_totals(nowhere, products, one_order=False))
+
+
+def test_incremental_totals_equal_a_recomputation(spark, tmp_path):
+    """Rounds of late, changed and removed facts; some groups appear, some vanish."""
+    products, path = some_products(spark), str(tmp_path / "state")
+    facts = settle(some_facts(spark, 2))
+    stamp = {name: F.lit("2020-01-01").cast("timestamp") for name in C.AUDIT}
+    totals = settle(network.start_state(facts, products, path).withColumns(stamp))
+    assert totals_rows(totals) == totals_rows(network_operator.network_totals(facts, products))
+    for round_ in range(3):
+        before = settle(facts.where(f"PO % 4 = {round_} and month(DOCUMENT_DATE) <> 4"))
+        changed = before.where("PO % 3 <> 0").withColumns(
+            {"QUANTITY": F.lit(5 + round_), "SHIP_TO_COUNTRY": F.lit("NO"), "PRODUCT_ID": F.lit("1")})
+        late = some_facts(spark, 10 + round_, 20).where("month(DOCUMENT_DATE) < 3")
+        after = settle(changed.unionByName(late))
+        facts = settle(facts.where(f"not (PO % 4 = {round_} and month(DOCUMENT_DATE) <> 4)").unionByName(after))
+        deltas = network.fact_deltas(before, after, products)
+        new, months = network.update_totals(path, totals, deltas, lit(NOW))
+        assert months <= 3
+        kept = {r[:len(C.NETWORK_GROUP)] for r in totals_rows(totals)}
+        totals = settle(new)
+        assert totals_rows(totals) == totals_rows(network_operator.network_totals(facts, products))
+        for r in totals.collect():           # what was there keeps its time of creation
+            known = tuple(r[name] for name in C.NETWORK_GROUP) in kept
+            assert known or r[C.CREATED] == NOW
+    with pytest.raises(Exception, match="not in the state"):
+        gone = network.fact_deltas(late.withColumn("PO", F.lit(99999)), late.limit(0), products)
+        network.update_totals(path, totals, gone)
+
+
 def test_commodity_dimension(spark):
     raw = spark.createDataFrame([(100, 20121318, "Commodity"), (101, 20121318, "Commodity")],
                                 "ID bigint, CODE bigint, LEVEL_NAME string")
