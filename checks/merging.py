@@ -692,18 +692,22 @@ ANSWERS = f"""
           where length(CONCAT_FEATURE) % 3 <> 0)"""
 
 
-def inference_round(spark, d, scorer=length_scorer):
-    """A third of the texts has a stored answer, the others are scored."""
-    items = bind.item_table(spark, d)
-    features = inference.feature_rows(items, START, END).select("CONCAT_FEATURE").distinct()
+def prediction_report(items, start, end):
+    """A third of the window's texts has a stored answer, also one of another model."""
+    features = inference.feature_rows(items, start, end).select("CONCAT_FEATURE").distinct()
     levels = codes.prediction_levels(F.lit("12340000"), F.lit(0.25))
     known = features.where("length(CONCAT_FEATURE) % 3 = 0").select(
         "CONCAT_FEATURE", *[column.alias(name) for name, column in levels.items()],
         F.lit("2003-03-03").cast("timestamp").alias("REPORT_LASTUPDATED_AT"),
         F.lit("M1").alias("MODEL_UUID"),
         *[F.lit("2003-03-03").cast("timestamp").alias(name) for name in C.AUDIT])
-    other = known.withColumn("MODEL_UUID", F.lit("M0"))
-    report = materialize(known.unionByName(other))
+    return materialize(known.unionByName(known.withColumn("MODEL_UUID", F.lit("M0"))))
+
+
+def inference_round(spark, d, scorer=length_scorer):
+    """The texts without a stored answer are scored."""
+    items = bind.item_table(spark, d)
+    report = prediction_report(items, START, END)
     return inference.run(items, report, scorer, "M1", START, END, now=now())
 
 

@@ -48,6 +48,26 @@ def new_answers(features: DataFrame, stored: DataFrame, scorer: Scorer, model_id
                          F.lit(model_id).alias("MODEL_UUID"))
 
 
+def updates_of(features: DataFrame, answers: DataFrame) -> DataFrame:
+    """Predictions of the batch's items, in item columns."""
+    return (features.join(answers, C.FEATURE).withColumnsRenamed(C.REPORT_TO_OWN)
+            .select(*C.OWN_PREDICTION))
+
+
+def batch(items: DataFrame, report: DataFrame, scorer: Scorer, model_id: str, start: Moment, end: Moment,
+          cleaning: Cleaning = SCORING_CLEANING, now: Column | None = None) -> DataFrame:
+    """Predictions of the window's items, stored ones and new ones."""
+    features = materialize(feature_rows(items, start, end, cleaning), "features")
+    stored = report.where(F.col("MODEL_UUID") == model_id).drop(*C.AUDIT)
+    fresh = materialize(new_answers(features, stored, scorer, model_id, run_moment(now)), "scores")
+    return updates_of(features, stored.unionByName(fresh))
+
+
+def merge(items: DataFrame, updates: DataFrame, now: Column | None = None) -> DataFrame:
+    return upsert(items, updates, "ID", insert=False, now=now,
+                  when="target.MODEL_UUID IS NULL OR source.MODEL_UUID <> target.MODEL_UUID")
+
+
 def run(items: DataFrame, report: DataFrame, scorer: Scorer, model_id: str, start: Moment,
         end: Moment, cleaning: Cleaning = SCORING_CLEANING,
         now: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -60,10 +80,6 @@ def run(items: DataFrame, report: DataFrame, scorer: Scorer, model_id: str, star
     stored = report.where(F.col("MODEL_UUID") == model_id).drop(*C.AUDIT)
     fresh = materialize(new_answers(features, stored, scorer, model_id, moment), "scores")
     answers = stored.unionByName(fresh)
-    updates = (features.join(answers, C.FEATURE).withColumnsRenamed(C.REPORT_TO_OWN)
-               .select(*C.OWN_PREDICTION))
-    merged_items = upsert(
-        items, materialize(updates, "predictions"), "ID", insert=False, now=moment,
-        when="target.MODEL_UUID IS NULL OR source.MODEL_UUID <> target.MODEL_UUID")
+    merged_items = merge(items, materialize(updates_of(features, answers), "predictions"), moment)
     merged_report = upsert(report, fresh, [C.FEATURE, "MODEL_UUID"], unique=True, now=moment)
     return merged_items, merged_report

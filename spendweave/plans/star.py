@@ -35,9 +35,13 @@ def link_facts(fact: DataFrame, rows: DataFrame, now: Column | None = None) -> D
                   update={"PRODUCT_ID": "source.ID"}, insert=False, unique=True, now=now)
 
 
+def merge(dimension: DataFrame, rows: DataFrame, now: Column | None = None) -> DataFrame:
+    return upsert(dimension, rows, "ID", unique=True, now=now)
+
+
 def run(items: DataFrame, dimension: DataFrame, fact: DataFrame, start: Moment, end: Moment,
         now: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Dimension and fact table with the batch merged in."""
     now = run_moment(now)
     rows = materialize(dimension_rows(items, start, end), "dimension")
-    return upsert(dimension, rows, "ID", unique=True, now=now), link_facts(fact, rows, now)
+    return merge(dimension, rows, now), link_facts(fact, rows, now)

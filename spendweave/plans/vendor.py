@@ -89,15 +89,22 @@ ITEM_NOT_OLDER = ("target.EXTERNAL_PREDICATION_LASTUPDATED_AT IS NULL OR "
                   "target.EXTERNAL_PREDICATION_LASTUPDATED_AT")
 
 
+def import_batch(items: DataFrame, answers: DataFrame) -> DataFrame:
+    """Items without an answer whose text has been answered."""
+    return answered_items(unpredicted(items, C.VENDOR_ITEM), answers)
+
+
+def import_merge(items: DataFrame, updates: DataFrame, now: Column | None = None) -> DataFrame:
+    return upsert(items, updates, "ID", when=ITEM_NOT_OLDER, insert=False, now=now)
+
+
 def run_import(items: DataFrame, report: DataFrame, feed: DataFrame,
                now: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Item table and report with a vendor feed merged in."""
     now = run_moment(now)
     answers = materialize(feed_to_report(feed), "vendor-answers")
-    updates = materialize(answered_items(unpredicted(items, C.VENDOR_ITEM), answers),
-                          "vendor-items")
-    return (upsert(items, updates, "ID", when=ITEM_NOT_OLDER, insert=False, now=now),
-            merge_report(report, answers, now))
+    updates = materialize(import_batch(items, answers), "vendor-items")
+    return import_merge(items, updates, now), merge_report(report, answers, now)
 
 
 #: An item keeps an answer of the same time.
@@ -105,9 +112,16 @@ NEWER = ("target.EXTERNAL_PREDICATION_LASTUPDATED_AT IS NULL OR "
          "source.EXTERNAL_PREDICATION_LASTUPDATED_AT <> target.EXTERNAL_PREDICATION_LASTUPDATED_AT")
 
 
+def apply_batch(items: DataFrame, report: DataFrame, start: Moment, end: Moment) -> DataFrame:
+    """The window's unanswered items whose text has a stored answer."""
+    return answered_items(unpredicted(in_window(items, start, end), C.VENDOR_ITEM), report)
+
+
+def apply_merge(items: DataFrame, updates: DataFrame, now: Column | None = None) -> DataFrame:
+    return upsert(items, updates, "ID", when=NEWER, insert=False, now=now)
+
+
 def run_apply(items: DataFrame, report: DataFrame, start: Moment, end: Moment,
               now: Column | None = None) -> DataFrame:
     """Item table with stored answers applied to the batch's unanswered items."""
-    batch = unpredicted(in_window(items, start, end), C.VENDOR_ITEM)
-    updates = materialize(answered_items(batch, report), "vendor-apply")
-    return upsert(items, updates, "ID", when=NEWER, insert=False, now=now)
+    return apply_merge(items, materialize(apply_batch(items, report, start, end), "vendor-apply"), now)
