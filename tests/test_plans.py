@@ -1,6 +1,9 @@
 """Whole plans in rounds, as the jobs run them."""
 
+import random
+from collections import defaultdict
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pandas as pd
 import pytest
@@ -17,8 +20,15 @@ from spendweave.session import materialize
 
 from .conftest import rows
 
-T0, NOW = datetime(2000, 1, 1), datetime(2024, 1, 10)
-BEFORE, AFTER = T0 - timedelta(microseconds=1), NOW + timedelta(minutes=10)
+#: A batch window, and moments on both of its edges and beyond.
+T0, NOW = datetime(2019, 3, 1), datetime(2019, 9, 1)
+MOMENTS = (T0 - timedelta(seconds=1), T0, T0 + timedelta(days=40), NOW, NOW + timedelta(seconds=1))
+
+
+def inside(moment, start=T0, end=NOW):
+    return start <= moment <= end
+
+
 
 
 def frame(spark, schema, columns, data):
@@ -42,249 +52,188 @@ def lit(moment):
 
 # -- extract -----------------------------------------------------------------------------
 
-def raw_tables(spark):
-    po = frame(spark, schemas.PO, ["ID", "GENERIC_DOCUMENT", "IS_BLANKET", "_DELTA_UPDATED_ON"], [
-        (10001, 20001, 0, BEFORE), (10002, 20002, 0, T0), (10003, 20003, 0, NOW),
-        (10004, 20004, 1, NOW), (10005, 20005, 0, AFTER)])
-    document = frame(spark, schemas.CXML_DOCUMENT,
-                     ["ID", "FROM_ORG", "TO_ORG", "DASHBOARD_STATUS", "_DELTA_UPDATED_ON"], [
-                         (n, 1, 2, "PO_OBSOLETED" if n == 20003 else "PO_NEW", NOW)
-                         for n in range(20001, 20006)])
-    item = frame(spark, schemas.PO_ITEM, ["ID", "PO", "DESCRIPTION"], [
-        (30001, 10001, "a"), (30002, 10002, "b"), (30003, 10002, "c"), (30004, 10003, "d"),
-        (30005, 10003, "e"), (30006, 10004, "f"), (30007, 10005, "g")])
-    commodity = frame(spark, schemas.PO_ITEM_COMMODITY, ["ID", "PO_ITEM", "DOMAIN", "CODE"], [
-        (40001, 30001, "unspsc", "11111111"), (40002, 30002, "UNSPSC", "22222221"),
-        (40003, 30002, "testcc", "22222222"), (40004, 30003, "UNSPSC", "33333331"),
-        (40005, 30003, "UNSPSC", "33333332"), (40006, 30004, "UNSPSC", "44444441")])
-    org = frame(spark, schemas.ORG, ["ID", "ANID", "NAME"], [(1, "801", "one"), (2, "802", "two")])
-    return {"po": po, "cxml_document": document, "po_item": item,
-            "po_item_commodity": commodity, "org": org}
-
-
-def test_extract(spark):
-    raw = raw_tables(spark)
+def purchase(spark, seed):
+    """Raw tables of random orders, as rows and as frames."""
+    pick = random.Random(seed)
+    orders = [(k, 900 + k, int(pick.random() < .2), pick.choice(MOMENTS)) for k in range(40)]
+    documents = [(900 + k, 5, 6 + k % 2, f"PO_{k % 4}", pick.choice(MOMENTS)) for k in range(40)]
+    lines = [(7000 + k, pick.randrange(40), f"thing {k % 9}") for k in range(120)]
+    codes = [(60 + k, pick.choice(lines)[0], "UNSPSC", f"{10101010 + k}") for k in range(100)]
+    orgs = [(5, "buyer", "The Buyer"), (6, "east", "East Ltd"), (7, "west", "West Ltd")]
+    frames = {
+        "po": frame(spark, schemas.PO, ["ID", "GENERIC_DOCUMENT", "IS_BLANKET", "_DELTA_UPDATED_ON"], orders),
+        "cxml_document": frame(spark, schemas.CXML_DOCUMENT,
+                               ["ID", "FROM_ORG", "TO_ORG", "DASHBOARD_STATUS", "_DELTA_UPDATED_ON"], documents),
+        "po_item": frame(spark, schemas.PO_ITEM, ["ID", "PO", "DESCRIPTION"], lines),
+        "po_item_commodity": frame(spark, schemas.PO_ITEM_COMMODITY, ["ID", "PO_ITEM", "DOMAIN", "CODE"], codes),
+        "org": frame(spark, schemas.ORG, ["ID", "ANID", "NAME"], orgs)}
+    return frames, orders, documents, lines, codes
+
+
+def extracted(orders, documents, lines, codes, start, end):
+    """ID -> code, status and supplier of what a window takes."""
+    status = {d[0]: d for d in documents if inside(d[4], start, end)}
+    taken = {o[0]: status[o[1]] for o in orders if not o[2] and inside(o[3], start, end) and o[1] in status}
+    found = {}
+    for line, order, _ in lines:
+        if order in taken:
+            own = [(k, code) for k, item, _, code in codes if item == line] or [(0, None)]
+            for k, code in own:
+                found[f"{line}-{k}"] = (code, taken[order][3], {6: "east", 7: "west"}[taken[order][2]])
+    return found
+
+
+def test_extract_takes_the_window_and_resets_enrichment(spark):
+    raw, *tables = purchase(spark, 3)
     items = settle(extract.run(raw, spark.createDataFrame([], schemas.ITEM), T0, NOW, lit(NOW)))
-    shown = rows(items, "ID", "AN_UNSPSC_COMMODITY", "DASHBOARD_STATUS", "BUYER_NAME",
-                 "SUPPLIER_ANID")
-    assert shown == [
-        ("30002-40002", "22222221", "PO_NEW", "one", "802"),
-        ("30002-40003", "22222222", "PO_NEW", "one", "802"),
-        ("30003-40004", "33333331", "PO_NEW", "one", "802"),
-        ("30003-40005", "33333332", "PO_NEW", "one", "802"),
-        ("30004-40006", "44444441", "PO_OBSOLETED", "one", "802"),
-        ("30005-0", None, "PO_OBSOLETED", "one", "802")]
-    # an enriched item is reset when it is extracted again; others stay
-    enriched = settle(items.withColumn("MODEL_UUID", F.lit("m")))
-    later = NOW + timedelta(days=1)
-    raw["po"] = raw["po"].withColumn("_DELTA_UPDATED_ON", F.expr(
-        "if(ID = 10002, timestamp'2024-01-11', _DELTA_UPDATED_ON)"))
-    raw["cxml_document"] = raw["cxml_document"].withColumn(
-        "_DELTA_UPDATED_ON", F.lit(later)).withColumn("DASHBOARD_STATUS", F.lit("PO_UPDATED"))
-    second = settle(extract.run(raw, enriched, NOW + timedelta(hours=1), later, lit(later)))
-    assert second.count() == 6
-    assert rows(second.where("MODEL_UUID is null"), "ID", "DASHBOARD_STATUS") == [
-        (key, "PO_UPDATED") for key in ("30002-40002", "30002-40003", "30003-40004",
-                                        "30003-40005")]
-    assert second.where("_DELTA_CREATED_ON < _DELTA_UPDATED_ON").count() == 4
-    third = extract.run(raw, second, NOW + timedelta(hours=1), later, lit(later))
-    assert rows(third) == rows(second)
+    first = extracted(*tables, T0, NOW)
+    assert rows(items, "ID", "AN_UNSPSC_COMMODITY", "DASHBOARD_STATUS", "SUPPLIER_ANID") == sorted(
+        ((k, *v) for k, v in first.items()), key=repr)
+    assert {r[0] for r in rows(items, "BUYER_NAME")} == {"The Buyer"}
+    # half of the documents change after the window; what is extracted again loses its model
+    later = NOW + timedelta(days=30)
+    orders, documents, lines, codes = tables
+    documents = [(*d[:3], "PO_LATER", later) if d[0] % 2 else d for d in documents]
+    orders = [(*o[:3], later) if o[1] % 2 else o for o in orders]
+    raw["po"] = frame(spark, schemas.PO, ["ID", "GENERIC_DOCUMENT", "IS_BLANKET", "_DELTA_UPDATED_ON"], orders)
+    raw["cxml_document"] = frame(spark, schemas.CXML_DOCUMENT, ["ID", "FROM_ORG", "TO_ORG", "DASHBOARD_STATUS",
+                                                                "_DELTA_UPDATED_ON"], documents)
+    start = NOW + timedelta(days=10)
+    second = settle(extract.run(raw, settle(items.withColumn("MODEL_UUID", F.lit("m"))), start, later, lit(later)))
+    again = extracted(orders, documents, lines, codes, start, later)
+    assert again and set(first) - set(again)
+    assert {r.ID for r in second.where("MODEL_UUID is null").collect()} == set(again)
+    assert {r.ID: r.DASHBOARD_STATUS for r in second.collect()} == {
+        k: v[1] for k, v in {**first, **again}.items()}
+    created = {r.ID: r._DELTA_CREATED_ON for r in second.collect()}
+    assert all(created[k] == (NOW if k in first else later) for k in created)
+    assert rows(extract.run(raw, second, start, later, lit(later))) == rows(second)
 
 
 # -- evaluate ----------------------------------------------------------------------------
 
-def test_evaluate_rewrites_only_changes(spark):
-    commodity = spark.createDataFrame([("11023012", 1), ("110230", 1), ("110220", 0)],
-                                      "CODE string, VALID int")
-    items = frame(spark, schemas.ITEM, ["ID", "DESCRIPTION", "AN_UNSPSC_COMMODITY",
-                                        "_DELTA_UPDATED_ON"], [
-        ("1001", "ABCDEFG JIJISKEJO SASLJ", "11023012", T0), ("1002", "AB. CD", "11023000", T0),
-        ("1003", "  AB1234  ", "0", T0), ("9", "out of window", "0", AFTER)])
-    first = settle(evaluate.run(items, commodity, T0, NOW, lit(NOW)))
-    assert rows(first.where(F.col("_DELTA_UPDATED_ON") == lit(NOW)), "ID") == [
-        ("1001",), ("1002",), ("1003",)]
-    edited = settle(first.withColumn("DESCRIPTION", F.expr(
-        "if(ID = '1003', 'new text', DESCRIPTION)")))
-    later = NOW + timedelta(minutes=1)
+def test_evaluate_rewrites_only_what_changed(spark):
+    commodity = spark.createDataFrame([("44121706", 1), ("441217", 1), ("4412", 0)], "CODE string, VALID int")
+    names = ["ID", "DESCRIPTION", "AN_UNSPSC_COMMODITY", "_DELTA_UPDATED_ON"]
+    data = [(f"i{k}", f"wooden pencil no {k}", ("44121706", "44120000", "0", None)[k % 4], MOMENTS[k % 5]) for k in range(20)]
+    first = settle(evaluate.run(frame(spark, schemas.ITEM, names, data), commodity, T0, NOW, lit(NOW)))
+    touched = {r.ID for r in first.where(F.col("PROCESSED_DESCRIPTION").isNotNull()).collect()}
+    assert touched == {i for i, *_, moment in data if inside(moment)}
+    edited = settle(first.withColumn("DESCRIPTION", F.expr("if(ID in ('i1', 'i2'), 'steel RULER', DESCRIPTION)")))
+    later = NOW + timedelta(hours=1)
     second = evaluate.run(edited, commodity, T0, NOW, lit(later))
-    assert rows(second.where(F.col("_DELTA_UPDATED_ON") == lit(later)), "ID",
-                "PROCESSED_DESCRIPTION") == [("1003", "new text")]
+    assert rows(second.where(F.col("_DELTA_UPDATED_ON") == lit(later)), "ID", "PROCESSED_DESCRIPTION") == [
+        (i, "steel ruler") for i in ("i1", "i2") if i in touched]
 
 
 # -- vendor ------------------------------------------------------------------------------
 
-STATUS = ["ID", "PO_ITEM_ID", "DASHBOARD_STATUS", "DESCRIPTION", "PROCESSED_DESCRIPTION",
-          "AN_DATA_QUALITY_LEVEL", "EXTERNAL_PREDICATED_UNSPSC_SEGMENT",
-          "EXTERNAL_PREDICATED_UNSPSC_COMMODITY", "_DELTA_UPDATED_ON"]
-
-
-@pytest.fixture
-def export_items(spark):
-    return frame(spark, schemas.ITEM, STATUS, [
-        ("1", 1001, "PO_NEW", "aa", "aa", "Good", None, None, BEFORE),
-        ("2", 1002, "PO_OBSOLETED", "BB", "bb", "Good", None, None, AFTER),
-        ("3", 1004, "PO_PARTIALLY_SERVICED", "cc", "cc", "Poor", None, None, NOW),
-        ("4", 1003, "PO_NEW", "cc4", "cc", "Poor", None, None, NOW),
-        ("5", 1005, "PO_SHIPPED", "dd", "dd", "Good", None, None, NOW),
-        ("6", 1006, "PO_NEW", "dd4,|", "dd", "Good", None, None, NOW),
-        ("7", 1007, "PO_NEW", "ee", "ee", "Good", "12", None, NOW),
-        ("8", 1008, "PO_NEW", "ff", "ff", "Good", "", None, NOW),
-        ("9", 1009, "PO_NEW", "g///@g", "gg", "Good", None, None, NOW),
-        ("10", 1010, "PO_OBSOLETED", "hh", "hh", "Good", None, None, NOW),
-        ("11", 1010, "PO_NEW", "kk", "kk", "Good", None, "", NOW)])
-
-
-@pytest.fixture
-def report(spark):
-    return frame(spark, schemas.VENDOR_REPORT, ["DESCRIPTION", "PROCESSED_DESCRIPTION",
-                                                "UNSPSC_SEGMENT"],
-                 [("d/d", "dd", "12"), ("e@e", "ee", None), ("ff ", "ff", None)])
-
-
-def test_export(spark, export_items, report, tmp_path):
-    candidates = vendor.export_candidates(export_items, T0, NOW)
-    assert rows(candidates, "PROCESSED_DESCRIPTION") == [("dd",), ("gg",)]
-    assert len(candidates.columns) == 7
-    path = str(tmp_path / "export")
-    marked = settle(vendor.run_export(export_items, report, path, T0, NOW, "2024-01-10"))
-    assert rows(marked, "PROCESSED_DESCRIPTION") == [("dd",), ("ee",), ("ff",), ("gg",)]
-    exported = spark.read.option("header", True).csv(path)
-    assert rows(exported, "PROCESSED_DESCRIPTION", "DESCRIPTION") == [("gg", "g///@g")]
-    # nothing is left to export; the first export stays
-    again = vendor.run_export(export_items, marked, path, T0, NOW, "2024-01-10")
+VENDOR = ["ID", "PO_ITEM_ID", "DASHBOARD_STATUS", "DESCRIPTION", "PROCESSED_DESCRIPTION", "AN_DATA_QUALITY_LEVEL",
+          "EXTERNAL_PREDICATED_UNSPSC_SEGMENT", "EXTERNAL_PREDICATED_UNSPSC_COMMODITY", "_DELTA_UPDATED_ON"]
+
+
+def vendor_items(seed):
+    pick = random.Random(seed)
+    return [(f"v{k}", 500 + k, pick.choice(["PO_NEW", "PO_SENT", "PO_OBSOLETED"]), f"Text, {k % 12}", f"text {k % 12}",
+             pick.choice(["Good", "Good", "Poor"]), pick.choice([None, None, "31"]), pick.choice([None, None, "31150000"]),
+             pick.choice(MOMENTS)) for k in range(80)]
+
+
+def test_export_lists_each_open_text_once(spark, tmp_path):
+    data = vendor_items(8)
+    items = frame(spark, schemas.ITEM, VENDOR, data)
+    report = frame(spark, schemas.VENDOR_REPORT, ["PROCESSED_DESCRIPTION", "UNSPSC_SEGMENT"], [("text 1", "31"), ("text 4", None)])
+    first = {}
+    for row in sorted(data, key=lambda r: r[1]):
+        if row[2] != "PO_OBSOLETED" and row[5] == "Good" and row[6] is None and row[7] is None and inside(row[8]):
+            first.setdefault(row[4], row[1])
+    candidates = vendor.export_candidates(items, T0, NOW)
+    assert rows(candidates, "PROCESSED_DESCRIPTION", "PO_ITEM_ID") == sorted(first.items(), key=repr)
+    path, known = str(tmp_path / "out"), {"text 1", "text 4"}
+    marked = settle(vendor.run_export(items, report, path, T0, NOW, "2019-09-01"))
+    assert {r[0] for r in rows(marked, "PROCESSED_DESCRIPTION")} == known | set(first)
+    exported = spark.read.options(header=True, escape='"').csv(path)
+    assert {(r.PROCESSED_DESCRIPTION, r.DESCRIPTION) for r in exported.collect()} == {
+        (t, t.replace("text", "Text,")) for t in set(first) - known}
+    again = vendor.run_export(items, marked, path, T0, NOW, "2019-09-01")        # nothing is left
     assert rows(again, "PROCESSED_DESCRIPTION") == rows(marked, "PROCESSED_DESCRIPTION")
-    assert spark.read.option("header", True).csv(path).count() == 1
-
-
-def test_import(spark, export_items, report):
-    columns = ["DESCRIPTION", "PROCESSED_DESCRIPTION",
-               *[f"PREDICATED_UNSPSC_{level}" for level in LEVELS], "PREDICATION_LASTUPDATED_AT"]
-    codes = ("12", "1234", "123456", "12345678")
-    feed = frame(spark, schemas.VENDOR_FEED, columns, [
-        ("d/d", "dd", "99", "9999", "999999", "99999999", BEFORE), ("d/d", "dd", *codes, T0),
-        ("e@e", "ee", *codes, BEFORE), ("ff ", "ff", *codes, BEFORE)])
-    items, merged = vendor.run_import(export_items, report, feed, lit(NOW))
-    assert items.count() == 11
-    found = rows(items.where("EXTERNAL_PREDICATION_LASTUPDATED_AT is not null"), "ID",
-                 "DESCRIPTION", "EXTERNAL_PREDICATED_UNSPSC_SEGMENT",
-                 "EXTERNAL_PREDICATION_CONFIDENCE_SEGMENT")
-    assert found == [("5", "d/d", "12", None), ("6", "d/d", "12", None), ("7", "e@e", "12", None),
-                     ("8", "ff ", "12", None)]
-    assert rows(merged, "PROCESSED_DESCRIPTION", "UNSPSC_COMMODITY") == [
-        ("dd", "12345678"), ("ee", "12345678"), ("ff", "12345678")]
-
-
-def test_apply(spark):
-    columns = ["ID", "PROCESSED_DESCRIPTION", "EXTERNAL_PREDICATED_UNSPSC_SEGMENT",
-               "EXTERNAL_PREDICATION_LASTUPDATED_AT", "_DELTA_UPDATED_ON"]
-    items = frame(spark, schemas.ITEM, columns, [
-        ("24324", "x", "10", NOW, NOW), ("32114", "x", None, None, NOW),
-        ("45346", "x", None, None, NOW), ("1", "y", None, None, NOW),
-        ("2", "x", None, None, AFTER)])
-    stored = frame(spark, schemas.VENDOR_REPORT, [
-        "DESCRIPTION", "PROCESSED_DESCRIPTION", "UNSPSC_SEGMENT", "REPORT_LASTUPDATED_AT"],
-        [("X", "x", "20", NOW)])
-    result = vendor.run_apply(items, stored, T0, NOW)
-    assert rows(result, "ID", "EXTERNAL_PREDICATED_UNSPSC_SEGMENT") == [
-        ("1", None), ("2", None), ("24324", "10"), ("32114", "20"), ("45346", "20")]
+    some = vendor.to_export(candidates, report, 2)
+    assert [r[0] for r in rows(some, "PROCESSED_DESCRIPTION")] == sorted(set(first) - known)[:2]
+
+
+def test_import_takes_the_newest_answer(spark):
+    data = vendor_items(9)
+    items = frame(spark, schemas.ITEM, VENDOR, data)
+    report = frame(spark, schemas.VENDOR_REPORT, ["PROCESSED_DESCRIPTION"], [("text 0",)])
+    names = ["DESCRIPTION", "PROCESSED_DESCRIPTION", *[f"PREDICATED_UNSPSC_{level}" for level in LEVELS],
+             "PREDICATION_LASTUPDATED_AT"]
+    answers = [(f"answer {k}", f"text {k % 5}", *[str(20 + k) + "11" * n for n in range(4)], T0 + timedelta(days=k)) for k in range(10)]
+    merged_items, merged = vendor.run_import(items, report, frame(spark, schemas.VENDOR_FEED, names, answers), lit(NOW))
+    newest = {f"text {k % 5}": (f"answer {k}", str(20 + k)) for k in range(10)}
+    assert {r.PROCESSED_DESCRIPTION: (r.DESCRIPTION, r.UNSPSC_SEGMENT) for r in merged.collect()} == newest
+    for r in merged_items.collect():
+        expected = newest.get(r.PROCESSED_DESCRIPTION)
+        assert (r.DESCRIPTION, r.EXTERNAL_PREDICATED_UNSPSC_SEGMENT) == (expected or next(
+            (row[3], row[6]) for row in data if row[0] == r.ID))
+        assert r.EXTERNAL_PREDICATION_CONFIDENCE_SEGMENT is None
+
+
+def test_apply_leaves_answered_items_and_other_windows(spark):
+    names = ["ID", "PROCESSED_DESCRIPTION", "EXTERNAL_PREDICATED_UNSPSC_SEGMENT", "EXTERNAL_PREDICATION_LASTUPDATED_AT",
+             "_DELTA_UPDATED_ON"]
+    data = [(f"a{k}", f"t{k % 3}", "10" if k % 4 == 0 else None, T0 if k % 4 == 0 else None, MOMENTS[k % 5]) for k in range(30)]
+    stored = frame(spark, schemas.VENDOR_REPORT, ["DESCRIPTION", "PROCESSED_DESCRIPTION", "UNSPSC_SEGMENT",
+                                                  "REPORT_LASTUPDATED_AT"], [("T1", "t1", "27", NOW), ("T2", "t2", "28", NOW)])
+    result = vendor.run_apply(frame(spark, schemas.ITEM, names, data), stored, T0, NOW)
+    segment = {"t1": "27", "t2": "28"}
+    assert rows(result, "ID", "EXTERNAL_PREDICATED_UNSPSC_SEGMENT") == sorted(
+        ((i, old if answered or not inside(moment) else segment.get(t)) for i, t, old, answered, moment in data), key=repr)
 
 
 # -- finalize -----------------------------------------------------------------------------
 
-def test_finalize(spark):
-    from decimal import Decimal
-    columns = ["ID", "EXTERNAL_PREDICATED_UNSPSC_COMMODITY",
-               "EXTERNAL_PREDICATION_CONFIDENCE_COMMODITY", "FINAL_REPORT_UNSPSC_MANUAL_LABELED",
-               "_DELTA_UPDATED_ON"]
-    items = frame(spark, schemas.ITEM, columns, [
-        ("1", "11023012", Decimal("0.85"), None, NOW), ("2", "11023012", Decimal("0.85"), "x", NOW),
-        ("3", "11023012", Decimal("0.8"), None, NOW)])
-    result = finalize.run(items, T0, NOW, lit(NOW))
-    assert rows(result, "ID", "FINAL_REPORT_UNSPSC_FAMILY", "FINAL_REPORT_LASTUPDATED_AT") == [
-        ("1", "1102", NOW), ("2", None, None), ("3", None, None)]
+def test_finalize_needs_confidence_and_no_hand(spark):
+    names = ["ID", "EXTERNAL_PREDICATED_UNSPSC_COMMODITY", "EXTERNAL_PREDICATION_CONFIDENCE_COMMODITY",
+             "FINAL_REPORT_UNSPSC_MANUAL_LABELED", "_DELTA_UPDATED_ON"]
+    data = [(f"f{k}", "27112008", Decimal(k) / 10, "hand" if k % 3 == 2 else None, MOMENTS[k % 5]) for k in range(11)]
+    result = finalize.run(frame(spark, schemas.ITEM, names, data), T0, NOW, lit(NOW))
+    assert rows(result, "ID", "FINAL_REPORT_UNSPSC_FAMILY", "FINAL_REPORT_LASTUPDATED_AT") == sorted(
+        ((i, *(("2711", NOW) if confidence > Decimal("0.8") and not hand and inside(moment) else (None, None)))
+         for i, _, confidence, hand, moment in data), key=repr)
 
 
 # -- star and network -------------------------------------------------------------------------
 
-def items_of(spark, data):
-    return frame(spark, schemas.ITEM, ["ID", "PO_ITEM_ID", "DASHBOARD_STATUS",
-                                       "FINAL_REPORT_UNSPSC_COMMODITY", "_DELTA_UPDATED_ON"], data)
-
-
-def test_star_in_rounds(spark):
-    fact_schema = ("ID bigint, PRODUCT_ID string, IS_BLANKET int, _DELTA_CREATED_ON timestamp, "
-                   "_DELTA_UPDATED_ON timestamp")
-    items = items_of(spark, [("ID-10001-01", 10001, "PO_NEW", "11111111", T0),
-                             ("ID-10001-02", 10001, "PO_NEW", "11111111", T0)])
-    fact = spark.createDataFrame([(10001, None, 0, T0, T0)], fact_schema)
-    dimension, fact = map(settle, star.run(items, spark.createDataFrame([], schemas.DIMENSION),
-                                           fact, T0, NOW, lit(NOW)))
-    assert rows(dimension, "ID", "UNSPSC_COMMODITY") == [("ID-10001-01", "11111111")]
-    assert rows(fact, "ID", "PRODUCT_ID") == [(10001, "ID-10001-01")]
-    # second round: changed codes update the same row, the link stays as it is
-    later = NOW + timedelta(hours=1)
-    items = items_of(spark, [("ID-10001-01", 10001, "PO_NEW", "22222222", NOW),
-                             ("ID-10001-02", 10001, "PO_NEW", "22222222", NOW)])
-    dimension, fact = map(settle, star.run(items, dimension, fact, NOW, later, lit(later)))
-    assert rows(dimension, "ID", "UNSPSC_COMMODITY", "_DELTA_UPDATED_ON") == [
-        ("ID-10001-01", "22222222", later)]
-    assert rows(fact, "_DELTA_UPDATED_ON") == [(NOW,)]
-    # third round, reprocessed from the start: obsolete, late, future and blanket lines
-    obsolete = "PO_OBSOLETE"
-    items = items_of(spark, [
-        ("ID-10001-01", 10001, obsolete, "33333333", later),
-        ("ID-10001-02", 10001, obsolete, "33333333", later),
-        ("ID-10002-01", 10002, "PO_NEW", "33333333", NOW),
-        ("ID-10003-01", 10003, "PO_NEW", "33333333", T0 - timedelta(days=6)),
-        ("ID-10004-01", 10004, "PO_NEW", "33333333", later),
-        ("ID-10005-01", 10005, "PO_NEW", "33333333", later + timedelta(minutes=10)),
-        ("ID-10006-01", 10006, "PO_NEW", "33333333", later)])
-    more = spark.createDataFrame([(n, None, int(n == 10006), T0, T0)
-                                  for n in range(10002, 10007)], fact_schema)
-    dimension, fact = star.run(items, dimension, settle(fact.unionByName(more)), T0, later)
-    assert rows(dimension, "ID") == [(f"ID-1000{n}-01",) for n in (1, 2, 3, 4, 6)]
-    assert rows(fact.where("PRODUCT_ID is not null"), "ID") == [(10001,), (10002,), (10003,),
-                                                                (10004,)]
-
-
-def test_network(spark):
-    april, may, march = (datetime(2009, 4, 13, 7), datetime(2009, 5, 13, 7),
-                         datetime(2023, 3, 27, 15))
-    fact = spark.createDataFrame([
-        ("100", 1001, 1001, 1001, 2001, april, march, "China", "EA", 10, 1000, "111", 0),
-        ("100", 1001, 1002, 1001, 2001, april, march, "China", "EA", 15, 1200, "112", 0),
-        ("101", 1002, 1003, 1001, 2002, may, march, "China", "EA", 10, 1000, "113", 0),
-        ("101", 1002, 1004, 1001, 2002, may, march, "China", "EA", 10, 1000, "114", 0),
-        ("101", 1005, 1005, 1001, 2002, may, march, "USA", "EA", 10, 1000, "115", 0),
-        ("101", 1006, 1006, 1001, 2002, may, march, "USA", "KJ", 10, 1000, "116", 0),
-        ("101", 1007, 1007, 1001, 2002, may, march, "USA", "KJ", 10, 1000, "116", 1)],
-        schemas.FACT.split(", _DELTA")[0])
-    dimension = spark.createDataFrame(
-        [(str(n), "11", "1102", "110230", "11023012") for n in range(111, 116)]
-        + [("116", None, None, None, None)],
-        "ID string, " + ", ".join(f"UNSPSC_{level} string" for level in LEVELS))
-    empty = spark.createDataFrame([], schemas.NETWORK)
-    totals = settle(network.run(fact, dimension, empty, T0, NOW, now=lit(NOW)))
-    month = datetime(2023, 3, 1)
-    shown = ("SUPPLIER_ANID", "REQUESTED_DELIVERY_DATE", "DOCUMENT_DATE", "SHIP_TO_COUNTRY",
-             "UNIT_OF_MEASURE", "UNSPSC_COMMODITY", "ORDER_AMOUNT", "ORDER_UNITS",
-             "AVERAGE_UNIT_PRICE_USD", "PO_COUNT", "PO_ITEM_COUNT")
-    assert rows(totals, *shown) == sorted([
-        ("100", datetime(2009, 4, 1), month, "China", "EA", "11023012", 28000, 25, 1100.0, 1, 2),
-        ("101", datetime(2009, 5, 1), month, "USA", "KJ", "99999999", 10000, 10, 1000.0, 1, 1),
-        ("101", datetime(2009, 5, 1), month, "China", "EA", "11023012", 20000, 20, 1000.0, 1, 2),
-        ("101", datetime(2009, 5, 1), month, "USA", "EA", "11023012", 10000, 10, 1000.0, 1, 1)],
-        key=repr)
-    assert rows(network.run(fact, dimension, totals, T0, NOW, now=lit(NOW))) == rows(totals)
-    # a NULL in the key: inserted again, unless NULLs may match
-    nulls = settle(fact.withColumn("SHIP_TO_COUNTRY", F.lit(None).cast("string")))
-    once = settle(network.run(nulls, dimension, empty, T0, NOW))
-    assert network.run(nulls, dimension, once, T0, NOW).count() == 2 * once.count()
-    assert network.run(nulls, dimension, once, T0, NOW, null_safe=True).count() == once.count()
+def test_star_over_rounds(spark):
+    """Codes change, lines become obsolete, facts come late; a product is one item of a line."""
+    pick = random.Random(6)
+    names = ["ID", "PO_ITEM_ID", "DASHBOARD_STATUS", "FINAL_REPORT_UNSPSC_COMMODITY", "_DELTA_UPDATED_ON"]
+    facts = [(k, None, int(k % 7 == 0), T0, T0) for k in range(20)]
+    fact_schema = "ID bigint, PRODUCT_ID string, IS_BLANKET int, _DELTA_CREATED_ON timestamp, _DELTA_UPDATED_ON timestamp"
+    fact = spark.createDataFrame(facts[:15], fact_schema)
+    dimension, products, links = spark.createDataFrame([], schemas.DIMENSION), {}, {k: None for k in range(15)}
+    start = T0
+    for round_ in range(3):
+        end = start + timedelta(days=30)
+        items = [(f"p{k}-{n}", k, pick.choice(["PO_NEW", "PO_OBSOLETE"]), f"{round_}{k:02}{n}0000",
+                  start + timedelta(days=pick.choice([-9, -3, 5, 20, 31]))) for k in range(20) for n in range(2)]
+        best = defaultdict(list)
+        for i, k, status, code, moment in items:
+            if status != "PO_OBSOLETE" and start - timedelta(days=7) <= moment <= end:
+                best[k].append((-moment.timestamp(), i, code))
+        chosen = {k: min(found)[1:] for k, found in best.items()}
+        products.update(chosen.values())
+        links = {k: chosen[k][0] if k in chosen and k % 7 else v for k, v in links.items()}
+        dimension, fact = map(settle, star.run(frame(spark, schemas.ITEM, names, items), dimension, fact, start, end, lit(end)))
+        assert rows(dimension, "ID", "UNSPSC_COMMODITY") == sorted(products.items())
+        assert {r.ID: r.PRODUCT_ID for r in fact.collect()} == links
+        if round_ == 0:                       # late facts
+            fact = settle(fact.unionByName(spark.createDataFrame(facts[15:], fact_schema)))
+            links |= {k: None for k in range(15, 20)}
+        start = end
 
 
 def some_facts(spark, seed, n=300):
-    import random
     pick = random.Random(seed)
     data = []
     for _ in range(n):
@@ -346,64 +295,80 @@ def test_incremental_totals_equal_a_recomputation(spark, tmp_path):
         network.update_totals(path, totals, gone)
 
 
+def test_network_job(spark):
+    facts, products = settle(some_facts(spark, 4).where("SHIP_TO_COUNTRY is not null")), some_products(spark)
+    empty = spark.createDataFrame([], schemas.NETWORK)
+    start, end = datetime(2021, 1, 1), datetime(2021, 3, 31)
+    totals = settle(network.run(facts, products, empty, start, end, now=lit(NOW)))
+    groups = defaultdict(lambda: [set(), set(), 0])
+    for r in facts.where("month(DOCUMENT_DATE) < 4").collect():
+        code = f"{r.PRODUCT_ID}1111111" if int(r.PRODUCT_ID) < 4 else "99999999"
+        orders, items, units = group = groups[r.SUPPLIER_ANID, r.BUYER_ORG, r.REQUESTED_DELIVERY_DATE.month,
+                                              r.DOCUMENT_DATE.month, code]
+        orders.add(r.PO)
+        items.add(r.ID)
+        group[2] = units + (r.QUANTITY or 0)
+    assert {(r.SUPPLIER_ANID, r.BUYER_ORG, r.REQUESTED_DELIVERY_DATE.month, r.DOCUMENT_DATE.month, r.UNSPSC_COMMODITY):
+            (r.PO_COUNT, r.PO_ITEM_COUNT, r.ORDER_UNITS or 0) for r in totals.where("BUYER_ORG is not null").collect()} == {
+        k: (len(v[0]), len(v[1]), v[2]) for k, v in groups.items() if k[1] is not None}
+    known = settle(totals.where("BUYER_ORG is not null"))
+    again = network.run(facts.where("BUYER_ORG is not null"), products, known, start, end, now=lit(NOW))
+    assert totals_rows(again) == totals_rows(known)
+    # a NULL in the key: inserted again, unless NULLs may match
+    nulls = settle(facts.withColumn("SHIP_TO_COUNTRY", F.lit(None).cast("string")))
+    once = settle(network.run(nulls, products, empty, start, end))
+    assert network.run(nulls, products, once, start, end).count() == 2 * once.count()
+    assert network.run(nulls, products, once, start, end, null_safe=True).count() == once.count()
+
+
 def test_commodity_dimension(spark):
-    raw = spark.createDataFrame([(100, 20121318, "Commodity"), (101, 20121318, "Commodity")],
+    raw = spark.createDataFrame([(k, 31000000 + 7 * k, ("Class", "Commodity")[k % 2]) for k in range(9)],
                                 "ID bigint, CODE bigint, LEVEL_NAME string")
-    empty = spark.createDataFrame([], "ID bigint, CODE string, LEVEL_NAME string, "
-                                      "_DELTA_CREATED_ON timestamp, _DELTA_UPDATED_ON timestamp")
-    loaded = replicate.load_commodity(raw, empty)
-    assert rows(loaded, "ID", "CODE", "LEVEL_NAME") == [(100, "20121318", "Commodity"),
-                                                        (101, "20121318", "Commodity")]
+    empty = spark.createDataFrame([], "ID bigint, CODE string, LEVEL_NAME string, _DELTA_CREATED_ON timestamp, "
+                                      "_DELTA_UPDATED_ON timestamp")
+    assert rows(replicate.load_commodity(raw, empty), "ID", "CODE", "LEVEL_NAME") == [
+        (k, str(31000000 + 7 * k), ("Class", "Commodity")[k % 2]) for k in range(9)]
 
 
 # -- inference ---------------------------------------------------------------------------------
 
-def model(batches):
-    """A stand-in model: the label depends on the text alone."""
+def by_length(batches):
+    """A stand-in model: the label depends on the text's length."""
     for batch in batches:
-        yield pd.DataFrame({
-            "CONCAT_FEATURE": batch["CONCAT_FEATURE"],
-            "predicted_label": batch["CONCAT_FEATURE"].str.len().map(lambda n: f"{11 + n % 50}100000"),
-            "predicted_label_proba": 0.7891})
-
+        yield pd.DataFrame({"CONCAT_FEATURE": batch["CONCAT_FEATURE"],
+                            "predicted_label": batch["CONCAT_FEATURE"].str.len().map(lambda n: f"{20 + n % 60}340000"),
+                            "predicted_label_proba": 0.625})
 
-PREDICTION_INPUT = ["ID", "PO_ITEM_ID", "DESCRIPTION", "IS_ADHOC", "BUYER_ORG", "SUPPLIER_ORG",
-                    "_DELTA_CREATED_ON", "_DELTA_UPDATED_ON"]
 
+def test_inference_scores_a_text_once(spark):
+    """Three rounds: new texts, known texts beside a new one, another model over all."""
+    names = ["ID", "PO_ITEM_ID", "DESCRIPTION", "IS_ADHOC", "BUYER_ORG", "SUPPLIER_ORG", "_DELTA_CREATED_ON",
+             "_DELTA_UPDATED_ON"]
 
-def test_inference_in_rounds(spark):
-    def item(key, number, description, moment):
-        return (key, number, description, 0, 100, 200, moment, moment)
+    def items_of(keys, text, moment):
+        return [(f"n{k}", k, text(k), 1, 3, 4, moment(k), moment(k)) for k in keys]
 
-    items = frame(spark, schemas.ITEM, PREDICTION_INPUT, [
-        item("ID-10001", 10001, "HP PAVILION", BEFORE), item("ID-10002", 10002, "BULLNOSE SHELVES", T0),
-        item("ID-10003", 10003, "MAIL FELINE 17 MM", NOW), item("ID-10004", 10004, "ZZZ", AFTER),
-        item("ID-10005", 10005, None, T0)])
-    scorer = inference.python_scorer(model)
-    empty = spark.createDataFrame([], schemas.MODEL_REPORT)
-    items, report = map(settle, inference.run(items, empty, scorer, "MID-001", T0, NOW,
+    first = items_of(range(20), lambda k: f"brush {'x' * (k % 4)}" if k % 6 else None, lambda k: MOMENTS[k % 5])
+    scorer = inference.python_scorer(by_length)
+    items = frame(spark, schemas.ITEM, names, first)
+    items, report = map(settle, inference.run(items, spark.createDataFrame([], schemas.MODEL_REPORT), scorer, "A", T0, NOW,
                                               now=lit(NOW)))
-    predicted = items.where("SBN_PREDICTION_LASTUPDATED_AT is not null")
-    assert rows(predicted, "ID", "MODEL_UUID") == [("ID-10002", "MID-001"), ("ID-10003", "MID-001")]
-    assert predicted.where("SBN_PREDICATED_UNSPSC_FAMILY is not null and "
-                           "SBN_PREDICTION_CONFIDENCE_FAMILY = 0.7891 and "
-                           "SBN_PREDICATED_UNSPSC_CLASS is null and "
-                           "SBN_PREDICTION_CONFIDENCE_CLASS is null").count() == 2
-    assert report.count() == 2
-    # second round: a known text takes the stored answer, a new one is scored
-    later = NOW + timedelta(minutes=30)
-    more = frame(spark, schemas.ITEM, PREDICTION_INPUT, [
-        item("ID-20001", 20001, "BULLNOSE SHELVES", NOW + timedelta(minutes=20)),
-        item("ID-20002", 20002, "Z TEST CASE2", NOW + timedelta(minutes=20))])
-    items, report = map(settle, inference.run(settle(items.unionByName(more)), report, scorer,
-                                              "MID-001", NOW + timedelta(minutes=15), later,
-                                              now=lit(later)))
-    assert rows(items.where("MODEL_UUID is not null"), "ID", "SBN_PREDICTION_LASTUPDATED_AT") == [
-        ("ID-10002", NOW), ("ID-10003", NOW), ("ID-20001", NOW), ("ID-20002", later)]
-    assert report.count() == 3
-    # third round: a new model scores everything again
-    last = later + timedelta(minutes=30)
-    items, report = inference.run(items, report, scorer, "MID-302", T0, last, now=lit(last))
-    assert rows(items.where("MODEL_UUID is not null"), "ID", "MODEL_UUID") == [
-        (key, "MID-302") for key in ("ID-10002", "ID-10003", "ID-10004", "ID-20001", "ID-20002")]
-    assert report.count() == 7
+    scored = {k for k in range(20) if k % 6 and inside(MOMENTS[k % 5])}
+    found = items.where("MODEL_UUID is not null")
+    assert {r.PO_ITEM_ID for r in found.collect()} == scored and report.count() == len({k % 4 for k in scored})
+    assert found.where("SBN_PREDICATED_UNSPSC_FAMILY like '%34' and SBN_PREDICATED_UNSPSC_CLASS is null and "
+                       "SBN_PREDICTION_CONFIDENCE_FAMILY = 0.625 and SBN_PREDICTION_CONFIDENCE_CLASS is null"
+                       ).count() == len(scored)
+    later = NOW + timedelta(days=2)
+    more = items_of(range(100, 106), lambda k: "brush x" if k % 2 else "a comb", lambda k: NOW + timedelta(days=1))
+    items, report = map(settle, inference.run(
+        settle(items.unionByName(frame(spark, schemas.ITEM, names, more))), report, scorer, "A",
+        NOW + timedelta(hours=12), later, now=lit(later)))
+    assert {r.PO_ITEM_ID: r.SBN_PREDICTION_LASTUPDATED_AT for r in items.where("PO_ITEM_ID >= 100").collect()} == {
+        k: NOW if k % 2 else later for k in range(100, 106)}
+    known = report.count()
+    last = later + timedelta(days=1)
+    items, report = inference.run(items, report, scorer, "B", T0, last, now=lit(last))
+    everything = {k for k in range(20) if k % 6 and MOMENTS[k % 5] >= T0} | set(range(100, 106))
+    assert {r.PO_ITEM_ID for r in items.where("MODEL_UUID = 'B'").collect()} == everything
+    assert report.where("MODEL_UUID = 'A'").count() == known
