@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import NA
 from ..session import materialize
+from .numbering import dense_number
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -61,12 +62,12 @@ def balance(df: DataFrame, column: str, how: str | None, threshold: int,
 def label_index(df: DataFrame, column: str, index: str = "label_index") -> DataFrame:
     """Distinct labels in ascending order, numbered from 0.
 
-    Numbering sees one row per class, which the code system bounds. The result
-    is written, so that its measured size decides how rows are joined to it.
+    Ranges of labels are numbered on their own and start where the one before ends.
+    The result is written, so that its measured size decides how rows are joined to it.
     """
-    order = F.row_number().over(Window.orderBy(column)) - 1
     classes = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return materialize(classes.withColumn(index, order), "label-index")
+    numbered = dense_number(classes, [column], index)
+    return materialize(numbered.withColumn(index, F.col(index).cast("int")), "label-index")
 
 
 def index_labels(df: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..functions import text
 from ..session import materialize
+from .numbering import dense_number, top_rows
 
 
 def _place(df: DataFrame, row_key: Sequence[str]) -> Column:
@@ -34,14 +35,15 @@ def vocabulary(df: DataFrame, column: str, row_key: str | Sequence[str],
                num_words: int) -> DataFrame:
     """The ``num_words - 1`` most frequent words, numbered from 1.
 
-    Ties go to the word that occurs first (``row_key`` orders the rows). Only
-    the kept words are numbered: a distributed top-k comes before the window.
+    Ties go to the word that occurs first (``row_key`` orders the rows). Histograms of
+    the counts find the last word that is kept, and the kept ones are numbered by ranges:
+    no task gets the most frequent words of every other one.
     """
     keys = [row_key] if isinstance(row_key, str) else list(row_key)
-    counts = word_counts(df, column, keys)
-    top = counts.orderBy(F.desc("count"), F.asc("first")).limit(num_words - 1)
-    rank = F.row_number().over(Window.orderBy(F.desc("count"), F.asc("first")))
-    return top.select("word", "count", rank.alias("index"))
+    counts = materialize(word_counts(df, column, keys), "word-counts")
+    top = top_rows(counts, num_words - 1, "count", ["first"])
+    return dense_number(top, [F.desc("count"), F.asc("first")], "index", 1).select(
+        "word", "count", F.col("index").cast("int").alias("index"))
 
 
 def token_ids(df: DataFrame, column: str, words: DataFrame, output: str = "ids") -> DataFrame:

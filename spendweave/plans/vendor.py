@@ -9,6 +9,7 @@ from .. import columns as C
 from ..functions.measures import run_moment
 from ..operators.dedup import keep_first
 from ..operators.joins import anti_filter
+from ..operators.numbering import dense_number
 from ..operators.upsert import upsert
 from ..session import materialize
 from ..sources.readers import Moment, in_window, latest_predictions, project, unpredicted
@@ -28,9 +29,13 @@ def export_candidates(items: DataFrame, start: Moment, end: Moment,
 
 
 def to_export(candidates: DataFrame, report: DataFrame, batch_size: int | None = None) -> DataFrame:
-    """Candidates not exported before; ``batch_size`` takes the first by text."""
+    """Candidates not exported before; ``batch_size`` takes the first by text, of which
+    there is one row each."""
     fresh = anti_filter(candidates, report, "PROCESSED_DESCRIPTION")
-    return fresh.orderBy("PROCESSED_DESCRIPTION").limit(batch_size) if batch_size else fresh
+    if not batch_size:
+        return fresh
+    numbered = dense_number(fresh, ["PROCESSED_DESCRIPTION"], "__at")
+    return numbered.where(F.col("__at") < batch_size).drop("__at")
 
 
 def mark_exported(report: DataFrame, exported: DataFrame, now: Column | None = None) -> DataFrame:

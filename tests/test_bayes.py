@@ -125,3 +125,25 @@ def test_top_rows(spark, k):
     data = [(i, pick.choice([1, 1, 2, 3, 1500, 1501, 9000, 2**40 + i % 3])) for i in range(300)]
     df = spark.createDataFrame(data, "id long, n long")
     assert rows(numbering.top_rows(df, k, "n", ["id"])) == sorted(sorted(data, key=lambda r: (-r[1], r[0]))[:k], key=repr)
+
+
+def test_vocabulary_and_labels_need_no_single_task(spark):
+    """Neither a top-k nor a window over all rows is left in the plans."""
+    from spendweave.operators import labels, vocabulary
+    pick = random.Random(3)
+    data = [(k, " ".join(pick.choices([f"w{n}" for n in range(400)], k=30)), f"{pick.randrange(300)}") for k in range(200)]
+    df = spark.createDataFrame(data, "k long, text string, label string")
+    words = vocabulary.vocabulary(df, "text", "k", 101)
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "TakeOrdered" not in words._jdf.queryExecution().toString()
+    assert "windowspecdefinition(word" not in plan and "__part" in plan
+    count, first = {}, {}
+    for k, text, _ in data:
+        for pos, w in enumerate(text.split()):
+            count[w] = count.get(w, 0) + 1
+            first.setdefault(w, (k, pos))
+    best = sorted(count, key=lambda w: (-count[w], first[w]))[:100]
+    assert [r.word for r in words.orderBy("index").collect()] == best
+    index = labels.label_index(df, "label")
+    assert {r.label: r.label_index for r in index.collect()} == {
+        v: n for n, v in enumerate(sorted({label for *_, label in data}))}
