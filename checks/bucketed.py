@@ -13,7 +13,7 @@ from spendweave.sources.buckets import BucketTable
 
 from . import bind, merging
 from .bind import LEVELS, plain, query
-from .coding import raw_tables
+from .coding import ORG_SQL, raw_tables
 from .merging import EXTRACT_SCHEMA, IN_WINDOW, RUN, now
 
 PARTS, BUCKETS = 64, 4
@@ -38,11 +38,12 @@ def with_parts(sql: str, touched: str | None = None) -> str:
     return (f"with merged as ({sql}) select *, (select count(distinct {PART}) from ({hit})) as parts from merged")
 
 
-@query("extract_by_bucket", with_parts(
-    bind.ORACLE["extract_items"].replace(
-        f"case when o.DOCUMENT_DATE <= timestamp '1997-06-30' then '{OLD}'\n                else '{RUN}' end as _DELTA_CREATED_ON, "
-        f"'{RUN}' as _DELTA_UPDATED_ON",
-        f"'{OLD}' as _DELTA_CREATED_ON, case when o.DOCUMENT_DATE {IN_DAY} then '{RUN}' else '{OLD}' end as _DELTA_UPDATED_ON")))
+_DAY_ONLY = {"_DELTA_CREATED_ON": f"'{OLD}'",
+             "_DELTA_UPDATED_ON": f"case when o.DOCUMENT_DATE {IN_DAY} then '{RUN}' else '{OLD}' end"}
+
+
+@query("extract_by_bucket", with_parts(bind.with_tables(
+    "lines orders_b parts", merging._extract_sql(merging.EXTRACTED | _DAY_ONLY), org=ORG_SQL)))
 def extract_by_bucket(spark, d):
     """All lines of two years, then those of a day again."""
     raw = raw_tables(spark, d)
@@ -51,7 +52,7 @@ def extract_by_bucket(spark, d):
                                                   F.lit(OLD).cast("timestamp")))
     batch = materialize(extract.extract_items(raw, empty.schema, DAY_START, DAY_END, now()), "extract")
     parts = table.merge(batch, lambda items, rows: extract.merge(items, rows, now()))
-    return shown(table, parts, *empty.columns)
+    return merging.whole_row(table.read()).withColumn("parts", F.lit(parts).cast("bigint"))
 
 
 FEW = "P_KEY < 3"

@@ -104,6 +104,20 @@ def sample_repeated_rows(spark, d):
     return sampling.sample_rows(flags, 25_000, seed=7)
 
 
+@query("sample_with_replacement", """
+    select 2 * count(*) as n, cast(0 as bigint) as foreign_rows, true as some_repeat, true as some_missing
+    from orders""")
+def sample_with_replacement(spark, d):
+    """Twice as many draws as there are orders: how many came, and from where."""
+    keys = bind.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    drawn = materialize(sampling.sample_with_replacement(keys, 2 * keys.count(), seed=7), "draws")
+    foreign = drawn.join(keys, ["o_orderkey", "o_custkey"], "left_anti").agg(F.count("*").alias("foreign_rows"))
+    facts = drawn.groupBy("o_orderkey").agg(F.count("*").alias("times")).agg(
+        F.sum("times").alias("n"), (F.max("times") > 1).alias("some_repeat"), F.count("*").alias("kinds"))
+    missing = facts.withColumn("some_missing", F.col("kinds") < keys.count())
+    return missing.select("n", F.lit(foreign.first()[0]).alias("foreign_rows"), "some_repeat", "some_missing")
+
+
 @query("split_tail", """
     select o_orderkey, case when rn > n - cast(floor(n * 0.1) as bigint) then 'validation'
                             else 'training' end as part

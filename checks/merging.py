@@ -228,35 +228,55 @@ def commit_offset(spark, d):
 
 # -- plans -----------------------------------------------------------------------------------
 
-EXTRACT_SCHEMA = ("ID string, PO_ITEM_ID string, PO_ID bigint, PO_ITEM_COMMODITY_ID bigint, "
-                  "DESCRIPTION string, SUPPLIER_PART_NUMBER string, BUYER_NAME string, "
-                  "SUPPLIER_ANID string, DASHBOARD_STATUS string, SHIP_TO_COUNTRY string, "
-                  "AN_UNSPSC_COMMODITY string, AN_UNSPSC_CLASS string, MODEL_UUID string, "
-                  "_DELTA_CREATED_ON timestamp, _DELTA_UPDATED_ON timestamp")
-
-
-@query("extract_items", with_tables("lines orders_b parts", f"""
-    select concat(l.ID, '-', cast(case when p.CODE is null then 0 else l.P_KEY end as varchar))
-             as ID, l.ID as PO_ITEM_ID, l.PO_ID,
-           case when p.CODE is null then 0 else l.P_KEY end as PO_ITEM_COMMODITY_ID,
-           p.DESCRIPTION, cast(l.SUPPLIER_ORG as varchar) as SUPPLIER_PART_NUMBER,
-           b.NAME as BUYER_NAME, s.ANID as SUPPLIER_ANID, o.DASHBOARD_STATUS,
-           concat('C', cast(o.O_KEY % 9 as varchar)) as SHIP_TO_COUNTRY,
-           p.CODE as AN_UNSPSC_COMMODITY, cast(null as varchar) as AN_UNSPSC_CLASS,
-           cast(null as varchar) as MODEL_UUID,
-           case when o.DOCUMENT_DATE <= timestamp '1997-06-30' then '2001-01-01 00:00:00'
-                else '{RUN}' end as _DELTA_CREATED_ON, '{RUN}' as _DELTA_UPDATED_ON
+#: The whole item row; a line's id is text here.
+EXTRACT_SCHEMA = schemas.ITEM.replace("PO_ITEM_ID decimal(28,0)", "PO_ITEM_ID string")
+
+#: What the extract knows of an item; all other columns are still NULL.
+EXTRACTED = {
+    "ID": "concat(l.ID, '-', cast(case when p.CODE is null then 0 else l.P_KEY end as varchar))",
+    "PO_ITEM_ID": "l.ID", "PO_ID": "l.PO_ID",
+    "PO_ITEM_COMMODITY_ID": "case when p.CODE is null then 0 else l.P_KEY end",
+    "GENERIC_DOCUMENT_ID": "o.O_KEY + 5", "CXML_DOCUMENT_ID": "o.O_KEY + 5", "DESCRIPTION": "p.DESCRIPTION",
+    "MANUFACTURER_PART": "l.MANUFACTURER_PART", "MANUFACTURER_NAME": "p.BRAND", "ITEM_TYPE": "p.ITEM_TYPE",
+    "ITEM_CATEGORY": "'category'", "UNIT_OF_MEASURE": "l.UNIT_OF_MEASURE", "SUPPLIER_PART": "l.SUPPLIER_PART",
+    "SUPPLIER_PART_NUMBER": "cast(l.SUPPLIER_ORG as varchar)", "SUPPLIER_PART_EXTENSION": "''",
+    "DOMAIN": "case when p.CODE is not null then 'UNSPSC' end", "IS_BLANKET": "o.IS_BLANKET", "IS_ADHOC": "0",
+    "SHIP_TO_COUNTRY": "concat('C', cast(o.O_KEY % 9 as varchar))", "SERVICE_TYPE": "'goods'",
+    "BUYER_ORG": "o.BUYER_ORG", "SUPPLIER_ORG": "1000000 + o.O_KEY % 100", "BUYER_NAME": "b.NAME", "BUYER_ANID": "b.ANID",
+    "SUPPLIER_NAME": "s.NAME", "SUPPLIER_ANID": "s.ANID", "DASHBOARD_STATUS": "o.DASHBOARD_STATUS",
+    "DOCUMENT_DATE": "strftime(o.DOCUMENT_DATE, '%Y-%m-%d %H:%M:%S')",
+    "CREATED_DATE": "strftime(o.DOCUMENT_DATE, '%Y-%m-%d %H:%M:%S')", "AN_UNSPSC_COMMODITY": "p.CODE",
+    "_DELTA_CREATED_ON": f"case when o.DOCUMENT_DATE <= timestamp '1997-06-30' then '2001-01-01 00:00:00' else '{RUN}' end",
+    "_DELTA_UPDATED_ON": f"'{RUN}'",
+}
+
+
+def _extract_sql(columns: dict[str, str]) -> str:
+    kinds = dict(field.strip().rsplit(" ", 1) for field in EXTRACT_SCHEMA.replace("6,5", "6.5").split(","))
+    empty = {name: "double" if kind.startswith("decimal") else "varchar" for name, kind in kinds.items()}
+    shown = [f"{columns.get(name, f'cast(null as {kind})')} as {name}" for name, kind in empty.items()]
+    return f"""
+    select {', '.join(shown)}
     from lines l join parts p on l.P_KEY = p.P_KEY
     join orders_b o on l.PO_ID = o.O_KEY and o.IS_BLANKET = 0 and o.DOCUMENT_DATE {IN_WINDOW}
     left join org b on b.ORG_ID = o.BUYER_ORG
-    left join org s on s.ORG_ID = 1000000 + o.O_KEY % 100""", org=ORG_SQL))
+    left join org s on s.ORG_ID = 1000000 + o.O_KEY % 100"""
+
+
+def whole_row(items):
+    """All columns; integers that are NULL everywhere as text."""
+    return plain(items.withColumns({name: F.col(name).cast("string") for name in
+                                    ("BANNED_FROM_TRAINING", "BANNED_FROM_ENRICHMENT")}))
+
+
+@query("extract_items", with_tables("lines orders_b parts", _extract_sql(EXTRACTED), org=ORG_SQL))
 def extract_items(spark, d):
     """Two rounds: the first half year, then the whole window over its result."""
     raw = raw_tables(spark, d)
     empty = spark.createDataFrame([], EXTRACT_SCHEMA)
     first = materialize(extract.extract_items(raw, empty.schema, START, "1997-06-30",
                                               F.lit("2001-01-01").cast("timestamp")))
-    return plain(extract.run(raw, first, START, END, now()))
+    return whole_row(extract.run(raw, first, START, END, now()))
 
 
 @query("evaluate_merge", with_tables("item_table items commodity", f"""
