@@ -13,6 +13,7 @@ from spendweave.operators.upsert import upsert
 from spendweave.plans import vendor
 from spendweave.session import materialize, shared_folder
 from spendweave.sources import readers, tables
+from spendweave.sources.buckets import BucketTable
 from spendweave.streaming import vendor_feed
 
 from . import bind
@@ -125,6 +126,38 @@ def vendor_stream(spark, d):
         "PROCESSED_DESCRIPTION", "DESCRIPTION", "UNSPSC_COMMODITY", "REPORT_LASTUPDATED_AT"))
 
 
+@query("vendor_stream_state", with_tables("parts", f"""
+    select nullif(PROCESSED_DESCRIPTION, '') as PROCESSED_DESCRIPTION, DESCRIPTION,
+           CODE as UNSPSC_COMMODITY, {sql_time('SENT_AT', 'REPORT_LASTUPDATED_AT')},
+           (select count(*) from ({FEED})) as first_changed,
+           cast(0 as bigint) as second_changed, cast(0 as bigint) as second_parts from ({FEED})"""))
+def vendor_stream_state(spark, d):
+    """The newest answers first, then, after a restart, the outdated ones: these change nothing."""
+    folder, seen = _folder(spark), []
+    feed = plain(lower_feed(spark, d))
+    shaped = feed.select(*[F.col(field.name) if field.name in feed.columns
+                           else F.lit(None).cast("string").alias(field.name)
+                           for field in spark.createDataFrame([], schemas.VENDOR_FEED).schema])
+    later = F.max("PREDICATION_LASTUPDATED_AT").over(Window.partitionBy("PROCESSED_DESCRIPTION"))
+    shaped = materialize(shaped.withColumn("newest", F.col("PREDICATION_LASTUPDATED_AT") == later), "feed")
+    name = f"report_{uuid.uuid4().hex}"
+    report = BucketTable(spark, name, "PROCESSED_DESCRIPTION", 16, 2).create(
+        spark.createDataFrame([], schemas.VENDOR_REPORT), f"{folder}/report")
+    for wanted in ("newest", "not newest"):
+        (shaped.where(wanted).drop("newest")
+         .write.options(header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss")
+         .mode("append").csv(f"{folder}/feed"))
+        files = vendor_feed.read_feed(spark, f"{folder}/feed")
+        batches = []
+        vendor_feed.import_answers(files, f"{folder}/checkpoint", report,
+                                   on_batch=lambda *counts: batches.append(counts)).awaitTermination()
+        seen.append([sum(side) for side in zip(*batches)] or [0, 0])
+    return plain(report.read().select(
+        "PROCESSED_DESCRIPTION", "DESCRIPTION", "UNSPSC_COMMODITY", "REPORT_LASTUPDATED_AT",
+        F.lit(seen[0][0]).cast("bigint").alias("first_changed"), F.lit(seen[1][0]).cast("bigint").alias("second_changed"),
+        F.lit(seen[1][1]).cast("bigint").alias("second_parts")))
+
+
 @query("month_partitions", f"""
     select strftime(o_orderdate, '%Y-%m') as month, count(*) as n,
            cast(sum(o_orderkey) as bigint) as keys
