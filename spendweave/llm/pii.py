@@ -12,6 +12,7 @@ undecided do not. What ends with a high score and could be of the kind at all is
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -136,6 +137,28 @@ def _unseen(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, li
     return held
 
 
+class _Context:
+    """The words of a text around places in it, however long and however far."""
+
+    def __init__(self, text: str):
+        self.text = text
+        spans = [word.span() for word in _WORD.finditer(text)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def _words(self, first: int, last: int, lo: int, hi: int) -> list[str]:
+        return [self.text[max(lo, self.starts[k]):min(hi, self.ends[k])].lower() for k in range(max(0, first), last)]
+
+    def before(self, place: int) -> list[str]:
+        """The last two; of a word that goes on past the place what stands before it."""
+        k = bisect_left(self.starts, place)
+        return self._words(k - 2, k, 0, place)
+
+    def after(self, place: int) -> list[str]:
+        """The first one, or what follows of it."""
+        k = bisect_right(self.ends, place)
+        return self._words(k, min(k + 1, len(self.ends)), place, len(self.text))
+
+
 def mentions(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
     """Identifier-like strings with the patterns around them: the spans, and tokens with a
     digit or an at sign, or several that are groups of one number, which could be of some
@@ -158,10 +181,11 @@ def mentions(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
         if core:
             tokens.append((begin, begin + len(core)))
     held += [(a, b, kinds, None) for a, b, kinds in _unseen(text, tokens)]
-    found = []
+    if not held:
+        return []
+    found, context = [], _Context(text)
     for begin, end, kinds, kind in held:
-        left = _WORD.findall(text[max(0, begin - 80):begin].lower())[-2:]
-        right = _WORD.findall(text[end:end + 40].lower())[:1]
+        left, right = context.before(begin), context.after(end)
         patterns = []
         if len(left) == 2:
             patterns.append(" ".join(left) + " _")

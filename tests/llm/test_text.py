@@ -150,6 +150,16 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.find_personal_data(df.limit(0)).count() == 0
 
 
+def test_context_reaches_as_far_as_the_words_stand():
+    long = "w" * 500
+    text = f"{long} call{' ' * 300}_:-,{'.' * 200}5551234{' ' * 200}({long}"
+    (mention,) = pii.mentions(text, [])
+    assert mention["patterns"] == ["call _ _", f"_ _ {long}"]
+    whole = pii._Context("ab12cd ef")
+    assert whole.before(2) == ["ab"] and whole.after(4) == ["cd"] and whole.before(9) == ["ab12cd", "ef"]
+    assert whole.after(9) == [] and pii._Context("").before(0) == []
+
+
 def test_undecided_instances_do_not_speak_against_a_pattern(spark):
     texts = [f"please call me at +1555555{1000 + k} today" for k in range(12)]
     texts += [f"please call me at 555444{1000 + k} today" for k in range(24)]
