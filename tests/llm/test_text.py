@@ -152,9 +152,9 @@ def test_contexts_find_unseen_identifiers(spark):
 
 def test_context_reaches_as_far_as_the_words_stand():
     long = "w" * 500
-    text = f"{long} call{' ' * 300}_:-,{'.' * 200}5551234{' ' * 200}({long}"
+    text = f"{long} call{' ' * 300}5551234{' ' * 200}({long}"
     (mention,) = pii.mentions(text, [])
-    assert mention["patterns"] == ["call _ _", f"_ _ {long}"]
+    assert mention["patterns"] == [f"{long} call _", f"call _ {long}"]
     whole = pii._Context("ab12cd ef")
     assert whole.before(2) == ["ab"] and whole.after(4) == ["cd"] and whole.before(9) == ["ab12cd", "ef"]
     assert whole.after(9) == [] and pii._Context("").before(0) == []
