@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from checks.compare import connect, difference
-from spendweave.llm import packing, pii
+from spendweave.llm import bpe, packing, pii, wordpiece
 from spendweave.llm.common import ORACLE, QUERIES
 from spendweave.session import materialize
 
@@ -68,6 +69,68 @@ def test_op8_by_hand(spark, texts):
         assert not (r.base_failed and r.kept)
 
 
+def test_op3_by_hand(spark, texts):
+    """Each id of the tokenizers library in exactly one piece, sequences gapless and short of
+    1024 at a power of two only."""
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(packing.vocabulary_path(packing.VOCABULARY))
+    docs, sequences = {}, {}
+    for r in QUERIES["op3_packing"](spark, FOLDER).collect():
+        docs.setdefault(r.doc_id, []).append(r)
+        sequences.setdefault(r.sequence_id, []).append(r)
+    assert set(docs) == set(texts)
+    for i, text in texts.items():
+        ids, at = np.array(own.encode(text or "", add_special_tokens=False).ids + [0], "<u4"), 0
+        for r in sorted(docs[i], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    short = 0
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 1024 and at & (at - 1) == 0
+        short += at < 1024
+    assert short <= 11                      # one tail of a group, cut into powers of two
+
+
+def test_op6_by_hand(spark, texts):
+    import public_tokenizers
+    import tiktoken
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(bpe.VOCABULARY),
+                            special_tokens={})
+    rows = QUERIES["op6_byte_bpe"](spark, FOLDER).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        ids = own.encode_ordinary(text)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_op9_by_hand(spark, texts):
+    tokens = set(bpe.load_ranks(wordpiece.VOCABULARY))
+    longest, known = max(map(len, tokens)), {}
+
+    def pieces(word):
+        if word not in known:
+            at, n = 0, 0
+            while at < len(word):
+                at = next(e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in tokens)
+                n += 1
+            known[word] = n
+        return known[word]
+
+    rows = QUERIES["op9_token_counts"](spark, FOLDER).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        words = (texts[r.doc_id] or "").encode().split()
+        assert (r.n_words, r.n_tokens, r.n_unknown) == (len(words), sum(pieces(b" " + w) for w in words), 0)
+
+
 def test_pipeline_by_hand(spark, texts):
     """Few labels prove no cutoff, so the base rules alone reject here."""
     from tokenizers import Tokenizer

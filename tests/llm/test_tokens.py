@@ -176,3 +176,18 @@ def test_tails_become_powers_of_two(total):
     assert sum(sizes) == total and sizes == sorted(sizes, reverse=True) and len(set(sizes)) == len(sizes)
     assert all(s & (s - 1) == 0 for s in sizes)
     assert np.concatenate([p.ids for w in windows for p in w]).tolist() == np.concatenate([p.ids for p in pieces]).tolist()
+
+
+def test_word_piece_counts_of_repeated_rows_and_missing_ids(spark):
+    df = spark.createDataFrame([(None, "some words"), (1, "some words"), (1, "some words"), (None, None)],
+                               "doc_id long, text string")
+    rows = wordpiece.count_tokens(df).collect()
+    assert sorted((r.doc_id is None, r.n_words) for r in rows) == [(False, 2), (False, 2), (True, 0), (True, 2)]
+    assert len({r.n_tokens for r in rows if r.n_words}) == 1
+
+
+def test_decoded_replaces_a_column_of_its_name(spark):
+    df = spark.createDataFrame([(1, "a b", "old")], "doc_id long, text string, decoded string")
+    coded = bpe.encode(df)
+    again = bpe.decode(coded.withColumn("decoded", coded["doc_id"]))
+    assert again.columns.count("decoded") == 1 and bytes(again.first().decoded) == b"a b"
