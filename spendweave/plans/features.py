@@ -11,6 +11,7 @@ from .. import columns as C
 from ..functions.text import concat_features
 from ..operators.clean import Cleaning, clean_items, legal_codes
 
+# Cleaning instructions that stored models and training tables were made with.
 _NA_TEXT = {
     "columns": list(C.TEXT_COLUMNS),
     "na_vals_list": list(C.NA_SPELLINGS),
