@@ -9,8 +9,9 @@ A text's score for a class is
     prior - X * ln(total + words) + sum over its words of tf * idf * ln(s + 1),   X = sum of tf * idf,
 
 where s is the class's weighted count of the word, 0 for words that the class does not have. So
-words and classes that do not meet need no entry: a join on the word and a partial sum by text
-and class give the last term, the rest are constants of the class.
+words and classes that do not meet need no entry: the last term is added up from the posting
+lists of a text's words, the rest are constants of the class. Pairs of texts and classes exist
+in a task only, one text at a time; no row is made for them.
 
 ``levels`` cuts labels into a path (for codes 2, 4, 6 and 8 digits). Each level then has a
 classifier for the children of every class above it, and a text goes down the path of its best
@@ -24,7 +25,7 @@ of a sum; of equal scores (to 1e-9) the smallest label wins.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,13 +35,15 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..session import materialize
-from .numbering import top_rows
+from .numbering import dense_number, top_rows
 
 #: Units of stored weights.
 UNIT = 1_000_000_000
-#: Weights (12 bytes each) up to which a flat model travels with the tasks; beyond, texts and
-#: weights meet in a join. Both ways add the same integers.
+#: Weights (12 bytes each) that travel with the tasks at once; a larger level is cut into blocks
+#: of classes, and texts are scored against one after the other.
 BROADCAST_WEIGHTS = 4_000_000
+#: Classes of a word from which on texts share the sums of their beginnings.
+LONG = 2048
 _WHOLE = "decimal(38,0)"
 ROOT = "0:"
 
@@ -142,110 +145,131 @@ def fit(rows: DataFrame, feature: str, label: str, num_words: int | None = None,
     return SparseBayes(words, materialize(weights, "class-weights"), classes, tuple(levels))
 
 
-def _shared(texts: DataFrame, weights: DataFrame) -> DataFrame:
-    """``row, number, weight``: sums over the words that a text shares with a class.
-
-    Weights of a small model are broadcast (their written size is known) and the sums of a text
-    are complete before the shuffle; otherwise the words meet by a sort-merge join, of which
-    adaptive execution splits the frequent ones.
-    """
-    words = texts.select("row", "node", F.explode("tokens").alias("word"))
-    return (words.join(weights, ["node", "word"]).select("row", F.inline("postings"))
-            .groupBy("row", "number").agg(F.sum("weight").alias("weight")))
-
-
-def _best(score: Column) -> Column:
-    """The largest score (to 1e-9), of equal ones the least number, as a struct to take the
-    minimum of."""
-    return F.struct((-F.round(score, 9)).alias("order"), F.col("number"), score.alias("score"))
-
-
-def _flat(texts: DataFrame, model: SparseBayes) -> DataFrame:
-    """``row, label, probability`` among all labels of the root."""
-    constants = model.classes.orderBy("number").select("prior", "slope").toPandas()
-    if constants.empty:
-        return texts.select("row", F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("probability"))
-    prior, slope = constants["prior"].to_numpy(), constants["slope"].to_numpy()
-    size = model.weights.select(F.sum(F.size("postings"))).first()[0] or 0
-    found = (_flat_in_tasks if size <= BROADCAST_WEIGHTS else _flat_by_join)(texts, model, prior, slope)
-    return found.join(model.classes.select("number", "label"), "number").select("row", "label", "probability")
-
-
-def _flat_in_tasks(texts: DataFrame, model: SparseBayes, prior: np.ndarray, slope: np.ndarray) -> DataFrame:
-    """``row, number, probability``; each task has the posting lists, and one vector of class
-    scores for the text at hand."""
-    lists = model.weights.select("word", F.col("postings.number").alias("n"), F.col("postings.weight").alias("w")).toArrow()
+def _at(depth: int) -> Column:
+    """Whether a row's node lies at ``depth``."""
+    return F.col("node").startswith(f"{depth}:")
+
+
+def _block(model: SparseBayes, words: DataFrame, depth: int, blocks: int, k: int) -> Callable:
+    """A function ``node, word ids, X`` -> ``(label, score, total)`` over many texts, for one of
+    ``blocks`` shares of the classes at ``depth``: the best class, and the sum of
+    exp(score - best score) over the share. Texts of nodes without a class there give None."""
+    def mine(number: Column) -> Column:
+        return F.pmod(F.xxhash64("node", number), F.lit(blocks)) == k
+
+    classes = (model.classes.where(_at(depth) & mine(F.col("number"))).select("node", "number", "label", "prior", "slope")
+               .toPandas().sort_values(["node", "number"]))
+    lists = (model.weights.where(_at(depth)).join(words.select("word", "id"), "word")
+             .select("node", "id", F.filter("postings", lambda p: mine(p["number"])).alias("mine")).where("size(mine) > 0")
+             .select("node", "id", F.col("mine.number").alias("n"), F.col("mine.weight").alias("w")).toArrow())
+    size = words.agg(F.max("id")).first()[0] or 0
+    nodes = {node: n for n, node in enumerate(classes["node"].unique())}
+    node = classes["node"].map(nodes).to_numpy("int64")
+    starts = np.searchsorted(node, np.arange(len(nodes) + 1))
+    labels, prior, slope = (classes[name].to_numpy() for name in ("label", "prior", "slope"))
+    # lists in the order of node and word; their entries are places among the node's classes
     number, weight = (lists.column(name).combine_chunks() for name in ("n", "w"))
-    ends = number.offsets.to_numpy()
-    numbers, weights = number.flatten().to_numpy(), weight.flatten().to_numpy()
-    places = {word: (ends[k], ends[k + 1]) for k, word in enumerate(lists.column("word").to_pylist())}
-
-    def scores(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for tokens, x in batches:
-            best, share = [], []
-            for words, value in zip(tokens, x.to_numpy() / UNIT, strict=True):
-                shared = np.zeros(len(prior), "int64")
-                for word in words:
-                    if (place := places.get(word)) is not None:
-                        shared[numbers[place[0]:place[1]]] += weights[place[0]:place[1]]    # a class once a word
-                score = prior - value * slope + shared / UNIT
-                best.append(int(np.argmax(np.round(score, 9))))
-                share.append(1 / np.exp(score - score[best[-1]]).sum())
-            yield pd.DataFrame({"number": best, "probability": share})
-
-    score = F.pandas_udf(scores, "number int, probability double")
-    return texts.select("row", score("tokens", "x").alias("found")).select("row", "found.*")
-
-
-def _flat_by_join(texts: DataFrame, model: SparseBayes, prior: np.ndarray, slope: np.ndarray) -> DataFrame:
-    """The same by a join on the word.
-
-    Classes that share no word with a text differ by their constants alone. Two numbers a
-    class (the code system bounds them) travel with the tasks: for each X they give the best
-    such class and the sum of all exponentials; classes that do share words are then put
-    right one by one.
+    ends, weights = number.offsets.to_numpy(), weight.flatten().to_numpy()
+    owner = np.array([nodes[name] for name in lists.column("node").to_pylist()], "int64")
+    wide = int(classes["number"].max()) + 1 if len(classes) else 1
+    places = (np.searchsorted(node * wide + classes["number"].to_numpy("int64"),
+                              np.repeat(owner, np.diff(ends)) * wide + number.flatten().to_numpy())
+              - np.repeat(starts[owner], np.diff(ends))).astype("int32")
+    keys = owner * (size + 1) + lists.column("id").to_numpy()
+    order = np.argsort(keys)
+    keys, begin, length = keys[order], ends[:-1][order], np.diff(ends)[order]
+
+    def of_text(name: str, ids: np.ndarray) -> tuple:
+        n = nodes[name]
+        ids, times = np.unique(np.asarray(ids, "int64"), return_counts=True)
+        wanted = n * (size + 1) + ids
+        found = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+        known = keys[found] == wanted if len(keys) else np.zeros(len(ids), bool)
+        found, times = found[known], times[known]
+        long = length[found] >= LONG
+        shared = sorted(zip((-length[found[long]]).tolist(), found[long].tolist(), times[long].tolist(), strict=True))
+        return n, [entry[1:] for entry in shared], found[~long], times[~long]
+
+    def scores(names: Sequence[str], ids: Sequence[np.ndarray], xs: np.ndarray) -> list[tuple | None]:
+        answers: list[tuple | None] = [None] * len(names)
+        parts = {t: of_text(names[t], ids[t]) for t in range(len(names)) if names[t] in nodes}
+        # texts that begin with the same long lists follow each other and share their sums
+        stack: list[tuple] = []
+        for t in sorted(parts, key=lambda t: parts[t][:2]):
+            n, shared, found, times = parts[t]
+            low, high = starts[n], starts[n + 1]
+            path = [(n,), *shared]
+            same = 0
+            while same < min(len(stack), len(path)) and stack[same][0] == path[same]:
+                same += 1
+            del stack[same:]
+            for step in path[same:]:
+                if not stack:
+                    stack.append((step, np.zeros(high - low, "int64")))
+                    continue
+                sums, (at, tf) = stack[-1][1].copy(), step
+                a, b = begin[at], begin[at] + length[at]
+                sums[places[a:b]] += tf * weights[a:b]      # a class once a word
+                stack.append((step, sums))
+            sums = stack[-1][1]
+            if len(found):
+                sums, each = sums.copy(), length[found]
+                entry = np.repeat(begin[found] - np.cumsum(each) + each, each) + np.arange(each.sum())
+                np.add.at(sums, places[entry], weights[entry] * np.repeat(times, each))
+            score = prior[low:high] - xs[t] / UNIT * slope[low:high] + sums / UNIT
+            top = score.max()
+            ties = np.flatnonzero(score >= top - 3e-9)
+            best = ties[np.argmax(np.round(score[ties], 9))]
+            # what lies lower adds less than a double's last digit
+            total = np.exp(score[score > top - 80] - score[best]).sum()
+            answers[t] = (labels[low + best], float(score[best]), float(total))
+        return answers
+
+    return scores
+
+
+def _level(texts: DataFrame, model: SparseBayes, words: DataFrame, depth: int) -> DataFrame:
+    """``texts`` with the best class of each among the children of its node, at ``depth``.
+
+    Weights travel with the tasks in blocks of classes; a text gives one row for a block, and
+    these are put together. A model of one block needs no shuffle.
     """
-    def of_constants(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            number, top, log_sum = [], [], []
-            for value in x.to_numpy() / UNIT:
-                score = prior - value * slope
-                number.append(int(np.argmax(np.round(score, 9))))
-                top.append(score[number[-1]])
-                log_sum.append(top[-1] + np.log(np.exp(score - top[-1]).sum()))
-            yield pd.DataFrame({"number": number, "top": top, "log_sum": log_sum})
-
-    apart = F.pandas_udf(of_constants, "number int, top double, log_sum double")
-    base = materialize(texts.select("row", "x", apart("x").alias("far")).select("row", "x", "far.*"), "constants")
-    constant = F.col("prior") - F.col("x") / UNIT * F.col("slope")
-    near = materialize(
-        _shared(texts, model.weights).join(model.classes.select("number", "prior", "slope"), "number")
-        .join(base.select("row", "x"), "row")
-        .select("row", "number", constant.alias("base"), (constant + F.col("weight") / UNIT).alias("score")), "scores")
-    far = base.select("row", "number", F.col("top").alias("score"))
-    best = materialize(near.select("row", "number", "score").unionByName(far).groupBy("row").agg(
-        F.min(_best(F.col("score"))).alias("best")).select("row", "best.number", "best.score"), "best")
-    # what the classes with shared words add to the sum over constants
-    top = best.select("row", F.col("score").alias("top"))
-    more = near.join(top, "row").groupBy("row").agg(F.sum(
-        F.exp(F.col("score") - F.col("top")) - F.exp(F.col("base") - F.col("top"))).alias("more"))
-    return (best.join(base.select("row", "log_sum"), "row").join(more, "row", "left")
-            .select("row", "number", (1 / (F.exp(F.col("log_sum") - F.col("score")) + F.coalesce("more", F.lit(0.0))))
-                    .alias("probability")))
-
-
-def _child(texts: DataFrame, model: SparseBayes) -> DataFrame:
-    """``row, label, probability`` among the children of each text's class."""
-    constants = (texts.select("row", "node", "x").join(model.classes, "node")
-                 .select("row", "number", "label", (F.col("prior") - F.col("x") / UNIT * F.col("slope")).alias("base")))
-    scored = constants.join(_shared(texts, model.weights), ["row", "number"], "left").select(
-        "row", "number", "label", (F.col("base") + F.coalesce("weight", F.lit(0)) / UNIT).alias("score"))
-    # at most a hundred children: the sum of exponentials is taken over a list of them
-    return scored.groupBy("row").agg(
-        F.min_by("label", _best(F.col("score"))).alias("label"), F.max("score").alias("top"),
-        F.collect_list("score").alias("all")).select(
-        "row", "label", (1 / F.aggregate("all", F.lit(0.0), lambda sum_, s: sum_ + F.exp(s - F.col("top"))))
-        .alias("probability"))
+    classes = model.classes.where(_at(depth)).count()
+    size = model.weights.where(_at(depth)).agg(F.sum(F.size("postings"))).first()[0] or 0
+    blocks = max(1, min(-(-size // max(BROADCAST_WEIGHTS, 1)), classes))
+
+    def scored(source: DataFrame, k: int) -> DataFrame:
+        scores = _block(model, words, depth, blocks, k)
+        names = source.columns
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = scores(batch["node"].tolist(), batch["ids"].tolist(), batch["x"].to_numpy())
+                cells = list(zip(*(f or (None, None, None) for f in found), strict=True)) or [(), (), ()]
+                yield batch[names].assign(label=list(cells[0]), score=pd.Series(cells[1], dtype="float64", index=batch.index),
+                                          total=pd.Series(cells[2], dtype="float64", index=batch.index))
+
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields)
+        return source.mapInPandas(run, f"{kinds}, label string, score double, total double")
+
+    if blocks == 1:
+        found = scored(texts, 0).withColumn("probability", 1 / F.col("total"))
+    else:
+        # what earlier levels found is computed once, not for every block
+        texts = materialize(texts, "texts-by-class") if depth else texts
+        short = texts.select("row", "node", "ids", "x")
+        each = None
+        for k in range(blocks):     # a block at a time: its rows are written before the next one is made
+            rows = materialize(scored(short, k).where("label is not null").select("row", "label", "score", "total"), "scores")
+            each = rows if each is None else each.unionByName(rows)
+        best = each.groupBy("row").agg(
+            F.min(F.struct((-F.round("score", 9)).alias("order"), "label", "score")).alias("best"),
+            F.collect_list(F.struct("score", "total")).alias("shares_of_blocks"))
+        total = F.aggregate("shares_of_blocks", F.lit(0.0), lambda sum_, s: sum_ + s["total"] * F.exp(s["score"] - F.col("best.score")))
+        found = texts.join(best.select("row", F.col("best.label").alias("label"), (1 / total).alias("probability")), "row", "left")
+    return found.withColumns({
+        "node": _node(depth + 1, F.col("label")), "path": F.concat("path", F.array("label")),
+        "shares": F.concat("shares", F.array("probability"))}).select(*texts.columns)
 
 
 def predict(model: SparseBayes, rows: DataFrame, feature: str, by_level: bool = False) -> DataFrame:
@@ -254,27 +278,22 @@ def predict(model: SparseBayes, rows: DataFrame, feature: str, by_level: bool =
     and ``level_probas``, one entry a level. A NULL text is one without words; without any
     class all is NULL.
 
-    Rows are numbered and written once. Of equal texts (by digest) one is scored; only words,
-    numbers, digests and classes are moved.
+    Rows are numbered and written once. Of equal texts (by digest) one is scored: its word
+    numbers are written once and read for each level and block of classes.
     """
     digest = F.sha2(F.coalesce(F.col(feature).cast("string"), F.lit("")).cast("binary"), 256)
     numbered = materialize(rows.withColumns({"__row": F.monotonically_increasing_id(), "__key": digest}), "numbered")
     first = materialize(numbered.groupBy("__key").agg(F.min("__row").alias("__row")), "first-rows")
-    tokens = numbered.join(first, ["__row", "__key"], "left_semi").select(
-        F.col("__row").alias("row"), F.col("__key").alias("key"), F.coalesce(
-            text.tokens(F.col(feature)), F.array().cast("array<string>")).alias("tokens"))
-    sums = (tokens.select("row", F.explode("tokens").alias("word")).join(model.words, "word")
-            .groupBy("row").agg(F.sum("idf").alias("x")))
-    texts = tokens.join(sums, "row", "left").withColumns({
-        "x": F.coalesce("x", F.lit(0)), "node": F.lit(ROOT), "path": F.array().cast("array<string>"),
-        "shares": F.array().cast("array<double>")})
-    steps = len(model.levels) or 1
-    for step in range(steps):
-        texts = materialize(texts, "texts-by-class")
-        found = (_child if model.levels else _flat)(texts, model)
-        texts = texts.join(found, "row", "left").withColumns({
-            "node": _node(step + 1, F.col("label")), "path": F.concat("path", F.array("label")),
-            "shares": F.concat("shares", F.array("probability"))}).drop("label", "probability")
+    words = materialize(dense_number(model.words, ["word"], "id"), "word-ids")
+    known = (numbered.join(first, ["__row", "__key"], "left_semi")
+             .select(F.col("__row").alias("row"), F.explode(text.tokens(F.col(feature))).alias("word")).join(words, "word")
+             .groupBy("row").agg(F.sum("idf").alias("x"), F.collect_list(F.col("id").cast("int")).alias("ids")))
+    texts = materialize(
+        first.select(F.col("__row").alias("row"), F.col("__key").alias("key")).join(known, "row", "left").withColumns({
+            "x": F.coalesce("x", F.lit(0)), "ids": F.coalesce("ids", F.array().cast("array<int>")), "node": F.lit(ROOT),
+            "path": F.array().cast("array<string>"), "shares": F.array().cast("array<double>")}), "texts")
+    for depth in range(len(model.levels) or 1):
+        texts = _level(texts, model, words, depth)
     answer = texts.select(
         F.col("key").alias("__key"), F.element_at("path", -1).alias("predicted_label"),
         F.bround(F.aggregate("shares", F.lit(1.0), lambda p, q: p * q), 3).alias("predicted_label_proba"),

@@ -109,6 +109,26 @@ def test_classifier_of_many_codes_down_the_levels(spark):
         training.fit_classifier(table, training.TrainingOptions(classifier="none"))
 
 
+@pytest.mark.parametrize("levels", [(), (2, 8)])
+def test_scoring_makes_no_rows_of_texts_and_classes(spark, levels, monkeypatch):
+    """Whatever a text shares with the classes, a block of them gives one row for it."""
+    monkeypatch.setattr(bayes, "BROADCAST_WEIGHTS", 200)
+    monkeypatch.setattr(bayes, "LONG", 3)
+    written = []
+    keep = bayes.materialize
+    monkeypatch.setattr(bayes, "materialize", lambda df, label="stage": written.append(keep(df, label)) or written[-1])
+    data = [(f"all w{k % 7} v{k % 5}", f"{10 + k % 3}0000{10 + k % 20}") for k in range(120)]
+    frame = spark.createDataFrame(data, "feature string, code string")
+    model = bayes.fit(frame, "feature", "code", None, levels)
+    del written[:]
+    asked = spark.createDataFrame([(t, k) for k, (t, _) in enumerate(data)], "feature string, k int")
+    answers = rows(bayes.predict(model, asked, "feature"))
+    monkeypatch.setattr(bayes, "BROADCAST_WEIGHTS", 10**6)
+    monkeypatch.setattr(bayes, "LONG", 10**6)
+    assert answers == rows(bayes.predict(model, asked, "feature"))
+    assert len(written) > 6 and max(df.count() for df in written) <= len(data)
+
+
 def test_dense_numbers(spark):
     df = spark.range(1000).selectExpr("(id * 37) % 1000 as v", "id % 7 as g").repartition(8)
     numbered = numbering.dense_number(df, ["v"], "n", 1)
