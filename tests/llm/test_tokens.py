@@ -43,6 +43,15 @@ def test_bpe_equals_the_library_and_decodes(spark, library):
         assert bytes(found[i].decoded) == text.encode()
 
 
+def test_short_pieces_are_merged_without_a_tree(monkeypatch):
+    ranks = bpe.load_ranks(bpe.VOCABULARY)
+    pick = np.random.default_rng(3)
+    pieces = [bytes(pick.choice(list(b"aabbtheins \xc3\xa9 0"), n)) for n in pick.integers(0, bpe.SHORT + 1, 500)]
+    short = [bpe.merge(piece, ranks) for piece in pieces]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert short == [bpe.merge(piece, ranks) for piece in pieces]
+
+
 def test_bpe_of_null_repeated_and_no_rows(spark):
     df = spark.createDataFrame([(None, None), (1, "b a"), (1, "b a")], "doc_id long, text string")
     rows = bpe.encode(df).collect()
