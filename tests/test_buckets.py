@@ -80,3 +80,17 @@ def block_of_exchanges(plan):
 def test_parts_of_missing_keys(spark):
     df = spark.createDataFrame([(None,), ("",), ("a",)], "k string")
     assert all(0 <= r[0] < 7 for r in df.select(part_of("k", 7)).collect())
+
+
+def test_a_large_table_gets_more_buckets(spark, tmp_path, monkeypatch):
+    """A task of a merge reads one bucket of all parts."""
+    from spendweave.sources import buckets
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 50)
+    name = f"grown_{os.path.basename(tmp_path)}".replace("-", "_")
+    data = spark.range(500).selectExpr("concat('k', id) as ID", "id as V", "cast(null as timestamp) as _DELTA_UPDATED_ON")
+    table = BucketTable(spark, name, "ID", 2, 4).create(data, str(tmp_path / "t"))
+    assert table.buckets == 10 and spark.table(name).rdd.getNumPartitions() >= 4
+    batch = materialize(spark.createDataFrame([("k3", -3), ("new", 1)], "ID string, V long"))
+    table.merge(batch, merged)
+    assert table.read().where("V < 0 or ID = 'new'").count() == 2 and table.read().count() == 501
+    spark.sql(f"drop table {name}")
