@@ -9,6 +9,9 @@ from ..columns import LEVELS, NETWORK_GROUP, UNKNOWN_CODE
 from ..functions.measures import month_start, whole_amount
 from .joins import left_lookup
 
+#: Products up to which they are broadcast (some 150 bytes each); they are counted first.
+FEW_PRODUCTS = 2_000_000
+
 FACT_COLUMNS = ("SUPPLIER_ANID", "PO", "ID", "BUYER_ORG", "SUPPLIER_ORG",
                 "REQUESTED_DELIVERY_DATE", "DOCUMENT_DATE", "SHIP_TO_COUNTRY",
                 "UNIT_OF_MEASURE", "QUANTITY", "UNIT_PRICE_USD", "PRODUCT_ID")
@@ -17,8 +20,10 @@ FACT_COLUMNS = ("SUPPLIER_ANID", "PO", "ID", "BUYER_ORG", "SUPPLIER_ORG",
 def with_commodity(fact: DataFrame, dimension: DataFrame) -> DataFrame:
     """Fact rows with the dimension's codes; NULL where there is no product."""
     code_columns = [f"UNSPSC_{level}" for level in LEVELS]
-    return left_lookup(fact, dimension.select("ID", *code_columns).withColumnRenamed("ID", "__DIM"),
-                       "PRODUCT_ID", "__DIM")
+    products = dimension.select("ID", *code_columns).withColumnRenamed("ID", "__DIM")
+    if dimension.count() <= FEW_PRODUCTS:
+        products = F.broadcast(products)
+    return left_lookup(fact, products, "PRODUCT_ID", "__DIM")
 
 
 def network_lines(fact: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -45,8 +50,8 @@ def network_totals(fact: DataFrame, dimension: DataFrame, one_order: bool | None
     """Amount, units, average price, orders and items per group and month.
 
     Items are counted by steps: lines by (group, order, item), these by (group, order), these
-    by group. No row is multiplied, every step combines before its shuffle, and a large group
-    is spread over its orders. That counts an item once if it has one order, which is looked
+    by group. No row is multiplied, lines are moved once by group and order for the first two
+    steps, and a large group is spread over its orders. That counts an item once if it has one order, which is looked
     up first (``one_order`` True skips it); otherwise Spark counts distinct values.
     """
     lines = network_lines(fact, dimension)
@@ -58,7 +63,7 @@ def network_totals(fact: DataFrame, dimension: DataFrame, one_order: bool | None
             F.avg("UNIT_PRICE_USD").alias("AVERAGE_UNIT_PRICE_USD"),
             F.count_distinct("PO").alias("PO_COUNT"), F.count_distinct("ID").alias("PO_ITEM_COUNT"))
     sums = ("AMOUNT", "QUANTITY", "PRICE", "PRICES")
-    items = lines.groupBy(*NETWORK_GROUP, "PO", "ID").agg(
+    items = lines.repartition(*NETWORK_GROUP, "PO").groupBy(*NETWORK_GROUP, "PO", "ID").agg(
         F.sum("AMOUNT").alias("AMOUNT"), F.sum("QUANTITY").alias("QUANTITY"),
         F.sum("UNIT_PRICE_USD").alias("PRICE"), F.count("UNIT_PRICE_USD").alias("PRICES"))
     orders = items.groupBy(*NETWORK_GROUP, "PO").agg(F.count("ID").alias("ITEMS"), *[F.sum(s).alias(s) for s in sums])

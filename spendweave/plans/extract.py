@@ -11,32 +11,42 @@ from .. import columns as C
 from ..functions.measures import run_moment
 from ..operators.clean import align
 from ..operators.dedup import keep_first
-from ..operators.joins import semi_filter
+from ..operators.joins import key_filter, maybe_in, semi_filter
 from ..operators.upsert import upsert
 from ..session import materialize
 from ..sources.readers import Moment, in_window, project
 
 
+def _same_type(df: DataFrame, column: str, batch: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` that may have a key of ``batch``; all of them where a join would have to
+    convert one of the keys."""
+    if df.schema[column].dataType != batch.schema[key].dataType:
+        return df
+    bits = materialize(key_filter(batch, key), "key-filter")
+    return maybe_in(df, column, bits)
+
+
 def join_sources(po_item: DataFrame, po: DataFrame, document: DataFrame,
                  item_commodity: DataFrame, org: DataFrame) -> DataFrame:
     """Lines of the given orders and documents, one row per commodity of a line.
 
-    The batch's orders and documents meet first and are written, and so are
-    their lines. The two tables read in full, lines and commodities, then join
+    The batch's orders, documents and parties meet first and are written, and
+    so are their lines. The two tables read in full, lines and commodities, then join
     a side of measured size: a daily batch is broadcast and neither of them is
-    shuffled.
+    shuffled. Of a larger batch a filter of its keys is broadcast, so that few
+    of the other rows are moved.
     """
-    headers = materialize(
-        po.join(document, po["GENERIC_DOCUMENT_ID"] == document["CXML_DOCUMENT_ID"]), "headers")
-    lines = materialize(
-        po_item.join(headers, po_item["PO_ID"] == headers["ID"]).drop("ID"), "lines")
-    wanted = semi_filter(item_commodity, lines, "PO_ITEM", "PO_ITEM_ID")
-    coded = lines.join(wanted, lines["PO_ITEM_ID"] == wanted["PO_ITEM"], "left").drop("PO_ITEM")
+    headers = po.join(document, po["GENERIC_DOCUMENT_ID"] == document["CXML_DOCUMENT_ID"])
     for party in ("BUYER", "SUPPLIER"):
         side = org.select(F.col("ORG_ID").alias("__org"), F.col("NAME").alias(f"{party}_NAME"),
                           F.col("ANID").alias(f"{party}_ANID"))
-        coded = coded.join(side, coded[f"{party}_ORG"] == side["__org"], "left").drop("__org")
-    return coded
+        headers = headers.join(side, headers[f"{party}_ORG"] == side["__org"], "left").drop("__org")
+    headers = materialize(headers, "headers")
+    near = _same_type(po_item, "PO_ID", headers, "ID")
+    lines = materialize(
+        near.join(headers, near["PO_ID"] == headers["ID"]).drop("ID"), "lines")
+    wanted = semi_filter(_same_type(item_commodity, "PO_ITEM", lines, "PO_ITEM_ID"), lines, "PO_ITEM", "PO_ITEM_ID")
+    return lines.join(wanted, lines["PO_ITEM_ID"] == wanted["PO_ITEM"], "left").drop("PO_ITEM")
 
 
 def with_item_key(df: DataFrame) -> DataFrame:

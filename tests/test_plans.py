@@ -372,3 +372,31 @@ def test_inference_scores_a_text_once(spark):
     everything = {k for k in range(20) if k % 6 and MOMENTS[k % 5] >= T0} | set(range(100, 106))
     assert {r.PO_ITEM_ID for r in items.where("MODEL_UUID = 'B'").collect()} == everything
     assert report.where("MODEL_UUID = 'A'").count() == known
+
+
+def test_join_sources_moves_few_lines_of_other_orders(spark):
+    """Of a larger batch than is broadcast, a filter of its keys comes before the shuffle."""
+    from spendweave.operators.joins import key_filter, maybe_in, semi_filter
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = spark.createDataFrame([(k,) for k in [*range(0, 5000, 5), 5, None]], "k long")
+        many = spark.range(20000).selectExpr("case when id % 7 > 0 then id end as id", "id as v")
+        near = maybe_in(many, "id", key_filter(few, "k"))
+        found = semi_filter(near, few, "id", "k")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("LeftSemi") < plan.index("__bits")
+        assert near.count() < 900 and rows(found) == rows(semi_filter(many, few, "id", "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_large_source_is_merged_in_one_pass(spark, monkeypatch):
+    from spendweave.operators import upsert as merging
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "ID long, V string")
+    source = spark.createDataFrame([(2, "x"), (3, "y"), (None, "z")], "ID long, V string")
+    lookups = merging.upsert(target, source, "ID")
+    monkeypatch.setattr(merging, "FEW_ROWS", 2)
+    merged = merging.upsert(target, source, "ID")
+    assert rows(merged) == rows(lookups)
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
