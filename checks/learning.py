@@ -355,7 +355,7 @@ def training_table(spark, d):
     for number in (1, 3):
         path = f"{folder}/community_{number}"
         part = rows.where(F.expr(f"cast(PO_ITEM_ID as bigint) % 2 = {number // 2}"))
-        part.write.options(header=True, escape='"').csv(path)
+        part.write.options(header=True, escape='"', compression="gzip").csv(path)
         inputs[f"{readers.COMMUNITY}{number}"] = {"path": path}
     reference = f"{folder}/reference"
     bind.commodity(spark, d).select("CODE").write.option("header", True).csv(reference)

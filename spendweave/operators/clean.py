@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..columns import NA
 from ..functions import codes
-from .dedup import keep_first
-from .joins import semi_filter
+from .dedup import distinct_rows, keep_first
+from .joins import counted_keys, semi_filter
 
 
 # -- predicates ----------------------------------------------------------------
@@ -80,10 +80,13 @@ def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumnsRenamed({name: f"{prefix}_{name}" for name in df.columns})
 
 
-def union_all(*frames: DataFrame, distinct: bool = True) -> DataFrame:
-    """Union by column name, without repeated rows unless told otherwise."""
+def union_all(*frames: DataFrame, distinct: bool = True, scanned: bool = False) -> DataFrame:
+    """Union by column name, without repeated rows unless told otherwise. ``scanned``: the
+    frames are read from files, and may be read twice."""
     union = reduce(lambda left, right: left.unionByName(right), frames)
-    return union.distinct() if distinct else union
+    if not distinct:
+        return union
+    return distinct_rows(union) if scanned else union.distinct()
 
 
 def align(df: DataFrame, target_schema, stamp: Mapping[str, Column] | None = None) -> DataFrame:
@@ -149,19 +152,23 @@ class Cleaning:
 
 
 def drop_duplicates(df: DataFrame, instructions: Mapping[str, Any],
-                    order_by: Sequence[str | Column] = ()) -> DataFrame:
-    """First one row per index value, then one per combination of categories."""
+                    order_by: Sequence[str | Column] = (), scanned: bool = False) -> DataFrame:
+    """First one row per index value, then one per combination of categories. ``scanned``: the
+    rows are read from files, and may be read twice."""
+    if scanned and not instructions.get("index_col") and not instructions.get("cat_cols"):
+        return distinct_rows(df)
     once = keep_first(df, instructions.get("index_col") or (), order_by)
     return keep_first(once, instructions.get("cat_cols") or (), order_by)
 
 
 def clean_items(df: DataFrame, config: Cleaning, order_by: Sequence[str | Column] = (),
-                counts: Mapping[str, Observation] | None = None) -> DataFrame:
+                counts: Mapping[str, Observation] | None = None, scanned: bool = False) -> DataFrame:
     """Select, unify and filter NA, de-duplicate, drop and fill missing values.
 
     ``counts`` maps a step (``selected``, ``na_filtered``, ``deduplicated``,
     ``missing_dropped``) to an Observation; the counts are collected by the job
-    that consumes the result, not by extra jobs.
+    that consumes the result, not by extra jobs. ``scanned`` frames may be read twice
+    (not if they are counted).
     """
     counts = counts or {}
 
@@ -172,7 +179,7 @@ def clean_items(df: DataFrame, config: Cleaning, order_by: Sequence[str | Column
     if config.handle_str_na_vals:
         df = unify_and_filter_na(df, config.handle_str_na_vals)
     df = counted(df, "na_filtered")
-    df = counted(drop_duplicates(df, config.drop_duplicates_instructions, order_by),
+    df = counted(drop_duplicates(df, config.drop_duplicates_instructions, order_by, scanned and not counts),
                  "deduplicated")
     dropping = config.handle_missing_vals.get("drop_na_instructions") or {}
     if dropping.get("drop_rows"):
@@ -211,4 +218,4 @@ def legal_codes(df: DataFrame, reference: DataFrame | None = None,
     split = transform(split, instructions.get("non_zero_filter") or {})
     if reference is None:
         return split
-    return semi_filter(split, reference, name, name)
+    return semi_filter(split, counted_keys(reference, name), name, name)

@@ -4,11 +4,13 @@ import re
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from spendweave.columns import NA_SPELLINGS
-from spendweave.operators import clean, joins
+from spendweave.operators import clean, dedup, joins
 from spendweave.operators.dedup import keep_first
 from spendweave.plans.features import TRAINING_CLEANING, training_table
+from spendweave.session import materialize
 from spendweave.sources.readers import load_table
 
 from .conftest import rows
@@ -195,3 +197,25 @@ def test_table_types(spark, tmp_path):
     assert load_table(str(tmp_path / "t"), "parquet", spark).count() == 3
     with pytest.raises(ValueError):
         load_table(str(tmp_path / "t"), "orc", spark)
+
+
+def test_rows_that_do_not_repeat_are_not_moved(spark, monkeypatch):
+    data = [(1, None), (1, None), (None, 1), (2, 3), (2, 3), (2, 3), (4, 5)]
+    files = materialize(spark.createDataFrame(data, "a int, b int"))
+    few = dedup.distinct_rows(files)
+    assert rows(few) == rows(files.distinct()) and few.count() == 4
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+    monkeypatch.setattr(dedup, "FEW_REPEATS", 1)
+    assert rows(dedup.distinct_rows(files)) == rows(files.distinct())
+
+
+def test_codes_of_the_reference_are_counted_and_broadcast(spark, raw_training, reference):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        twice = reference.unionByName(reference.limit(1)).unionByName(reference.limit(1).withColumn("CODE", F.lit(None)))
+        plan = clean.legal_codes(raw_training, twice)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert rows(clean.legal_codes(raw_training, twice)) == rows(clean.legal_codes(raw_training, reference))
