@@ -30,9 +30,9 @@ def python_scorer(model_fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
 
 
 def feature_rows(items: DataFrame, start: Moment, end: Moment,
-                 cleaning: Cleaning = SCORING_CLEANING) -> DataFrame:
-    """ID and feature text of the batch's cleaned items."""
-    return with_feature(clean_items(in_window(items, start, end), cleaning)).select("ID", C.FEATURE)
+                 cleaning: Cleaning = SCORING_CLEANING, scanned: bool = False) -> DataFrame:
+    """ID and feature text of the batch's cleaned items; ``scanned`` items may be read twice."""
+    return with_feature(clean_items(in_window(items, start, end), cleaning, scanned=scanned)).select("ID", C.FEATURE)
 
 
 def new_answers(features: DataFrame, stored: DataFrame, scorer: Scorer, model_id: str,
@@ -57,14 +57,14 @@ def updates_of(features: DataFrame, answers: DataFrame) -> DataFrame:
 def batch(items: DataFrame, report: DataFrame, scorer: Scorer, model_id: str, start: Moment, end: Moment,
           cleaning: Cleaning = SCORING_CLEANING, now: Column | None = None) -> DataFrame:
     """Predictions of the window's items, stored ones and new ones."""
-    features = materialize(feature_rows(items, start, end, cleaning), "features")
+    features = materialize(feature_rows(items, start, end, cleaning, scanned=True), "features")
     stored = report.where(F.col("MODEL_UUID") == model_id).drop(*C.AUDIT)
     fresh = materialize(new_answers(features, stored, scorer, model_id, run_moment(now)), "scores")
     return updates_of(features, stored.unionByName(fresh))
 
 
-def merge(items: DataFrame, updates: DataFrame, now: Column | None = None) -> DataFrame:
-    return upsert(items, updates, "ID", insert=False, now=now,
+def merge(items: DataFrame, updates: DataFrame, now: Column | None = None, scanned: bool = False) -> DataFrame:
+    return upsert(items, updates, "ID", insert=False, now=now, scanned=scanned,
                   when="target.MODEL_UUID IS NULL OR source.MODEL_UUID <> target.MODEL_UUID")
 
 
@@ -73,13 +73,14 @@ def run(items: DataFrame, report: DataFrame, scorer: Scorer, model_id: str, star
         now: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Item table and prediction report with the batch merged in.
 
-    Scores are written before the two merges read them, so the model runs once.
+    Scores are written before the two merges read them, so the model runs once. The items should
+    be read from files: they are read twice by the cleaning and twice by the merge.
     """
     moment = run_moment(now)
-    features = materialize(feature_rows(items, start, end, cleaning), "features")
+    features = materialize(feature_rows(items, start, end, cleaning, scanned=True), "features")
     stored = report.where(F.col("MODEL_UUID") == model_id).drop(*C.AUDIT)
     fresh = materialize(new_answers(features, stored, scorer, model_id, moment), "scores")
     answers = stored.unionByName(fresh)
-    merged_items = merge(items, materialize(updates_of(features, answers), "predictions"), moment)
+    merged_items = merge(items, materialize(updates_of(features, answers), "predictions"), moment, scanned=True)
     merged_report = upsert(report, fresh, [C.FEATURE, "MODEL_UUID"], unique=True, now=moment)
     return merged_items, merged_report

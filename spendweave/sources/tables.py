@@ -22,14 +22,20 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import COMPRESSION
+
 _VERSION = "version="
 
 
+def _compressed(writer):
+    return writer.option("compression", COMPRESSION)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", table_format: str = "parquet",
                 database: str | None = None, table: str | None = None,
                 partition_by: Sequence[str] = ()) -> None:
     """Write a table and, if named, register it in the catalog at its path."""
-    df.write.format(table_format).mode(mode).partitionBy(*partition_by).save(path)
+    _compressed(df.write).format(table_format).mode(mode).partitionBy(*partition_by).save(path)
     if database and table:
         spark = df.sparkSession
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -74,7 +80,7 @@ def replace_snapshot(df: DataFrame, root: str, keep: int = 2) -> None:
     spark = df.sparkSession
     versions = _versions(spark, root)
     number = versions[-1] + 1 if versions else 1
-    df.write.mode("overwrite").parquet(f"{root}/{_VERSION}{number:08d}")
+    _compressed(df.write).mode("overwrite").parquet(f"{root}/{_VERSION}{number:08d}")
     for old in [*versions, number][:-keep]:
         fs, folder = _file_system(spark, f"{root}/{_VERSION}{old:08d}")
         fs.delete(folder, True)
@@ -108,7 +114,7 @@ def replace_partitions(spark: SparkSession, path: str, batch: DataFrame,
     else:
         current = batch.limit(0)
     if values:
-        (merge(current, batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (_compressed(merge(current, batch).write).mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
     return len(values)
 

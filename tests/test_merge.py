@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendweave.operators import upsert as merge
+from spendweave.session import materialize
 from spendweave.sources import offsets
 
 from .conftest import rows
@@ -154,3 +155,18 @@ def test_batches_follow_each_other(spark, tmp_path):
     offsets.run_batch(spark, root, "other", lambda *w: windows.append(w), end=second)
     offsets.run_batch(spark, root, "j", lambda *w: windows.append(w), end=second)
     assert windows == [(None, first), (first, second), (None, second), (first, second)]
+
+
+def test_rows_that_cannot_be_hit_are_not_moved(spark, monkeypatch):
+    """A target in files: rows without a source key pass by the join, also those without a key."""
+    monkeypatch.setattr(merge, "FEW_ROWS", 0)
+    rows_ = [(k if k % 7 else None, f"n{k}") for k in range(40)] + [(8, "again")]
+    files = materialize(spark.createDataFrame(rows_, "ID int, NAME string"))
+    batch = materialize(spark.createDataFrame([(None, "x"), (8, "eight"), (9, "nine"), (99, "absent")], "ID int, NAME string"))
+    split, seen = merge.split_maybe, []
+    monkeypatch.setattr(merge, "split_maybe", lambda df, key, bits: seen.append(split(df, key, bits)) or seen[-1])
+    plain = merge.upsert(files, batch, "ID", insert=False)
+    found = merge.upsert(files, batch, "ID", insert=False, scanned=True)
+    assert rows(found) == rows(plain) and found.schema == plain.schema
+    (near, far), = seen
+    assert [r[0] for r in rows(near, "ID")] == [8, 8, 9] and far.count() == 38
