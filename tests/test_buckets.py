@@ -94,3 +94,18 @@ def test_a_large_table_gets_more_buckets(spark, tmp_path, monkeypatch):
     table.merge(batch, merged)
     assert table.read().where("V < 0 or ID = 'new'").count() == 2 and table.read().count() == 501
     spark.sql(f"drop table {name}")
+
+
+def test_derived_columns_are_made_where_rows_are(spark, tmp_path):
+    """The key is derived anew after the shuffle, and rows lie in the buckets of their key."""
+    data = spark.range(300).selectExpr("id as V", "concat('k', id) as ID")
+    name = f"derived_{os.path.basename(tmp_path)}".replace("-", "_")
+    made = BucketTable(spark, name, "ID", 4, 2).create(
+        data, str(tmp_path / "t"), 300, lambda df: df.selectExpr("concat('k', V) as ID", "V", "repeat('text', 9) as T", "KEY_PART"))
+    try:
+        assert rows(made.read(), "ID", "V") == sorted((f"k{k}", k) for k in range(300))
+        wrong = spark.table(name).where(F.col("KEY_PART") != part_of("ID", 4))
+        assert wrong.count() == 0 and made.read().where("T <> repeat('text', 9)").count() == 0
+        assert len(files(tmp_path)) <= 8
+    finally:
+        spark.sql(f"drop table {name}")
