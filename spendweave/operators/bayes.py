@@ -288,10 +288,13 @@ def predict(model: SparseBayes, rows: DataFrame, feature: str, by_level: bool =
     known = (numbered.join(first, ["__row", "__key"], "left_semi")
              .select(F.col("__row").alias("row"), F.explode(text.tokens(F.col(feature))).alias("word")).join(words, "word")
              .groupBy("row").agg(F.sum("idf").alias("x"), F.collect_list(F.col("id").cast("int")).alias("ids")))
+    # scoring is long for so few bytes: as many files as give all cores work
+    tasks = 3 * rows.sparkSession.sparkContext.defaultParallelism
     texts = materialize(
         first.select(F.col("__row").alias("row"), F.col("__key").alias("key")).join(known, "row", "left").withColumns({
             "x": F.coalesce("x", F.lit(0)), "ids": F.coalesce("ids", F.array().cast("array<int>")), "node": F.lit(ROOT),
-            "path": F.array().cast("array<string>"), "shares": F.array().cast("array<double>")}), "texts")
+            "path": F.array().cast("array<string>"), "shares": F.array().cast("array<double>")})
+        .repartition(tasks, "row"), "texts")
     for depth in range(len(model.levels) or 1):
         texts = _level(texts, model, words, depth)
     answer = texts.select(

@@ -129,6 +129,17 @@ def test_scoring_makes_no_rows_of_texts_and_classes(spark, levels, monkeypatch):
     assert len(written) > 6 and max(df.count() for df in written) <= len(data)
 
 
+def test_texts_to_score_lie_in_several_files(spark, monkeypatch):
+    """So that all cores score them, however few bytes they are."""
+    written = {}
+    keep = bayes.materialize
+    monkeypatch.setattr(bayes, "materialize", lambda df, label="stage": written.setdefault(label, keep(df, label)))
+    frame = spark.createDataFrame([(f"w{k}", f"{k % 3}") for k in range(60)], "feature string, code string")
+    model = bayes.fit(frame, "feature", "code")
+    assert bayes.predict(model, frame, "feature").count() == 60
+    assert written["texts"].count() == 60 and len(written["texts"].inputFiles()) > 4
+
+
 def test_dense_numbers(spark):
     df = spark.range(1000).selectExpr("(id * 37) % 1000 as v", "id % 7 as g").repartition(8)
     numbered = numbering.dense_number(df, ["v"], "n", 1)
