@@ -27,9 +27,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +45,15 @@ UNIT = 1_000_000_000
 #: Weights (12 bytes each) that travel with the tasks at once; a larger level is cut into blocks
 #: of classes, and texts are scored against one after the other.
 BROADCAST_WEIGHTS = 4_000_000
-#: Classes of a word from which on texts share the sums of their beginnings.
+#: Classes of a node from which on texts are scored one by one, and of a word from which on they
+#: share the sums of their beginnings.
 LONG = 2048
+#: Classes of a node from which on the words of half of them are rows of a matrix.
+WIDE = 128
+#: Classes and weights of the texts that are scored together (some 100 bytes each).
+CELLS = 1_000_000
+#: Scores so far below the best, and the logarithm of the classes, add nothing to a double.
+LOW = 37
 _WHOLE = "decimal(38,0)"
 ROOT = "0:"
 
@@ -150,80 +160,162 @@ def _at(depth: int) -> Column:
     return F.col("node").startswith(f"{depth}:")
 
 
-def _block(model: SparseBayes, words: DataFrame, depth: int, blocks: int, k: int) -> Callable:
-    """A function ``node, word ids, X`` -> ``(label, score, total)`` over many texts, for one of
-    ``blocks`` shares of the classes at ``depth``: the best class, and the sum of
-    exp(score - best score) over the share. Texts of nodes without a class there give None."""
-    def mine(number: Column) -> Column:
-        return F.pmod(F.xxhash64("node", number), F.lit(blocks)) == k
-
+def _block(model: SparseBayes, words: DataFrame, depth: int, mine: Callable[[Column], Column]) -> Callable:
+    """A function ``nodes, word ids, words of each text, X`` -> ``known, label, score, total`` of
+    many texts, for the classes at ``depth`` of which ``mine(number)`` holds: the best class, and
+    the sum of exp(score - best score) over them. ``known`` texts have a node with a class there."""
     classes = (model.classes.where(_at(depth) & mine(F.col("number"))).select("node", "number", "label", "prior", "slope")
                .toPandas().sort_values(["node", "number"]))
     lists = (model.weights.where(_at(depth)).join(words.select("word", "id"), "word")
              .select("node", "id", F.filter("postings", lambda p: mine(p["number"])).alias("mine")).where("size(mine) > 0")
              .select("node", "id", F.col("mine.number").alias("n"), F.col("mine.weight").alias("w")).toArrow())
-    size = words.agg(F.max("id")).first()[0] or 0
-    nodes = {node: n for n, node in enumerate(classes["node"].unique())}
-    node = classes["node"].map(nodes).to_numpy("int64")
-    starts = np.searchsorted(node, np.arange(len(nodes) + 1))
+    size = (words.agg(F.max("id")).first()[0] or 0) + 1
+    index = pd.Index(classes["node"].unique())
+    node = index.get_indexer(classes["node"])
+    starts = np.searchsorted(node, np.arange(len(index) + 1))
     labels, prior, slope = (classes[name].to_numpy() for name in ("label", "prior", "slope"))
     # lists in the order of node and word; their entries are places among the node's classes
     number, weight = (lists.column(name).combine_chunks() for name in ("n", "w"))
     ends, weights = number.offsets.to_numpy(), weight.flatten().to_numpy()
-    owner = np.array([nodes[name] for name in lists.column("node").to_pylist()], "int64")
+    owner = index.get_indexer(lists.column("node").to_pandas())
     wide = int(classes["number"].max()) + 1 if len(classes) else 1
     places = (np.searchsorted(node * wide + classes["number"].to_numpy("int64"),
                               np.repeat(owner, np.diff(ends)) * wide + number.flatten().to_numpy())
               - np.repeat(starts[owner], np.diff(ends))).astype("int32")
-    keys = owner * (size + 1) + lists.column("id").to_numpy()
+    keys = owner * size + lists.column("id").to_numpy()
     order = np.argsort(keys)
-    keys, begin, length = keys[order], ends[:-1][order], np.diff(ends)[order]
-
-    def of_text(name: str, ids: np.ndarray) -> tuple:
-        n = nodes[name]
-        ids, times = np.unique(np.asarray(ids, "int64"), return_counts=True)
-        wanted = n * (size + 1) + ids
+    keys, begin, length = keys[order], ends[:-1][order].astype("int64"), np.diff(ends)[order].astype("int64")
+    heaviest = np.maximum.reduceat(weights, ends[:-1])[order] if len(keys) else weights
+    children = np.diff(starts)
+    matrices: dict[int, tuple[np.ndarray, np.ndarray]] = {}      # filled by a task
+
+    def matrix(n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers of a node's lists that have a weight for half its classes, else -1, and these
+        lists as rows. It is no larger than twice the weights."""
+        if n not in matrices:
+            a, b = np.searchsorted(keys, [n * size, (n + 1) * size])
+            full = np.flatnonzero(2 * length[a:b] >= children[n])
+            row = np.full(b - a, -1)
+            row[full] = np.arange(len(full))
+            filled = np.zeros((len(full), children[n]))
+            for k, at in enumerate(full + a):
+                filled[k, places[begin[at]:begin[at] + length[at]]] = weights[begin[at]:begin[at] + length[at]]
+            matrices[n] = row, filled
+        return matrices[n]
+
+    def entries_of(found: np.ndarray) -> np.ndarray:
+        each = length[found]
+        return np.repeat(begin[found] - np.cumsum(each) + each, each) + np.arange(each.sum())
+
+    def scores(names: Sequence[str], ids: np.ndarray, counts: np.ndarray, xs: np.ndarray) -> tuple:
+        nodes = index.get_indexer(names)
+        known = nodes >= 0
+        best, score, total = np.zeros(len(nodes), "int64"), np.zeros(len(nodes)), np.zeros(len(nodes))
+        # a row for each different word of a text that has a list; rows of a text lie together
+        text = np.repeat(np.arange(len(nodes)), counts)
+        inside = known[text]
+        pairs, times = np.unique(text[inside] * size + ids[inside], return_counts=True)
+        text = pairs // size
+        wanted = nodes[text] * size + pairs % size
         found = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-        known = keys[found] == wanted if len(keys) else np.zeros(len(ids), bool)
-        found, times = found[known], times[known]
-        long = length[found] >= LONG
-        shared = sorted(zip((-length[found[long]]).tolist(), found[long].tolist(), times[long].tolist(), strict=True))
-        return n, [entry[1:] for entry in shared], found[~long], times[~long]
-
-    def scores(names: Sequence[str], ids: Sequence[np.ndarray], xs: np.ndarray) -> list[tuple | None]:
-        answers: list[tuple | None] = [None] * len(names)
-        parts = {t: of_text(names[t], ids[t]) for t in range(len(names)) if names[t] in nodes}
-        # texts that begin with the same long lists follow each other and share their sums
-        stack: list[tuple] = []
-        for t in sorted(parts, key=lambda t: parts[t][:2]):
-            n, shared, found, times = parts[t]
-            low, high = starts[n], starts[n + 1]
-            path = [(n,), *shared]
-            same = 0
-            while same < min(len(stack), len(path)) and stack[same][0] == path[same]:
-                same += 1
-            del stack[same:]
-            for step in path[same:]:
-                if not stack:
-                    stack.append((step, np.zeros(high - low, "int64")))
-                    continue
-                sums, (at, tf) = stack[-1][1].copy(), step
-                a, b = begin[at], begin[at] + length[at]
-                sums[places[a:b]] += tf * weights[a:b]      # a class once a word
-                stack.append((step, sums))
-            sums = stack[-1][1]
-            if len(found):
-                sums, each = sums.copy(), length[found]
-                entry = np.repeat(begin[found] - np.cumsum(each) + each, each) + np.arange(each.sum())
-                np.add.at(sums, places[entry], weights[entry] * np.repeat(times, each))
-            score = prior[low:high] - xs[t] / UNIT * slope[low:high] + sums / UNIT
-            top = score.max()
-            ties = np.flatnonzero(score >= top - 3e-9)
-            best = ties[np.argmax(np.round(score[ties], 9))]
-            # what lies lower adds less than a double's last digit
-            total = np.exp(score[score > top - 80] - score[best]).sum()
-            answers[t] = (labels[low + best], float(score[best]), float(total))
-        return answers
+        hit = keys[found] == wanted if len(keys) else np.zeros(len(found), bool)
+        text, found, times = text[hit], found[hit], times[hit]
+        rows = np.searchsorted(text, np.arange(len(nodes) + 1))
+        large = np.zeros(len(nodes), bool)
+        large[known] = children[nodes[known]] >= LONG
+
+        def together(part: np.ndarray) -> None:
+            """Texts of nodes with few classes: an entry for each class of each text."""
+            n, place = nodes[part], np.full(len(nodes), -1)
+            place[part] = np.arange(len(part))
+            each = children[n]
+            first = np.cumsum(each) - each
+            mine = slice(rows[part[0]], rows[part[-1] + 1])
+            of, lists_, tf = place[text[mine]], found[mine], times[mine]
+            of, lists_, tf = of[of >= 0], lists_[of >= 0], tf[of >= 0]
+            # whole numbers: a double adds them exactly below 2 ** 53
+            exact = np.bincount(of, tf * heaviest[lists_].astype("float64")).max(initial=0) < 2 ** 53
+            dense, added = np.zeros(len(of), bool), []
+            if exact:
+                lowest = np.searchsorted(keys, n * size)
+                bounds = np.searchsorted(of, np.arange(len(part) + 1))
+                for t in np.flatnonzero(each >= WIDE):
+                    row, filled = matrix(n[t])
+                    own = slice(bounds[t], bounds[t + 1])
+                    at = row[lists_[own] - lowest[t]]
+                    dense[own] = at >= 0
+                    added.append((t, tf[own][at >= 0].astype("float64") @ filled[at[at >= 0]]))
+            of, lists_, tf = of[~dense], lists_[~dense], tf[~dense]
+            entry, repeats = entries_of(lists_), length[lists_]
+            cell = np.repeat(first[of], repeats) + places[entry]
+            weight_ = weights[entry] * np.repeat(tf, repeats)
+            if exact:
+                sums = np.bincount(cell, weight_.astype("float64"), each.sum()).astype("float64")
+                for t, more in added:
+                    sums[first[t]:first[t] + each[t]] += more
+            else:
+                sums = np.zeros(each.sum(), "int64")
+                np.add.at(sums, cell, weight_)
+            owner_ = np.repeat(np.arange(len(part)), each)
+            at = np.arange(len(sums)) + (starts[n] - first)[owner_]
+            value = prior[at] - (xs[part] / UNIT)[owner_] * slope[at] + sums / UNIT
+            top = np.maximum.reduceat(value, first)
+            ties = np.flatnonzero(value >= top[owner_] - 3e-9)
+            ties = ties[np.lexsort((ties, -np.round(value[ties], 9), owner_[ties]))]
+            ties = ties[np.searchsorted(owner_[ties], np.arange(len(part)))]
+            best[part], score[part] = at[ties], value[ties]
+            total[part] = np.add.reduceat(np.exp(value - value[ties][owner_]), first)
+
+        def one_by_one(part: np.ndarray) -> None:
+            """Texts of nodes with many classes; those that begin with the same long lists follow
+            each other and share their sums."""
+            begins = []
+            for t in part:
+                own = found[rows[t]:rows[t + 1]]
+                far = length[own] >= LONG
+                begins.append((nodes[t], sorted(zip((-length[own[far]]).tolist(), own[far].tolist(),
+                                                    times[rows[t]:rows[t + 1]][far].tolist(), strict=True))))
+            stack: list[tuple] = []
+            for k in sorted(range(len(part)), key=lambda k: begins[k]):
+                t, (n, shared) = part[k], begins[k]
+                low, high = starts[n], starts[n + 1]
+                path = [(n,), *shared]
+                same = 0
+                while same < min(len(stack), len(path)) and stack[same][0] == path[same]:
+                    same += 1
+                del stack[same:]
+                for step in path[same:]:
+                    if not stack:
+                        stack.append((step, np.zeros(high - low, "int64")))
+                        continue
+                    sums, (_, at, tf) = stack[-1][1].copy(), step
+                    a, b = begin[at], begin[at] + length[at]
+                    sums[places[a:b]] += tf * weights[a:b]      # a class once a word
+                    stack.append((step, sums))
+                sums = stack[-1][1].copy()
+                for at, tf in zip(found[rows[t]:rows[t + 1]], times[rows[t]:rows[t + 1]], strict=True):
+                    if length[at] < LONG:
+                        a, b = begin[at], begin[at] + length[at]
+                        sums[places[a:b]] += tf * weights[a:b]
+                value = np.multiply(slope[low:high], xs[t] / UNIT)
+                np.subtract(prior[low:high], value, out=value)
+                value += sums / UNIT
+                # what lies lower adds less than a double's last digit, all of it together
+                near = np.flatnonzero(value >= value.max() - LOW - np.log(high - low))
+                value = value[near]
+                ties = np.flatnonzero(value >= value.max() - 3e-9)
+                first = ties[np.argmax(np.round(value[ties], 9))]
+                best[t], score[t] = low + near[first], value[first]
+                total[t] = np.exp(value - value[first]).sum()
+
+        few = np.flatnonzero(known & ~large)
+        if len(few):
+            cost = (children[nodes[few]] + np.bincount(text, length[found], len(nodes))[few]).cumsum()
+            cuts = np.flatnonzero(np.diff(cost // CELLS)) + 1
+            for part in np.split(few, cuts):
+                together(part)
+        one_by_one(np.flatnonzero(known & large))
+        return known, labels[best] if len(labels) else best.astype(str), score, total
 
     return scores
 
@@ -231,32 +323,43 @@ def _block(model: SparseBayes, words: DataFrame, depth: int, blocks: int, k: int
 def _level(texts: DataFrame, model: SparseBayes, words: DataFrame, depth: int) -> DataFrame:
     """``texts`` with the best class of each among the children of its node, at ``depth``.
 
-    Weights travel with the tasks in blocks of classes; a text gives one row for a block, and
-    these are put together. A model of one block needs no shuffle.
+    Weights travel with the tasks in blocks of classes. Where each node fits into a block, a
+    text is scored in its node's block only. Otherwise it gives one row for a block, and these
+    are put together. A model of one block needs no shuffle.
     """
     classes = model.classes.where(_at(depth)).count()
-    size = model.weights.where(_at(depth)).agg(F.sum(F.size("postings"))).first()[0] or 0
+    sizes = model.weights.where(_at(depth)).groupBy("node").agg(F.sum(F.size("postings")).alias("n"))
+    size, largest = (n or 0 for n in sizes.agg(F.sum("n"), F.max("n")).first())
     blocks = max(1, min(-(-size // max(BROADCAST_WEIGHTS, 1)), classes))
+    by_node = depth > 0 and largest <= BROADCAST_WEIGHTS
+
+    def block(*columns: str | Column) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(blocks))
 
     def scored(source: DataFrame, k: int) -> DataFrame:
-        scores = _block(model, words, depth, blocks, k)
-        names = source.columns
+        scores = _block(model, words, depth, lambda number: (block("node") if by_node else block("node", number)) == k)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = scores(batch["node"].tolist(), batch["ids"].tolist(), batch["x"].to_numpy())
-                cells = list(zip(*(f or (None, None, None) for f in found), strict=True)) or [(), (), ()]
-                yield batch[names].assign(label=list(cells[0]), score=pd.Series(cells[1], dtype="float64", index=batch.index),
-                                          total=pd.Series(cells[2], dtype="float64", index=batch.index))
+                ids = batch.column("ids")
+                known, label, score, total = scores(
+                    batch.column("node").to_pandas(), ids.flatten().to_numpy(), pc.list_value_length(ids).to_numpy(),
+                    batch.column("x").to_numpy())
+                cells = [pa.array(label, "string", mask=~known), pa.array(score, mask=~known), pa.array(total, mask=~known)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *cells], [*batch.schema.names, "label", "score", "total"])
 
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields)
-        return source.mapInPandas(run, f"{kinds}, label string, score double, total double")
+        return source.mapInArrow(run, f"{kinds}, label string, score double, total double")
 
+    # what earlier levels found is computed once, not for every block
+    if blocks > 1 and depth:
+        texts = materialize(texts, "texts-by-class")
     if blocks == 1:
         found = scored(texts, 0).withColumn("probability", 1 / F.col("total"))
+    elif by_node:
+        each = [materialize(scored(texts.where(block("node") == k), k), "scores") for k in range(blocks)]
+        found = reduce(DataFrame.unionByName, each).withColumn("probability", 1 / F.col("total"))
     else:
-        # what earlier levels found is computed once, not for every block
-        texts = materialize(texts, "texts-by-class") if depth else texts
         short = texts.select("row", "node", "ids", "x")
         each = None
         for k in range(blocks):     # a block at a time: its rows are written before the next one is made

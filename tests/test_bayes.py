@@ -129,6 +129,37 @@ def test_scoring_makes_no_rows_of_texts_and_classes(spark, levels, monkeypatch):
     assert len(written) > 6 and max(df.count() for df in written) <= len(data)
 
 
+def test_a_text_is_scored_in_the_block_of_its_node_only(spark, monkeypatch):
+    """Below the root; blocks of classes are not all scored against every text."""
+    monkeypatch.setattr(bayes, "BROADCAST_WEIGHTS", 60)
+    scored = []
+    keep = bayes.materialize
+    monkeypatch.setattr(bayes, "materialize", lambda df, label="stage": keep(df, label) if label != "scores"
+                        else scored.append(keep(df, label)) or scored[-1])
+    data = [(f"all w{k % 7} v{k % 5}", f"{10 + k % 6}0000{10 + k % 20}") for k in range(120)]
+    frame = spark.createDataFrame(data, "feature string, code string")
+    model = bayes.fit(frame, "feature", "code", None, (2, 8))
+    answers = rows(bayes.predict(model, frame, "feature"))
+    below = [df.count() for df in scored if "node" in df.columns]
+    assert len(below) > 2 and sum(below) == len({text for text, _ in data})
+    monkeypatch.setattr(bayes, "BROADCAST_WEIGHTS", 10**6)
+    assert answers == rows(bayes.predict(model, frame, "feature"))
+
+
+@pytest.mark.parametrize("settings", [{"LONG": 1}, {"WIDE": 1, "CELLS": 300}])
+def test_texts_are_scored_alike_one_by_one_and_together(spark, settings, monkeypatch):
+    pick = random.Random(8)
+    data = [(" ".join(pick.choices(WORDS, k=pick.randrange(9))), f"{pick.randrange(10, 40)}") for _ in range(200)]
+    frame = spark.createDataFrame(data, "feature string, code string")
+    model = bayes.fit(frame, "feature", "code", 12)
+    # so many words that their sum is beyond the whole numbers of a double
+    asked = frame.select("feature").unionByName(spark.createDataFrame([("bolt " * 3_000_000,)], "feature string"))
+    expected = rows(bayes.predict(model, asked, "feature").drop("feature"))
+    for name, value in settings.items():
+        monkeypatch.setattr(bayes, name, value)
+    assert rows(bayes.predict(model, asked, "feature").drop("feature")) == expected
+
+
 def test_texts_to_score_lie_in_several_files(spark, monkeypatch):
     """So that all cores score them, however few bytes they are."""
     written = {}
