@@ -22,7 +22,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import COMPRESSION
+from ..session import COMPRESSION, shuffles_released
 
 _VERSION = "version="
 
@@ -35,7 +35,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", table_format:
                 database: str | None = None, table: str | None = None,
                 partition_by: Sequence[str] = ()) -> None:
     """Write a table and, if named, register it in the catalog at its path."""
-    _compressed(df.write).format(table_format).mode(mode).partitionBy(*partition_by).save(path)
+    with shuffles_released(df.sparkSession):
+        _compressed(df.write).format(table_format).mode(mode).partitionBy(*partition_by).save(path)
     if database and table:
         spark = df.sparkSession
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -114,8 +115,10 @@ def replace_partitions(spark: SparkSession, path: str, batch: DataFrame,
     else:
         current = batch.limit(0)
     if values:
-        (_compressed(merge(current, batch).write).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(path))
+        merged = merge(current, batch)
+        with shuffles_released(spark):
+            (_compressed(merged.write).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*partition_by).parquet(path))
     return len(values)
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendweave.operators.upsert import upsert
+from spendweave.sources import buckets
 from spendweave.session import materialize
 from spendweave.sources.buckets import BucketTable, part_of
 
@@ -47,6 +48,52 @@ def test_merge_rewrites_the_parts_of_its_batch(spark, table, tmp_path):
     assert table.merge(batch.limit(0), merged) == 0
 
 
+def test_a_merge_of_many_rows_goes_by_groups_of_parts(spark, table, monkeypatch):
+    """The rows that lie on disk twice are bounded; inserted rows are inserted once."""
+    monkeypatch.setattr(buckets, "MERGE_ROWS", 150)
+    batch = materialize(spark.range(400, 600).selectExpr("concat('k', id) as ID", "-id as V"))
+    seen = []
+
+    def watched(current, own):
+        seen.append((current.count(), own.count()))
+        return merged(current, own)
+
+    assert table.merge(batch, watched) == 8
+    assert len(seen) == 4 and sum(n for n, _ in seen) == 500 and sum(n for _, n in seen) == 200
+    assert {r.ID: r.V for r in table.read().collect()} == {f"k{k}": k if k < 400 else -k for k in range(600)}
+    assert table.read().count() == 600
+    twice = materialize(batch.unionByName(batch.limit(1)).withColumn("V", F.lit(0)))
+    with pytest.raises(ValueError):
+        table.merge(twice, merged)
+    assert table.read().where("V = 0").count() == 1      # k0: nothing was written
+
+
+def test_a_table_of_many_rows_is_created_by_groups_of_parts(spark, tmp_path, monkeypatch):
+    rows_ = materialize(spark.range(500).selectExpr("concat('k', id) as ID", "id as V"))
+    monkeypatch.setattr(buckets, "CREATE_ROWS", 200)
+    name = f"created_{os.path.basename(tmp_path)}".replace("-", "_")
+    made = BucketTable(spark, name, "ID", 8, 4).create(rows_, str(tmp_path / "t"), written=True)
+    assert rows(made.read(), "ID", "V") == rows(rows_) and {f.split("KEY_PART=")[1][0] for f in files(tmp_path)} == set("01234567")
+    assert made.merge(rows_.where("V < 3").withColumn("V", F.lit(-1)), lambda t, b: upsert(t, b, "ID", insert=False)) <= 3
+    assert made.read().where("V = -1").count() == 3 and made.read().count() == 500
+    assert len([f for f in files(tmp_path)]) <= 8 * 4
+    spark.sql(f"drop table {name}")
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def shuffles():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(found.apply(k).getName().startswith("shuffle_") for k in range(found.size()))
+
+    before = shuffles()
+    counts = materialize(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count())
+    assert counts.count() == 7
+    kept = shuffles()
+    materialize(counts.repartition(5, "k").groupBy("count").count())
+    assert shuffles() <= kept and kept - before <= 4      # those of counts.count() only
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_the_table_is_not_shuffled(spark, table):
     """A batch too large for a broadcast: only the batch is dealt out."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
